@@ -226,6 +226,12 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stored results and charts --------------------------------------------------------------
 
 
+def _stored_day(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch(spark) + "/results"
+    write_results(daily(spark, sf_dir), path)
+    return path
+
+
 def _stored_days(spark: SparkSession, sf_dir: str) -> str:
     """Two days of results, the second day written twice."""
     path = scratch(spark) + "/results"
@@ -253,11 +259,11 @@ def results_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chart_series(daily_distributions(t.users(spark, sf_dir), t.AS_OF))
+    return chart_series(read_result_days(spark, _stored_day(spark, sf_dir)))
 
 
 def arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chart_arrays(daily_distributions(t.users(spark, sf_dir), t.AS_OF))
+    return chart_arrays(read_result_days(spark, _stored_day(spark, sf_dir)))
 
 
 def chart_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ _CHART = ["dimension", "analysis_date"]
 def chart_series(results: DataFrame) -> DataFrame:
     """One row per bar of every chart: text, position (``rank``) and layout.
 
-    Equal percentages share a rank. Only dimensions with a chart come out.
+    Equal percentages share a rank. Only dimensions with a chart come out. ``results`` is read
+    twice, so give it stored results rather than distributions yet to be computed.
 
     Rank and category count come from the distinct percentages of a chart, not from its
     categories. A percentage is a whole count over a common total, and k different counts need
@@ -65,7 +66,8 @@ def chart_arrays(results: DataFrame, max_items: int = 100_000) -> DataFrame:
 
     A chart of more than ``max_items`` categories comes as several rows numbered by ``chunk``,
     each with its own share of the categories, so no list has to hold an unbounded group;
-    nothing is left out. All others are the single chunk 0.
+    nothing is left out. All others are the single chunk 0. ``results`` is read twice, as in
+    ``chart_series``.
     """
     sizes = results.groupBy(*_CHART).agg(
         F.ceil(F.count("*") / F.lit(max_items)).alias("_chunks")

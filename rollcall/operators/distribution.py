@@ -44,14 +44,14 @@ def shares(
         if dimension in declared:
             category = F.when(category.isin(*declared[dimension]), category)
         columns.append(category.alias(dimension))
-    ones = df.select(F.lit(1).cast("bigint").alias("_n"), *columns)
-    long = ones.unpivot(["_n"], list(dimensions), "dimension", "category")
+    long = df.select(*columns).unpivot([], list(dimensions), "dimension", "category")
     if declared:
+        long = long.withColumn("_n", F.lit(1).cast("bigint"))
         long = long.unionByName(_zero_rows(df, declared))
     counts = (
         long.where("category is not null")
         .groupBy("dimension", "category")
-        .agg(F.sum("_n").alias("n"))
+        .agg((F.sum("_n") if declared else F.count("*")).alias("n"))
     )
     # One row per dimension, as many as the caller listed: safe to broadcast at any scale.
     totals = counts.groupBy("dimension").agg(F.sum("n").alias("total"))
