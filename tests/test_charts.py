@@ -1,0 +1,91 @@
+import pytest
+
+from rollcall.operators import chart_arrays, chart_series
+from rollcall.schema import RESULT_SCHEMA
+from rollcall.sources import read_chart_series, write_chart_series
+
+DAY = "2024-06-30"
+
+
+def results(spark, rows):
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def test_series(spark):
+    rows = [("f", 62.5, "gender", DAY), ("m", 37.5, "gender", DAY), ("X", 100.0, "city", DAY)]
+    found = {r.category: r for r in chart_series(results(spark, rows)).collect()}
+    assert set(found) == {"f", "m"}
+    female = found["f"].asDict()
+    assert female == {
+        "dimension": "gender",
+        "analysis_date": DAY,
+        "rank": 1,
+        "category": "f",
+        "percentage": 62.5,
+        "label": "62%",
+        "title": "Percentage Distribution by Gender on 2024-06-30",
+        "x_label": "Gender",
+        "y_label": "Percentage",
+        "rotation": 0,
+        "bottom_margin": 0.15,
+        "n_categories": 2,
+        "file_name": "gender_distribution.png",
+    }
+    assert found["m"].rank == 2 and found["m"].label == "38%"
+
+
+@pytest.mark.parametrize("n, rotation, margin", [(20, 0, 0.15), (21, 90, 0.3)])
+def test_layout_turns_above_twenty(spark, n, rotation, margin):
+    rows = [(f"c{i}", 100 / n, "country", DAY) for i in range(n)]
+    found = chart_series(results(spark, rows)).collect()
+    assert {(r.rotation, r.bottom_margin, r.n_categories, r.rank) for r in found} == {
+        (rotation, margin, n, 1)
+    }
+    assert len(found) == n
+
+
+def test_ranks_leave_room_for_ties(spark):
+    shares = [40.0, 20.0, 20.0, 10.0, 10.0]
+    rows = [(f"c{i}", p, "country", DAY) for i, p in enumerate(shares)]
+    rows += [("z", None, "age", DAY)]
+    found = {r.category: r.rank for r in chart_series(results(spark, rows)).collect()}
+    assert found == {"c0": 1, "c1": 2, "c2": 2, "c3": 4, "c4": 4, "z": 1}
+
+
+def test_window_runs_over_levels_not_categories(spark, executed):
+    rows = [(f"c{i}", float(i % 3), "country", DAY) for i in range(100)]
+    plan = executed(chart_series(results(spark, rows)))
+    below_window = plan.split("Window [", 1)[1]
+    assert "HashAggregate" in below_window.split("Exchange", 1)[0] or "partial_count" in below_window
+
+
+def test_arrays(spark):
+    rows = [("m", 25.0, "gender", DAY), ("f", 50.0, "gender", DAY), ("d", 25.0, "gender", DAY)]
+    found = chart_arrays(results(spark, rows)).collect()
+    assert len(found) == 1
+    assert found[0].chunk == 0
+    assert found[0].categories == ["f", "d", "m"]
+    assert found[0].percentages == [50.0, 25.0, 25.0]
+
+
+def test_long_lists_are_split_and_whole(spark):
+    rows = [(f"c{i}", i / 10, "country", DAY) for i in range(1000)]
+    rows += [("f", 100.0, "gender", DAY)]
+    found = chart_arrays(results(spark, rows), max_items=100).collect()
+    country = [r for r in found if r.dimension == "country"]
+    assert len(country) > 5
+    assert max(len(r.categories) for r in country) < 200
+    pairs = [p for r in country for p in zip(r.categories, r.percentages)]
+    assert sorted(pairs) == sorted((c, p) for c, p, d, _ in rows if d == "country")
+    assert all(list(r.percentages) == sorted(r.percentages, reverse=True) for r in found)
+
+
+def test_stored_series(spark, tmp_path):
+    path = str(tmp_path / "charts")
+    for day in (DAY, "2024-07-01", DAY):
+        series = chart_series(results(spark, [("f", 100.0, "gender", day)]))
+        write_chart_series(series, path)
+    stored = read_chart_series(spark, path)
+    assert sorted(r.analysis_date for r in stored.collect()) == [DAY, "2024-07-01"]
+    assert sorted(stored.columns) == sorted(series.columns)
+    assert (tmp_path / "charts" / f"analysis_date={DAY}" / "dimension=gender").is_dir()
