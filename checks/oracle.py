@@ -248,6 +248,7 @@ ORACLE: dict[str, str] = {
     "stream_decode_users": f"""WITH {_FULL_USERS}
       SELECT {_FIELDS}, CAST(NULL AS VARCHAR) AS reason FROM full_users""",
     "stream_upsert_users": f"WITH {_LATEST} SELECT * FROM latest",
+    "produce_and_ingest": f"SELECT * FROM ({_FLATTENED}) WHERE address IS NOT NULL",
     "compact_users": f"""WITH {_UPDATES}
       SELECT {_FIELDS} FROM (
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS nth FROM updates)
@@ -277,4 +278,7 @@ ORACLE: dict[str, str] = {
       SELECT analysis_date, dimension, {_FILE}, category, {_LABEL}
       FROM results WHERE dimension <> 'city'""",
     "run_daily": f"WITH {_LATEST} {_day(AS_OF, 'latest')}",
+    "tables_and_views": f"""WITH {_LATEST}
+      SELECT dimension AS source, category AS name, percentage FROM ({_day(AS_OF, 'latest')})
+      UNION ALL SELECT 'created_users', max(last_name), CAST(count(*) AS DOUBLE) FROM latest""",
 }

@@ -29,9 +29,10 @@ from rollcall.operators import (
     with_age,
     with_bins,
 )
-from rollcall.plans import DailyPaths, run_daily
+from rollcall.plans import DailyPaths, run_daily, run_produce
 from rollcall.schema import USER_FIELDS, log_schema
 from rollcall.sources import (
+    Snapshot,
     compact_users,
     latest_users,
     read_chart_series,
@@ -61,11 +62,16 @@ def flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_profiles(t.profiles(spark, sf_dir), id_from=["login.username"])
 
 
+def _land_responses(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """One API response per customer, as lines of JSON."""
+    response = F.struct(F.array(F.struct("*")).alias("results"))
+    t.profiles(spark, sf_dir).select(F.to_json(response).alias("value")).write.text(folder)
+
+
 def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses landed as JSON lines, read back, flattened; without those lacking an address."""
     landed = scratch(spark) + "/landed"
-    response = F.struct(F.array(F.struct("*")).alias("results"))
-    t.profiles(spark, sf_dir).select(F.to_json(response).alias("value")).write.text(landed)
+    _land_responses(spark, sf_dir, landed)
     users = flatten_profiles(read_raw_profiles(spark, landed), id_from=["login.username"])
     return split_profiles(users)[0]
 
@@ -203,6 +209,22 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_users(spark, _ingest(spark, f"{base}/messages", base), "files")
 
 
+def produce_and_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses to messages to the keyed table, both steps as streams."""
+    base = scratch(spark)
+    _land_responses(spark, sf_dir, f"{base}/landed")
+    run_produce(
+        spark,
+        f"{base}/landed",
+        f"{base}/messages",
+        f"{base}/published",
+        kind="files",
+        id_from=["login.username"],
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    return latest_users(spark, _ingest(spark, f"{base}/messages", base), "files")
+
+
 def _append_log(records: DataFrame, log: str) -> None:
     classified = classify_users(t.messages(records), ["seq"])
     classified.select(*log_schema("files").names).write.mode("append").parquet(log)
@@ -215,12 +237,22 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = t.user_updates(spark, sf_dir)
     before = F.col("o_orderdate") < F.lit(SNAPSHOT_DAY).cast("timestamp_ntz")
     _append_log(updates.where(before), log)
-    compact_users(spark, log, f"{base}/first", "files")
+    first, second = _snapshot(base, "first"), _snapshot(base, "second")
+    spark.sql(f"CREATE DATABASE {first.table.split('.')[0]} LOCATION '{base}/database'")
+    compact_users(spark, log, first, "files")
     _append_log(updates.where(~before), log)
     first_day = F.expr(t.update_seq(f"'{SNAPSHOT_DAY}'").removesuffix(" + o_orderkey"))
-    return compact_users(
-        spark, log, f"{base}/second", "files", f"{base}/first", F.col("seq") >= first_day
-    ).drop("seq")
+    newer = F.col("seq") >= first_day
+    return compact_users(spark, log, second, "files", first, newer).drop("seq")
+
+
+def _database(base: str) -> str:
+    """A database name of its own for every scratch folder."""
+    return "rollcall_" + base[-8:].replace("-", "_").lower()
+
+
+def _snapshot(base: str, name: str) -> Snapshot:
+    return Snapshot(f"{base}/{name}", f"{_database(base)}.{name}")
 
 
 # --- stored results and charts --------------------------------------------------------------
@@ -233,16 +265,22 @@ def _stored_day(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _stored_days(spark: SparkSession, sf_dir: str) -> str:
-    """Two days of results, the second day written twice."""
+    """Two days of results."""
     path = scratch(spark) + "/results"
     people = t.users(spark, sf_dir)
-    for day in (t.AS_OF, t.NEXT_DAY, t.NEXT_DAY):
-        write_results(daily_distributions(people, day), path)
+    first, second = (daily_distributions(people, day) for day in (t.AS_OF, t.NEXT_DAY))
+    write_results(first.unionByName(second), path)
     return path
 
 
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_result_days(spark, _stored_days(spark, sf_dir))
+    """Two days of results, the second day written again over a day of other users."""
+    path = scratch(spark) + "/results"
+    people = t.users(spark, sf_dir)
+    write_results(daily_distributions(people, t.AS_OF), path)
+    write_results(daily_distributions(t.user_updates(spark, sf_dir), t.NEXT_DAY), path)
+    write_results(daily_distributions(people, t.NEXT_DAY), path)
+    return read_result_days(spark, path)
 
 
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,19 +314,42 @@ def chart_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log to stored results, on a log that holds several rows per user."""
-    base = scratch(spark)
-    paths = DailyPaths(
+def _daily_paths(base: str) -> DailyPaths:
+    return DailyPaths(
         log=f"{base}/log",
         snapshots=f"{base}/snapshots",
         results=f"{base}/results",
         charts=f"{base}/charts",
         rejected=f"{base}/rejected",
+        database=_database(base),
+        database_location=f"{base}/database",
     )
+
+
+def _run_daily(spark: SparkSession, sf_dir: str) -> DailyPaths:
+    """The daily job on a log that holds several rows per user."""
+    paths = _daily_paths(scratch(spark))
     _append_log(t.full_users(spark, sf_dir), paths.log)
     _append_log(t.user_updates(spark, sf_dir), paths.log)
-    return run_daily(spark, paths, t.AS_OF, "files")
+    run_daily(spark, paths, t.AS_OF, "files")
+    return paths
+
+
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_result_days(spark, _run_daily(spark, sf_dir).results)
+
+
+def tables_and_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What plain SQL finds after the daily job: every view of results, and the user count."""
+    db = _run_daily(spark, sf_dir).database
+    return spark.sql(
+        f"""SELECT 'age' AS source, age_group AS name, percentage FROM {db}.age
+        UNION ALL SELECT 'gender', gender, percentage FROM {db}.gender
+        UNION ALL SELECT 'city', city, percentage FROM {db}.city
+        UNION ALL SELECT 'country', country, percentage FROM {db}.country
+        UNION ALL SELECT 'created_users', max(last_name), cast(count(*) AS double)
+        FROM {db}.created_users"""
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -316,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_by_key": latest_event,
     "stream_decode_users": stream_decode,
     "stream_upsert_users": stream_upsert,
+    "produce_and_ingest": produce_and_ingest,
     "compact_users": compact,
     "upsert_results": upsert_replace,
     "upsert_results_merge": upsert_merge,
@@ -324,4 +386,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chart_arrays": arrays,
     "chart_dataset": chart_dataset,
     "run_daily": daily_job,
+    "tables_and_views": tables_and_views,
 }

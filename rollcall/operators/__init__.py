@@ -18,7 +18,7 @@ from rollcall.operators.distribution import (
     shares,
     stamp,
 )
-from rollcall.operators.keyed import latest_by_key
+from rollcall.operators.keyed import latest_by_key, upsert_by_key
 from rollcall.operators.messages import classify_users, decode_users, encode_users, split_valid
 from rollcall.operators.profiles import flatten_profiles, split_profiles
 
@@ -41,6 +41,7 @@ __all__ = [
     "split_profiles",
     "split_valid",
     "stamp",
+    "upsert_by_key",
     "with_address_part",
     "with_age",
     "with_bins",

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import as_of_text
 from rollcall.operators import chart_series, daily_distributions, rejected_for_analysis
+from rollcall.schema import DATABASE
 from rollcall.sources import (
+    Snapshot,
     compact_users,
+    ensure_tables,
+    publish_results,
     read_result_days,
     write_chart_series,
     write_results,
@@ -27,9 +31,13 @@ class DailyPaths:
     results: str
     charts: str
     rejected: str
+    database: str = DATABASE
+    database_location: str | None = None
 
-    def snapshot(self, as_of: date | str) -> str:
-        return f"{self.snapshots}/as_of={as_of_text(as_of)}"
+    def snapshot(self, as_of: date | str) -> Snapshot:
+        day = as_of_text(as_of)
+        table = f"{self.database}.created_users_{day.replace('-', '')}"
+        return Snapshot(f"{self.snapshots}/as_of={day}", table)
 
 
 def run_daily(
@@ -42,21 +50,19 @@ def run_daily(
     previous: date | str | None = None,
     since: Column | None = None,
 ) -> DataFrame:
-    """Snapshot, distributions, rejected rows and chart data of one day; returns the results.
+    """Tables, snapshot, distributions, rejected rows and charts of one day; returns its results.
 
     ``previous`` names the day whose snapshot this one builds on, ``since`` the condition
-    on log rows that are newer (see ``compact_users``).
+    on log rows that are newer (see ``compact_users``). Running a day again replaces it.
     """
     day = as_of_text(as_of)
-    users = compact_users(
-        spark,
-        paths.log,
-        paths.snapshot(day),
-        kind,
-        paths.snapshot(previous) if previous is not None else None,
-        since,
+    ensure_tables(
+        spark, paths.log, paths.results, paths.database, kind, paths.database_location
     )
+    earlier = paths.snapshot(previous) if previous is not None else None
+    users = compact_users(spark, paths.log, paths.snapshot(day), kind, earlier, since)
     write_results(daily_distributions(users, day, strict), paths.results, mode, day)
+    publish_results(spark, day, paths.database)
     rejected = rejected_for_analysis(users)
     rejected.write.mode("overwrite").parquet(f"{paths.rejected}/analysis_date={day}")
     stored = read_result_days(spark, paths.results).where(F.col("analysis_date") == day)

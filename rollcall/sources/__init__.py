@@ -6,6 +6,7 @@ from rollcall.sources.profiles import read_raw_profiles, rejected_responses
 from rollcall.sources.results import ensure_results, read_result_days, read_results, write_results
 from rollcall.sources.tables import ensure_tables, publish_results
 from rollcall.sources.users import (
+    Snapshot,
     compact_users,
     latest_users,
     read_refused,
@@ -14,6 +15,7 @@ from rollcall.sources.users import (
 )
 
 __all__ = [
+    "Snapshot",
     "compact_users",
     "ensure_results",
     "ensure_tables",

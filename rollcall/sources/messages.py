@@ -3,8 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rollcall.schema import TOPIC, order_columns
+from rollcall.schema import TOPIC, message_schema
+
+
+def kafka_target(servers: str, topic: str = TOPIC) -> dict[str, str]:
+    """Options of a topic to write to."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
+def with_order(messages: DataFrame) -> DataFrame:
+    """Messages for files, which must bring the order column that a topic supplies by itself.
+
+    Without a ``seq`` of their own they get the time of publishing, as a topic would give them.
+    """
+    if "seq" not in messages.columns:
+        messages = messages.withColumn("seq", F.unix_micros(F.current_timestamp()))
+    return messages.select(*message_schema("files").names)
 
 
 def write_user_messages(
@@ -12,16 +28,10 @@ def write_user_messages(
 ) -> None:
     """Publish encoded users: to a topic of the brokers ``target``, or as files under it.
 
-    Messages carry no key, so a topic spreads them over its partitions. Files take the order
-    column along, which a topic supplies by itself.
+    Messages carry no key, so a topic spreads them over its partitions.
     """
     if kind == "kafka":
-        (
-            messages.select("value")
-            .write.format("kafka")
-            .option("kafka.bootstrap.servers", target)
-            .option("topic", topic)
-            .save()
-        )
+        options = kafka_target(target, topic)
+        messages.select("value").write.format("kafka").options(**options).save()
     else:
-        messages.select("value", *order_columns(kind)).write.mode("append").parquet(target)
+        with_order(messages).write.mode("append").parquet(target)

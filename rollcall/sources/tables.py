@@ -13,7 +13,9 @@ from rollcall.schema import (
     DIMENSIONS,
     RESULT_PARTITIONS,
     RESULT_SCHEMA,
-    snapshot_schema,
+    USER_FIELDS,
+    log_schema,
+    order_columns,
 )
 
 
@@ -21,32 +23,43 @@ def _columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def _quoted(path: str) -> str:
-    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _location(path: str) -> str:
+    return "LOCATION '" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def ensure_tables(
     spark: SparkSession,
-    users_path: str,
+    log_path: str,
     results_path: str,
     database: str = DATABASE,
     kind: str = "kafka",
+    location: str | None = None,
 ) -> None:
     """Create what is missing of the database, its tables and the views on them.
 
-    ``created_users`` is the snapshot folder, ``results`` the results dataset, and ``age``,
-    ``gender``, ``city``, ``country`` show the results of one dimension each under the column
-    names of old: ``(<category>, percentage, analysis_date)``. What exists is left alone.
+    Tables: ``user_log`` and ``results``, over the folders the jobs write. Views:
+    ``created_users``, the last row of every user in the log, and ``age``, ``gender``, ``city``,
+    ``country``, the results of one dimension each under the column names of old,
+    ``(<category>, percentage, analysis_date)``. What exists is left alone.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.created_users "
-        f"({_columns(snapshot_schema(kind))}) USING parquet LOCATION {_quoted(users_path)}"
+        f"CREATE DATABASE IF NOT EXISTS `{database}` {_location(location) if location else ''}"
+    )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{database}`.user_log ({_columns(log_schema(kind))}) "
+        f"USING parquet {_location(log_path)}"
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{database}`.results ({_columns(RESULT_SCHEMA)}) "
-        f"USING parquet PARTITIONED BY ({', '.join(RESULT_PARTITIONS)}) "
-        f"LOCATION {_quoted(results_path)}"
+        f"USING parquet PARTITIONED BY ({', '.join(RESULT_PARTITIONS)}) {_location(results_path)}"
+    )
+    # The same "row number = 1" as latest_by_key, thinned out before the shuffle like there.
+    newest_first = ", ".join(f"`{c}` DESC NULLS LAST" for c in order_columns(kind))
+    spark.sql(
+        f"CREATE VIEW IF NOT EXISTS `{database}`.created_users AS "
+        f"SELECT {', '.join(USER_FIELDS)} FROM ("
+        f"SELECT *, row_number() OVER (PARTITION BY id ORDER BY {newest_first}) AS age_rank "
+        f"FROM `{database}`.user_log WHERE reason IS NULL) WHERE age_rank = 1"
     )
     for dimension, category in DIMENSIONS.items():
         spark.sql(
@@ -64,3 +77,5 @@ def publish_results(spark: SparkSession, as_of: date | str, database: str = DATA
         for dimension in DIMENSIONS
     )
     spark.sql(f"ALTER TABLE `{database}`.results ADD IF NOT EXISTS {partitions}")
+    spark.sql(f"REFRESH TABLE `{database}`.results")
+    spark.sql(f"REFRESH TABLE `{database}`.user_log")

@@ -1,15 +1,24 @@
-"""The keyed user table: an append log, resolved at read, and snapshots of it."""
+"""The keyed user table: an append log, resolved at read, and daily snapshots of it."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from rollcall.operators.keyed import latest_by_key
+from rollcall.operators.keyed import latest_by_key, upsert_by_key
 from rollcall.schema import USER_FIELDS, log_schema, order_columns, snapshot_schema
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """Where a snapshot lies, and the catalog table, if any, that knows its buckets."""
+
+    path: str
+    table: str | None = None
+
+
 def read_user_log(spark: SparkSession, path: str, kind: str = "kafka") -> DataFrame:
     """Everything ever ingested, refused messages included."""
     return spark.read.schema(log_schema(kind)).parquet(path)
@@ -21,11 +30,6 @@ def read_refused(spark: SparkSession, path: str, kind: str = "kafka") -> DataFra
     return log.where("reason is not null").select(*order_columns(kind), "raw", "reason")
 
 
-def read_snapshot(spark: SparkSession, path: str, kind: str = "kafka") -> DataFrame:
-    """A snapshot made by ``compact_users``: one row per user."""
-    return spark.read.schema(snapshot_schema(kind)).parquet(path)
-
-
 def latest_users(
     spark: SparkSession,
     path: str,
@@ -41,33 +45,52 @@ def latest_users(
     return latest_by_key(log.select(*wanted), ["id"], order_columns(kind)).select(*columns)
 
 
+def read_snapshot(spark: SparkSession, snapshot: Snapshot, kind: str = "kafka") -> DataFrame:
+    """A snapshot made by ``compact_users``: one row per user.
+
+    Read as a table where the catalog has it, so that joins on the id find its buckets, and
+    from its folder otherwise.
+    """
+    if snapshot.table is not None and spark.catalog.tableExists(snapshot.table):
+        return spark.table(snapshot.table)
+    return spark.read.schema(snapshot_schema(kind)).parquet(snapshot.path)
+
+
 def compact_users(
     spark: SparkSession,
     log_path: str,
-    snapshot_path: str,
+    snapshot: Snapshot,
     kind: str = "kafka",
-    previous: str | None = None,
+    previous: Snapshot | None = None,
     since: Column | None = None,
 ) -> DataFrame:
     """Write the keyed table to its own folder and return it, read back from there.
 
-    A folder left over by an earlier attempt is replaced; ``previous`` must be another one.
     With a ``previous`` snapshot only log rows that satisfy ``since`` (a condition on the order
     columns, pushed down to the files) are read again. Being too generous there does no harm:
-    rows that the snapshot already holds lose or tie against themselves.
+    rows that the snapshot already holds lose or tie against themselves. A folder left over by
+    an earlier attempt is replaced; ``previous`` must be another one.
+
+    A snapshot with a table name is bucketed by id, as many buckets as a shuffle has partitions:
+    the next day's merge then shuffles the new log rows only, never the snapshot.
 
     Everything of a day reads the snapshot, so the log is deduplicated once; and since it is a
     written table, lost executors never cause the log to be read again.
     """
-    if previous == snapshot_path:
+    if previous is not None and previous.path == snapshot.path:
         raise ValueError("a snapshot cannot replace the one it is made from")
     order = order_columns(kind)
-    kept = [*order, *USER_FIELDS]
     log = read_user_log(spark, log_path, kind).where("reason is null")
     if since is not None:
         log = log.where(since)
-    rows = log.select(*kept)
+    users = latest_by_key(log.select(*snapshot_schema(kind).names), ["id"], order)
     if previous is not None:
-        rows = rows.unionByName(read_snapshot(spark, previous, kind))
-    latest_by_key(rows, ["id"], order).write.mode("overwrite").parquet(snapshot_path)
-    return read_snapshot(spark, snapshot_path, kind)
+        users = upsert_by_key(read_snapshot(spark, previous, kind), users, ["id"], order)
+    writer = users.write.mode("overwrite").format("parquet")
+    if snapshot.table is None:
+        writer.save(snapshot.path)
+    else:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = writer.bucketBy(buckets, "id").sortBy("id").option("path", snapshot.path)
+        writer.saveAsTable(snapshot.table)
+    return read_snapshot(spark, snapshot, kind)

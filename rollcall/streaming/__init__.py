@@ -1,5 +1,12 @@
-"""Continuous ingestion of user messages."""
+"""Continuous publishing and ingestion of user messages."""
 
 from rollcall.streaming.ingest import kafka_options, read_user_stream, run_ingest, write_user_log
+from rollcall.streaming.publish import write_message_stream
 
-__all__ = ["kafka_options", "read_user_stream", "run_ingest", "write_user_log"]
+__all__ = [
+    "kafka_options",
+    "read_user_stream",
+    "run_ingest",
+    "write_message_stream",
+    "write_user_log",
+]

@@ -9,9 +9,11 @@ from rollcall.sources import latest_users, read_chart_series, read_result_days,
 
 
 @pytest.fixture
-def paths(tmp_path):
+def paths(spark, tmp_path):
     names = ("log", "snapshots", "results", "charts", "rejected")
-    return DailyPaths(**{name: str(tmp_path / name) for name in names})
+    folders = {name: str(tmp_path / name) for name in names}
+    yield DailyPaths(**folders, database="daily", database_location=str(tmp_path / "db"))
+    spark.sql("drop database if exists daily cascade")
 
 
 def append(records, paths):

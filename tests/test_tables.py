@@ -1,15 +1,26 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from checks import tables as t
-from rollcall.operators import daily_distributions, gender_distribution
-from rollcall.schema import DIMENSIONS, RESULT_SCHEMA
+from rollcall.operators import (
+    classify_users,
+    daily_distributions,
+    gender_distribution,
+    latest_by_key,
+    upsert_by_key,
+)
+from rollcall.schema import DIMENSIONS, RESULT_SCHEMA, USER_FIELDS, log_schema
 from rollcall.sources import (
+    Snapshot,
     compact_users,
     ensure_results,
     ensure_tables,
+    latest_users,
     publish_results,
     read_result_days,
     read_results,
+    read_user_log,
     write_results,
 )
 
@@ -94,17 +105,21 @@ def test_ensure_results_leaves_data_alone(spark, tmp_path):
 
 
 def test_catalog(spark, sf_dir, tmp_path):
-    users, results = str(tmp_path / "users"), str(tmp_path / "results")
+    log, results = str(tmp_path / "log"), str(tmp_path / "results")
     for _ in range(2):
-        ensure_tables(spark, users, results, "people", "files")
+        ensure_tables(spark, log, results, "people", "files", str(tmp_path / "db"))
+    assert spark.sql("select * from people.created_users").columns == list(USER_FIELDS)
     assert spark.sql("select * from people.created_users").count() == 0
-    day = daily_distributions(t.users(spark, sf_dir), DAY)
+    users = t.full_users(spark, sf_dir)
+    for step in (0, 1000):
+        again = users.withColumn("seq", F.col("seq") + step)
+        classified = classify_users(t.messages(again), ["seq"])
+        classified.select(*log_schema("files").names).write.mode("append").parquet(log)
+    day = daily_distributions(users, DAY)
     write_results(day, results)
     for _ in range(2):
         publish_results(spark, DAY, "people")
-    t.full_users(spark, sf_dir).write.mode("append").parquet(users)
-    spark.catalog.refreshTable("people.created_users")
-    assert spark.sql("select * from people.created_users").count() == 150
+    assert spark.sql("select * from people.created_users").count() == users.count()
     for dimension, category in DIMENSIONS.items():
         view = spark.sql(f"select * from people.{dimension}")
         assert view.columns == [category, "percentage", "analysis_date"]
@@ -113,7 +128,59 @@ def test_catalog(spark, sf_dir, tmp_path):
     spark.sql("drop database people cascade")
 
 
+def snapshot(tmp_path, name, table=True):
+    return Snapshot(str(tmp_path / name), f"snaps.{name}" if table else None)
+
+
+def append_log(records, log):
+    classified = classify_users(t.messages(records), ["seq"])
+    classified.select(*log_schema("files").names).write.mode("append").parquet(log)
+
+
+@pytest.mark.parametrize("table", [True, False])
+def test_snapshot_upon_snapshot(spark, sf_dir, tmp_path, table):
+    log = str(tmp_path / "log")
+    spark.sql(f"create database snaps location '{tmp_path / 'db'}'")
+    append_log(t.full_users(spark, sf_dir), log)
+    first = snapshot(tmp_path, "first", table)
+    compact_users(spark, log, first, "files")
+    append_log(t.user_updates(spark, sf_dir), log)
+    newer = F.col("seq") >= 10**12
+    second = snapshot(tmp_path, "second", table)
+    for _ in range(2):
+        found = compact_users(spark, log, second, "files", first, newer)
+        whole = latest_users(spark, log, "files", ["id", "last_name", "seq"])
+        assert sorted(found.select(*whole.columns).collect()) == sorted(whole.collect())
+    spark.sql("drop database snaps cascade")
+
+
+def test_merging_into_a_bucketed_snapshot_moves_the_news_only(
+    spark, sf_dir, tmp_path, executed
+):
+    log = str(tmp_path / "log")
+    spark.sql(f"create database snaps location '{tmp_path / 'db'}'")
+    append_log(t.user_updates(spark, sf_dir), log)
+    old = compact_users(spark, log, snapshot(tmp_path, "first"), "files")
+    new = latest_by_key(read_user_log(spark, log, "files").drop("raw", "reason"), ["id"], ["seq"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(upsert_by_key(old, new, ["id"], ["seq"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1
+    assert "Bucketed: true" in plan
+    assert "Exchange" in plan.split("Window [")[1]
+    spark.sql("drop database snaps cascade")
+
+
+def test_upsert_keeps_the_later_row(spark):
+    old = spark.createDataFrame([("a", 2, "old"), ("b", 2, "old"), ("c", 2, "old")], "k string, o int, v string")
+    new = spark.createDataFrame([("a", 1, "new"), ("b", 2, "new"), ("d", 1, "new")], "k string, o int, v string")
+    found = {r.k: r.v for r in upsert_by_key(old, new, ["k"], ["o"]).collect()}
+    assert found == {"a": "old", "b": "new", "c": "old", "d": "new"}
+
+
 def test_snapshot_cannot_replace_its_own_source(spark, tmp_path):
-    path = str(tmp_path / "snapshot")
+    same = snapshot(tmp_path, "same")
     with pytest.raises(ValueError):
-        compact_users(spark, str(tmp_path / "log"), path, "files", previous=path)
+        compact_users(spark, str(tmp_path / "log"), same, "files", previous=same)
