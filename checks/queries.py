@@ -226,7 +226,9 @@ def produce_and_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _append_log(records: DataFrame, log: str) -> None:
-    classified = classify_users(t.messages(records), ["seq"])
+    """Classified messages straight into the log, spread over the cores like a topic's."""
+    spread = records.repartition(records.sparkSession.sparkContext.defaultParallelism)
+    classified = classify_users(t.messages(spread), ["seq"])
     classified.select(*log_schema("files").names).write.mode("append").parquet(log)
 
 

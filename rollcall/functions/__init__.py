@@ -3,7 +3,7 @@
 from rollcall.functions.bins import bin_labels
 from rollcall.functions.dates import age_on, as_of_text, parse_dob
 from rollcall.functions.ids import hashed_uuid, is_uuid
-from rollcall.functions.text import address_part, percent_label, strip
+from rollcall.functions.text import address_part, percent_label, sql_literal, strip
 
 __all__ = [
     "address_part",
@@ -14,5 +14,6 @@ __all__ = [
     "is_uuid",
     "parse_dob",
     "percent_label",
+    "sql_literal",
     "strip",
 ]

@@ -16,9 +16,14 @@ DOB_PATTERN = (
 )
 
 
+def as_of_date(as_of: date | str) -> date:
+    """The analysis date; text that is not ``yyyy-MM-dd`` of a real day is an error."""
+    return as_of if isinstance(as_of, date) else date.fromisoformat(as_of)
+
+
 def as_of_text(as_of: date | str) -> str:
-    """The analysis date as ``yyyy-MM-dd`` text; anything but a real date is an error."""
-    return (as_of if isinstance(as_of, date) else date.fromisoformat(as_of)).strftime("%Y-%m-%d")
+    """The analysis date as ``yyyy-MM-dd`` text, which is how it is stored."""
+    return as_of_date(as_of).strftime("%Y-%m-%d")
 
 
 def parse_dob(dob: Column, strict: bool = False) -> Column:
@@ -37,10 +42,7 @@ def parse_dob(dob: Column, strict: bool = False) -> Column:
 
 def age_on(born: Column, as_of: date | str) -> Column:
     """Whole years on the ``as_of`` date; somebody born on Feb 29 turns older on Mar 1."""
-    today = F.lit(as_of_text(as_of)).cast("date")
-
-    def day_of_year(day: Column) -> Column:
-        return F.month(day) * 100 + F.dayofmonth(day)
-
-    had_no_birthday = (day_of_year(today) < day_of_year(born)).cast("int")
-    return F.year(today) - F.year(born) - had_no_birthday
+    today = as_of_date(as_of)
+    month_and_day = F.month(born) * 100 + F.dayofmonth(born)
+    birthday_to_come = month_and_day > today.month * 100 + today.day
+    return F.lit(today.year) - F.year(born) - birthday_to_come.cast("int")

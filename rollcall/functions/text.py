@@ -13,6 +13,11 @@ WHITESPACE = (
 )
 
 
+def sql_literal(text: str) -> str:
+    """A text as it is written in a SQL statement."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strip(text: Column) -> Column:
     """Take every kind of Unicode whitespace off both ends (SQL ``trim`` takes spaces only).
 

@@ -14,9 +14,8 @@ from rollcall.schema import AGE_EDGES, AGE_LABELS, CITY_PART, COUNTRY_PART, DIME
 
 def with_age(users: DataFrame, as_of: date | str, strict: bool = False) -> DataFrame:
     """Add ``age``: whole years between the birth date in ``dob`` and ``as_of``."""
-    return users.withColumn("_born", parse_dob(F.col("dob"), strict)).select(
-        *users.columns, age_on(F.col("_born"), as_of).alias("age")
-    )
+    born = users.withColumn("_born", parse_dob(F.col("dob"), strict))
+    return born.withColumn("age", age_on(F.col("_born"), as_of)).drop("_born")
 
 
 def with_bins(

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions import as_of_text
+from rollcall.functions import as_of_text, sql_literal
 from rollcall.operators.dimensions import with_address_part, with_age, with_bins, with_dimensions
 from rollcall.schema import (
     AGE_EDGES,
@@ -64,16 +64,12 @@ def shares(
 
 def _zero_rows(df: DataFrame, declared: Mapping[str, Sequence[str]]) -> DataFrame:
     """One row of weight 0 per declared category."""
-    rows = [
-        F.struct(
-            F.lit(0).cast("bigint").alias("_n"),
-            F.lit(dimension).alias("dimension"),
-            F.lit(label).alias("category"),
-        )
+    rows = ", ".join(
+        f"({sql_literal(dimension)}, {sql_literal(label)}, 0L)"
         for dimension, labels in declared.items()
         for label in labels
-    ]
-    return df.sparkSession.sql("SELECT 1").select(F.inline(F.array(*rows)))
+    )
+    return df.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS declared(dimension, category, _n)")
 
 
 def share(df: DataFrame, key: str, categories: Sequence[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from rollcall.functions import as_of_text
+from rollcall.functions import as_of_text, sql_literal
 from rollcall.schema import (
     DATABASE,
     DIMENSIONS,
@@ -24,7 +24,7 @@ def _columns(schema: T.StructType) -> str:
 
 
 def _location(path: str) -> str:
-    return "LOCATION '" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"LOCATION {sql_literal(path)}"
 
 
 def ensure_tables(
