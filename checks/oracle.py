@@ -271,9 +271,10 @@ ORACLE: dict[str, str] = {
       FROM results WHERE dimension <> 'city'""",
     "chart_arrays": f"""WITH {_USERS}, results AS ({_day(AS_OF)})
       SELECT dimension, analysis_date, 0 AS chunk,
-        list(category ORDER BY percentage DESC, category) AS categories,
-        list(percentage ORDER BY percentage DESC, category) AS percentages
-      FROM results GROUP BY dimension, analysis_date""",
+        CAST(row_number() OVER (PARTITION BY dimension, analysis_date
+          ORDER BY percentage DESC, category) - 1 AS INTEGER) AS position,
+        category, percentage
+      FROM results""",
     "chart_dataset": f"""WITH {_USERS}, {_STORED_DAYS}
       SELECT analysis_date, dimension, {_FILE}, category, {_LABEL}
       FROM results WHERE dimension <> 'city'""",

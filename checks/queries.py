@@ -303,7 +303,17 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chart_arrays(read_result_days(spark, _stored_day(spark, sf_dir)))
+    """Both lists, element by element."""
+    lists = chart_arrays(read_result_days(spark, _stored_day(spark, sf_dir)))
+    bars = F.posexplode(F.arrays_zip("categories", "percentages")).alias("position", "bar")
+    return lists.select("dimension", "analysis_date", "chunk", bars).select(
+        "dimension",
+        "analysis_date",
+        "chunk",
+        "position",
+        F.col("bar.categories").alias("category"),
+        F.col("bar.percentages").alias("percentage"),
+    )
 
 
 def chart_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:

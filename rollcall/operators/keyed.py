@@ -21,9 +21,9 @@ def latest_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     """
     newest_first = Window.partitionBy(*key).orderBy(*[F.desc_nulls_last(c) for c in order])
     return (
-        df.withColumn("_age_rank", F.row_number().over(newest_first))
-        .where("_age_rank = 1")
-        .drop("_age_rank")
+        df.withColumn("_nth", F.row_number().over(newest_first))
+        .where("_nth = 1")
+        .drop("_nth")
     )
 
 

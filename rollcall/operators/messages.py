@@ -45,13 +45,14 @@ def classify_users(messages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     # later filter on it stays above; from a plain column the optimiser would push the filter
     # below and parse every message once more for it.
     parsed = messages.select(*carry, text.alias("raw"), F.explode(F.array(data)).alias("data"))
-    reason = _refusal(F.col("data"))
-    return parsed.select(
+    judged = parsed.withColumn("reason", _refusal(F.col("data")))
+    good = F.col("reason").isNull()
+    return judged.select(
         *carry,
-        F.when(reason.isNull(), F.lower("data.id")).otherwise(F.col("data.id")).alias("id"),
+        F.when(good, F.lower("data.id")).otherwise(F.col("data.id")).alias("id"),
         *[F.col(f"data.{field}").alias(field) for field in USER_FIELDS[1:]],
-        F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
-        reason.alias("reason"),
+        F.when(~good, F.col("raw")).alias("raw"),
+        "reason",
     )
 
 

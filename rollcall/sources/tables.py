@@ -58,8 +58,8 @@ def ensure_tables(
     spark.sql(
         f"CREATE VIEW IF NOT EXISTS `{database}`.created_users AS "
         f"SELECT {', '.join(USER_FIELDS)} FROM ("
-        f"SELECT *, row_number() OVER (PARTITION BY id ORDER BY {newest_first}) AS age_rank "
-        f"FROM `{database}`.user_log WHERE reason IS NULL) WHERE age_rank = 1"
+        f"SELECT *, row_number() OVER (PARTITION BY id ORDER BY {newest_first}) AS nth "
+        f"FROM `{database}`.user_log WHERE reason IS NULL) WHERE nth = 1"
     )
     for dimension, category in DIMENSIONS.items():
         spark.sql(

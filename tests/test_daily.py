@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import tables as t
-from rollcall.operators import classify_users, daily_distributions
+from rollcall.operators import classify_users, daily_distributions, encode_users
 from rollcall.plans import DailyPaths, run_daily
-from rollcall.schema import log_schema
+from rollcall.schema import log_schema, order_columns
 from rollcall.sources import latest_users, read_chart_series, read_result_days, read_snapshot
 
 
@@ -63,3 +63,32 @@ def test_rejected_rows_are_stored(spark, sf_dir, paths):
     run_daily(spark, paths, t.AS_OF, "files")
     rejected = spark.read.parquet(f"{paths.rejected}/analysis_date={t.AS_OF}")
     assert [r.reason for r in rejected.collect()] == ["no dob"] * 10
+
+
+def test_topic_order(spark, sf_dir, paths):
+    """The same job on rows as a topic delivers them, ordered by time, partition and offset."""
+    users = t.full_users(spark, sf_dir)
+
+    def arrive(when, offset, phone):
+        messages = encode_users(users.withColumn("phone", F.lit(phone)))
+        stamped = messages.select(
+            "value",
+            F.lit(when).cast("timestamp").alias("timestamp"),
+            F.lit(0).alias("partition"),
+            F.lit(offset).cast("bigint").alias("offset"),
+        )
+        classified = classify_users(stamped, order_columns("kafka"))
+        classified.select(*log_schema("kafka").names).write.mode("append").parquet(paths.log)
+
+    arrive("2024-06-30 10:00:00", 7, "late")
+    arrive("2024-06-30 10:00:00", 6, "early")
+    run_daily(spark, paths, t.AS_OF)
+    seen = spark.sql("select distinct phone from daily.created_users").collect()
+    assert [r.phone for r in seen] == ["late"]
+    arrive("2024-07-01 09:00:00", 1, "next day")
+    since = F.col("timestamp") >= "2024-07-01"
+    run_daily(spark, paths, t.NEXT_DAY, previous=t.AS_OF, since=since)
+    snapshot = read_snapshot(spark, paths.snapshot(t.NEXT_DAY))
+    assert snapshot.count() == users.count()
+    assert snapshot.where("phone = 'next day'").count() == users.count()
+    assert spark.sql("select distinct phone from daily.created_users").first().phone == "next day"

@@ -44,6 +44,12 @@ def test_declared_categories_like_pandas(spark):
     assert as_dict(share(df, "k", labels)) == dict(series.value_counts(normalize=True) * 100)
 
 
+def test_awkward_labels(spark):
+    labels = ["it's", 'a "b"', "back\\slash", ""]
+    df = spark.createDataFrame([("it's",), ("back\\slash",)], "k string")
+    assert as_dict(share(df, "k", labels)) == dict(zip(labels, [50.0, 0.0, 50.0, 0.0]))
+
+
 def test_gender_is_taken_as_written(spark):
     df = users_of(spark, [(g, None, None) for g in ["f", None, "m", "", "f", " f"]])
     found = as_dict(gender_distribution(df, AS_OF))

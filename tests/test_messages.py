@@ -52,6 +52,12 @@ def test_refusals(spark):
         assert row.raw == (text if row.reason else None)
 
 
+def test_bytes_that_are_no_text(spark):
+    rows = [(bytearray(b"\xff\xfe"),), (bytearray(b'{"id":"\xff"}'),)]
+    reasons = [r.reason for r in classify_users(spark.createDataFrame(rows, "value binary")).collect()]
+    assert reasons[0] == "malformed message" and reasons[1] is not None
+
+
 def test_split_loses_nothing(spark):
     valid, refused = split_valid(frame(spark, MESSAGES), ["n"])
     accepted = [r.n for r in valid.collect()]
