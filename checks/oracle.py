@@ -206,6 +206,7 @@ ORACLE: dict[str, str] = {
     "scan_users": f"WITH {_USERS} SELECT * FROM users",
     "flatten_profiles": _FLATTENED,
     "raw_profiles": f"SELECT * FROM ({_FLATTENED}) WHERE address IS NOT NULL",
+    "split_profiles": f"SELECT id, address IS NOT NULL AS whole FROM ({_FLATTENED})",
     "parse_dob": f"""WITH {_USERS}
       SELECT id, CAST(CAST(substr(dob, 1, 10) AS DATE) AS VARCHAR) AS born FROM users""",
     "parse_dob_variants": f"""WITH {_EVENT_PROFILES}
@@ -227,6 +228,13 @@ ORACLE: dict[str, str] = {
         CASE WHEN d = 7 THEN 'no dob' WHEN d > 1 THEN 'dob is not a date' END,
         CASE WHEN a = 4 THEN 'no address' WHEN a IN (2, 3) THEN 'address has no comma' END
       ) AS reason FROM variants) WHERE reason <> ''""",
+    "share": """SELECT event_type AS category,
+        CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100 AS percentage
+      FROM events WHERE event_type IS NOT NULL GROUP BY event_type""",
+    "share_declared": """SELECT label AS category,
+        CAST(count(event_type) AS DOUBLE) / sum(count(event_type)) OVER () * 100 AS percentage
+      FROM (VALUES ('signup'), ('click'), ('view'), ('purchase'), ('refund')) AS labels(label)
+      LEFT JOIN events ON event_type = label GROUP BY label""",
     "gender_distribution": f"WITH {_USERS} {_share('gender', AS_OF)}",
     "age_distribution": f"WITH {_USERS} {_share('age', AS_OF)}",
     "age_distribution_zero_fill": f"WITH {_USERS} {_share('age', '2100-06-30')}",
@@ -248,6 +256,8 @@ ORACLE: dict[str, str] = {
     "stream_decode_users": f"""WITH {_FULL_USERS}
       SELECT {_FIELDS}, CAST(NULL AS VARCHAR) AS reason FROM full_users""",
     "stream_upsert_users": f"WITH {_LATEST} SELECT * FROM latest",
+    "stream_refused": f"""WITH {_EVENT_MESSAGES}
+      SELECT event_id AS seq, text AS raw, reason FROM judged WHERE reason IS NOT NULL""",
     "produce_and_ingest": f"SELECT * FROM ({_FLATTENED}) WHERE address IS NOT NULL",
     "compact_users": f"""WITH {_UPDATES}
       SELECT {_FIELDS} FROM (

@@ -23,6 +23,7 @@ from rollcall.operators import (
     gender_distribution,
     latest_by_key,
     rejected_for_analysis,
+    share,
     split_profiles,
     split_valid,
     with_address_part,
@@ -37,6 +38,7 @@ from rollcall.sources import (
     latest_users,
     read_chart_series,
     read_raw_profiles,
+    read_refused,
     read_result_days,
     read_results,
     write_chart_series,
@@ -76,6 +78,15 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_profiles(users)[0]
 
 
+def profiles_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole addresses and lacking ones, told apart."""
+    users = flatten_profiles(t.profiles(spark, sf_dir), id_from=["login.username"])
+    whole, lacking = split_profiles(users)
+    return whole.select("id", F.lit(True).alias("whole")).unionByName(
+        lacking.select("id", F.lit(False).alias("whole"))
+    )
+
+
 def parse_dob_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     born = parse_dob(F.col("dob")).cast("string")
     return t.users(spark, sf_dir).select("id", born.alias("born"))
@@ -115,6 +126,15 @@ def analysis_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- distributions --------------------------------------------------------------------------
 
 
+def event_type_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return share(t.table(spark, sf_dir, "events"), "event_type")
+
+
+def event_type_share_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over a list that lacks one of the types and has one that never occurs."""
+    return share(t.table(spark, sf_dir, "events"), "event_type", t.DECLARED_EVENT_TYPES)
+
+
 def gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gender_distribution(t.users(spark, sf_dir), t.AS_OF)
 
@@ -171,10 +191,10 @@ def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by_key(events, ["user_id"], ["ts", "event_id"])
 
 
-def _land(spark: SparkSession, records: DataFrame, folder: str) -> None:
+def _land(spark: SparkSession, messages: DataFrame, folder: str) -> None:
     """Message files, at least three and as many as the cluster has cores."""
     files = max(3, spark.sparkContext.defaultParallelism)
-    write_user_messages(t.messages(records).repartition(files), folder, kind="files")
+    write_user_messages(messages.repartition(files), folder, kind="files")
 
 
 def _ingest(spark: SparkSession, folder: str, base: str) -> str:
@@ -195,7 +215,7 @@ def _ingest(spark: SparkSession, folder: str, base: str) -> str:
 
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark)
-    _land(spark, t.full_users(spark, sf_dir), f"{base}/messages")
+    _land(spark, t.messages(t.full_users(spark, sf_dir)), f"{base}/messages")
     log = _ingest(spark, f"{base}/messages", base)
     return spark.read.schema(log_schema("files")).parquet(log).select(*USER_FIELDS, "reason")
 
@@ -203,12 +223,20 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer announces itself, then every order changes its customer's profile."""
     base = scratch(spark)
-    _land(spark, t.full_users(spark, sf_dir), f"{base}/messages")
+    _land(spark, t.messages(t.full_users(spark, sf_dir)), f"{base}/messages")
     _ingest(spark, f"{base}/messages", base)
-    _land(spark, t.user_updates(spark, sf_dir), f"{base}/messages")
+    _land(spark, t.messages(t.user_updates(spark, sf_dir)), f"{base}/messages")
     return latest_users(spark, _ingest(spark, f"{base}/messages", base), "files")
 
 
+def stream_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused messages of a stream that is mostly defective."""
+    base = scratch(spark)
+    messages = t.event_messages(spark, sf_dir).withColumnRenamed("event_id", "seq")
+    _land(spark, messages, f"{base}/messages")
+    return read_refused(spark, _ingest(spark, f"{base}/messages", base), "files")
+
+
 def produce_and_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed responses to messages to the keyed table, both steps as streams."""
     base = scratch(spark)
@@ -368,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_users": scan_users,
     "flatten_profiles": flatten,
     "raw_profiles": raw_profiles,
+    "split_profiles": profiles_by_address,
     "parse_dob": parse_dob_users,
     "parse_dob_variants": parse_dob_variants,
     "age_years": age_years,
@@ -376,6 +405,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "address_city": address_city,
     "address_variants": address_variants,
     "analysis_rejects": analysis_rejects,
+    "share": event_type_share,
+    "share_declared": event_type_share_declared,
     "gender_distribution": gender,
     "age_distribution": age,
     "age_distribution_zero_fill": age_zero_fill,
@@ -389,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_by_key": latest_event,
     "stream_decode_users": stream_decode,
     "stream_upsert_users": stream_upsert,
+    "stream_refused": stream_refused,
     "produce_and_ingest": produce_and_ingest,
     "compact_users": compact,
     "upsert_results": upsert_replace,

@@ -9,6 +9,7 @@ from rollcall.operators import encode_users
 
 AS_OF = "2024-06-30"
 NEXT_DAY = "2024-07-01"
+DECLARED_EVENT_TYPES = ["signup", "click", "view", "purchase", "refund"]
 
 # Known beforehand, so that no job has to look into the files for them.
 SCHEMAS = {

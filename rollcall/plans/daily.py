@@ -19,6 +19,7 @@ from rollcall.sources import (
     read_result_days,
     write_chart_series,
     write_results,
+    written_since,
 )
 
 
@@ -52,14 +53,18 @@ def run_daily(
 ) -> DataFrame:
     """Tables, snapshot, distributions, rejected rows and charts of one day; returns its results.
 
-    ``previous`` names the day whose snapshot this one builds on, ``since`` the condition
-    on log rows that are newer (see ``compact_users``). Running a day again replaces it.
+    ``previous`` names the day whose snapshot this one builds on, and must not have been run
+    before that day began; then only log files written since are read. ``since`` is another
+    condition to that end (see ``compact_users``). Running a day again replaces it.
     """
     day = as_of_text(as_of)
     ensure_tables(
         spark, paths.log, paths.results, paths.database, kind, paths.database_location
     )
-    earlier = paths.snapshot(previous) if previous is not None else None
+    earlier = None
+    if previous is not None:
+        earlier = paths.snapshot(previous)
+        since = written_since(previous) if since is None else since
     users = compact_users(spark, paths.log, paths.snapshot(day), kind, earlier, since)
     write_results(daily_distributions(users, day, strict), paths.results, mode, day)
     publish_results(spark, day, paths.database)

@@ -12,6 +12,7 @@ from rollcall.sources.users import (
     read_refused,
     read_snapshot,
     read_user_log,
+    written_since,
 )
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "write_chart_series",
     "write_results",
     "write_user_messages",
+    "written_since",
 ]

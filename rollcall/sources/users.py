@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rollcall.functions import as_of_date
 from rollcall.operators.keyed import latest_by_key, upsert_by_key
 from rollcall.schema import USER_FIELDS, log_schema, order_columns, snapshot_schema
 
@@ -56,6 +59,17 @@ def read_snapshot(spark: SparkSession, snapshot: Snapshot, kind: str = "kafka")
     return spark.read.schema(snapshot_schema(kind)).parquet(snapshot.path)
 
 
+def written_since(day: date | str) -> Column:
+    """Condition on log files for ``compact_users``: written on that day, the one before or later.
+
+    Whole files are left out by their time, without being opened. It is the time of writing that
+    counts, so messages that arrive late or out of order are not missed. The day of slack
+    covers files that were being written while the earlier snapshot was made.
+    """
+    first = as_of_date(day) - timedelta(days=1)
+    return F.col("_metadata.file_modification_time") >= F.lit(first.isoformat()).cast("timestamp")
+
+
 def compact_users(
     spark: SparkSession,
     log_path: str,
@@ -66,10 +80,11 @@ def compact_users(
 ) -> DataFrame:
     """Write the keyed table to its own folder and return it, read back from there.
 
-    With a ``previous`` snapshot only log rows that satisfy ``since`` (a condition on the order
-    columns, pushed down to the files) are read again. Being too generous there does no harm:
-    rows that the snapshot already holds lose or tie against themselves. A folder left over by
-    an earlier attempt is replaced; ``previous`` must be another one.
+    With a ``previous`` snapshot only log rows that satisfy ``since`` are read again: a condition
+    on the files (``written_since``) or on the order columns, pushed down either way. Being
+    too generous there does no harm: rows that the snapshot already holds lose or tie against
+    themselves. A folder left over by an earlier attempt is replaced; ``previous`` must be
+    another one.
 
     A snapshot with a table name is bucketed by id, as many buckets as a shuffle has partitions:
     the next day's merge then shuffles the new log rows only, never the snapshot.

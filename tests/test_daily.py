@@ -1,3 +1,7 @@
+import os
+from datetime import datetime
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,16 +25,17 @@ def append(records, paths):
     classified.select(*log_schema("files").names).write.mode("append").parquet(paths.log)
 
 
-def test_day_by_day(spark, sf_dir, paths):
+@pytest.mark.parametrize("by_order", [True, False])
+def test_day_by_day(spark, sf_dir, paths, by_order):
     customers = t.full_users(spark, sf_dir)
     append(customers, paths)
     first = run_daily(spark, paths, t.AS_OF, "files").collect()
     assert sorted(first) == sorted(daily_distributions(customers, t.AS_OF).collect())
 
     append(t.user_updates(spark, sf_dir), paths)
-    newer = F.col("seq") >= 10**12
+    since = F.col("seq") >= 10**12 if by_order else None
     second = run_daily(
-        spark, paths, t.NEXT_DAY, "files", previous=t.AS_OF, since=newer
+        spark, paths, t.NEXT_DAY, "files", previous=t.AS_OF, since=since
     ).collect()
     latest = latest_users(spark, paths.log, "files")
     assert sorted(second) == sorted(daily_distributions(latest, t.NEXT_DAY).collect())
@@ -48,6 +53,21 @@ def test_day_by_day(spark, sf_dir, paths):
     }
 
 
+def test_files_before_the_snapshot_are_not_opened(spark, sf_dir, paths):
+    append(t.full_users(spark, sf_dir), paths)
+    run_daily(spark, paths, t.AS_OF, "files")
+    for part in Path(paths.log).glob("*.parquet"):
+        part.write_bytes(b"unreadable")
+        os.utime(part, (0, datetime.fromisoformat("2024-06-28T00:00:00+00:00").timestamp()))
+    for crc in Path(paths.log).glob(".*.crc"):
+        crc.unlink()
+    append(t.user_updates(spark, sf_dir).where("seq % 3 = 0"), paths)
+    run_daily(spark, paths, t.NEXT_DAY, "files", previous=t.AS_OF)
+    snapshot = read_snapshot(spark, paths.snapshot(t.NEXT_DAY), "files")
+    assert snapshot.count() == 150
+    assert snapshot.where("seq > 150").count() > 100
+
+
 def test_a_repeated_day_changes_nothing(spark, sf_dir, paths):
     append(t.full_users(spark, sf_dir), paths)
     runs = [sorted(run_daily(spark, paths, t.AS_OF, "files").collect()) for _ in range(2)]

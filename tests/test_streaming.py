@@ -1,3 +1,5 @@
+from datetime import date, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from rollcall.sources import (
     read_refused,
     read_user_log,
     write_user_messages,
+    written_since,
 )
 from rollcall.streaming import kafka_options, read_user_stream, run_ingest
 
@@ -97,6 +100,16 @@ def test_latest_users_reads_only_what_is_asked(spark, sf_dir, stream, executed):
     assert "IsNull(reason)" in plan
 
 
+def test_log_files_are_told_apart_by_time(spark, sf_dir, stream):
+    users = t.full_users(spark, sf_dir)
+    stream.land(users)
+    stream.run()
+    today = date.today()
+    log = stream.log()
+    assert log.where(written_since(today)).count() == users.count()
+    assert log.where(written_since(today + timedelta(days=3))).count() == 0
+
+
 def test_ingest_does_not_shuffle(spark, sf_dir, tmp_path, stream):
     stream.land(t.full_users(spark, sf_dir))
     messages = read_user_stream(spark, stream.source, "files")
