@@ -3,7 +3,13 @@
 from rollcall.functions.bins import bin_labels
 from rollcall.functions.dates import age_on, as_of_date, as_of_text, parse_dob
 from rollcall.functions.ids import hashed_uuid, is_uuid
-from rollcall.functions.text import address_part, percent_label, sql_literal, strip
+from rollcall.functions.text import (
+    address_part,
+    percent_label,
+    raw_address_part,
+    sql_literal,
+    strip,
+)
 
 __all__ = [
     "address_part",
@@ -15,6 +21,7 @@ __all__ = [
     "is_uuid",
     "parse_dob",
     "percent_label",
+    "raw_address_part",
     "sql_literal",
     "strip",
 ]

@@ -32,8 +32,10 @@ def parse_dob(dob: Column, strict: bool = False) -> Column:
     One regular expression checks the layout and picks the date, so no session time zone takes
     part (parsing to a zoned timestamp first would lose days that a zone skipped).
     """
-    day = F.replace(F.regexp_extract(dob, DOB_PATTERN, 1), F.lit(" "), F.lit(""))
-    parsed = day.try_cast("date")
+    day = F.regexp_extract(dob, DOB_PATTERN, 1)
+    # A blank in place of a leading zero is rare: looked for only where the plain cast fails.
+    without_blank = F.replace(day, F.lit(" "), F.lit(""))
+    parsed = F.coalesce(day.try_cast("date"), without_blank.try_cast("date"))
     if not strict:
         return parsed
     complaint = F.concat(F.lit("not a birth date: "), F.coalesce(dob, F.lit("NULL")))

@@ -28,14 +28,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def address_part(address: Column, position: int, strict: bool = False) -> Column:
-    """The comma-separated part of an address at ``position``, counted from the end, stripped.
+def raw_address_part(address: Column, position: int, strict: bool = False) -> Column:
+    """The comma-separated part of an address at ``position``, counted from the end, as it is.
 
     NULL where there is no such part; with ``strict`` such a row fails the job.
     """
     if position >= 0:
         raise ValueError(f"position counts from the end and must be negative, not {position}")
-    part = strip(F.try_element_at(F.split(address, ","), F.lit(position)))
+    part = F.try_element_at(F.split(address, ","), F.lit(position))
     if not strict:
         return part
     complaint = F.concat(
@@ -44,6 +44,11 @@ def address_part(address: Column, position: int, strict: bool = False) -> Column
     return F.coalesce(part, F.raise_error(complaint).cast("string"))
 
 
+def address_part(address: Column, position: int, strict: bool = False) -> Column:
+    """The part of an address at ``position`` from the end, stripped."""
+    return strip(raw_address_part(address, position, strict))
+
+
 def percent_label(percentage: Column) -> Column:
     """``12.5`` -> ``12%``: no decimals, ties to even (``format_string`` would round up)."""
     return F.concat(F.bround(percentage, 0).cast("bigint").cast("string"), F.lit("%"))

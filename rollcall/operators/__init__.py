@@ -6,7 +6,6 @@ from rollcall.operators.dimensions import (
     with_address_part,
     with_age,
     with_bins,
-    with_dimensions,
 )
 from rollcall.operators.distribution import (
     age_distribution,
@@ -45,5 +44,4 @@ __all__ = [
     "with_address_part",
     "with_age",
     "with_bins",
-    "with_dimensions",
 ]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import address_part, age_on, bin_labels, parse_dob
-from rollcall.schema import AGE_EDGES, AGE_LABELS, CITY_PART, COUNTRY_PART, DIMENSIONS
+from rollcall.schema import AGE_EDGES, AGE_LABELS
 
 
 def with_age(users: DataFrame, as_of: date | str, strict: bool = False) -> DataFrame:
@@ -39,21 +39,6 @@ def with_address_part(
     return users.withColumn(out, address_part(F.col("address"), position, strict))
 
 
-def with_dimensions(
-    users: DataFrame,
-    as_of: date | str,
-    strict: bool = False,
-    edges: Sequence[float] = AGE_EDGES,
-    labels: Sequence[str] = AGE_LABELS,
-) -> DataFrame:
-    """The four dimension columns, and only these, of every user."""
-    df = with_age(users.select("gender", "address", "dob"), as_of, strict)
-    df = with_bins(df, "age", "age_group", edges, labels)
-    df = with_address_part(df, CITY_PART, "city", strict)
-    df = with_address_part(df, COUNTRY_PART, "country", strict)
-    return df.select(*DIMENSIONS.values())
-
-
 def rejected_for_analysis(users: DataFrame) -> DataFrame:
     """Users that drop out of a distribution because of bad data: ``id`` and ``reason``.
 

@@ -128,6 +128,19 @@ def test_users_are_scanned_once(spark, tmp_path, sf_dir, executed, distribution)
     assert "phone" not in schema and "id:" not in schema
 
 
+def test_text_is_stripped_after_counting(spark, sf_dir, executed):
+    df = spark.createDataFrame(
+        [("a, S ,\tC",), ("b,S,C\u00a0",), ("c,\u2003S, D",), (" E ",)], "address string"
+    )
+    df = df.selectExpr("address", "'f' as gender", "'x' as dob")
+    found = daily_distributions(df, AS_OF)
+    shares = {(r.dimension, r.category): r.percentage for r in found.collect()}
+    assert shares["country", "C"] == 50.0 and shares["country", "E"] == 25.0
+    assert shares["city", "S"] == 100.0
+    below_first_shuffle = executed(found).split("Exchange hashpartitioning")[2]
+    assert "partial_count" in below_first_shuffle and "trim" not in below_first_shuffle
+
+
 def test_one_scan_however_many_categories(spark, tmp_path, executed):
     path = str(tmp_path / "users")
     spark.range(0, 30000, 1, 6).selectExpr(
