@@ -48,17 +48,17 @@ def shares(
         .groupBy("dimension", "category")
         .agg(F.count("*").alias("n"))
     )
+    # One row per dimension, as many as the caller listed: safe to broadcast at any scale.
+    totals = counts.groupBy("dimension").agg(F.sum("n").alias("total"))
     if clean:
         counts = counts.withColumn("category", _cleaned(clean))
     if declared:
         counts = counts.unionByName(_zero_rows(df, declared))
     if clean or declared:
         counts = counts.groupBy("dimension", "category").agg(F.sum("n").alias("n"))
-    # One row per dimension, as many as the caller listed: safe to broadcast at any scale.
-    totals = counts.groupBy("dimension").agg(F.sum("n").alias("total"))
     # Divide first: (n / total) * 100 and 100 * n / total differ in the last bit.
     percentage = F.try_divide("n", "total") * 100
-    return counts.join(F.broadcast(totals), "dimension").select(
+    return counts.join(F.broadcast(totals), "dimension", "left").select(
         "dimension", "category", percentage.alias("percentage")
     )
 
