@@ -131,7 +131,8 @@ def _age(as_of: str) -> str:
 def _age_group(age: str) -> str:
     return f"""CASE WHEN {age} > 0 AND {age} <= 16 THEN '0-15'
       WHEN {age} > 16 AND {age} <= 31 THEN '16-30' WHEN {age} > 31 AND {age} <= 46 THEN '31-45'
-      WHEN {age} > 46 AND {age} <= 60 THEN '46-60' WHEN {age} > 60 AND {age} <= 150 THEN '60+' END"""
+      WHEN {age} > 46 AND {age} <= 60 THEN '46-60'
+      WHEN {age} > 60 AND {age} <= 150 THEN '60+' END"""
 
 
 def _part(position: int) -> str:

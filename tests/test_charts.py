@@ -56,7 +56,7 @@ def test_window_runs_over_levels_not_categories(spark, executed):
     rows = [(f"c{i}", float(i % 3), "country", DAY) for i in range(100)]
     plan = executed(chart_series(results(spark, rows)))
     below_window = plan.split("Window [", 1)[1]
-    assert "HashAggregate" in below_window.split("Exchange", 1)[0] or "partial_count" in below_window
+    assert "partial_count" in below_window
 
 
 def test_arrays(spark):

@@ -115,7 +115,9 @@ def test_shares_sum_to_100_in_any_partitioning(spark, sf_dir):
     assert set(sums) == {"age", "gender", "city", "country"}
 
 
-@pytest.mark.parametrize("distribution", [daily_distributions, age_distribution, gender_distribution])
+@pytest.mark.parametrize(
+    "distribution", [daily_distributions, age_distribution, gender_distribution]
+)
 def test_users_are_scanned_once(spark, tmp_path, sf_dir, executed, distribution):
     path = str(tmp_path / "users")
     t.full_users(spark, sf_dir).write.parquet(path)

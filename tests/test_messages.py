@@ -54,7 +54,8 @@ def test_refusals(spark):
 
 def test_bytes_that_are_no_text(spark):
     rows = [(bytearray(b"\xff\xfe"),), (bytearray(b'{"id":"\xff"}'),)]
-    reasons = [r.reason for r in classify_users(spark.createDataFrame(rows, "value binary")).collect()]
+    messages = spark.createDataFrame(rows, "value binary")
+    reasons = [r.reason for r in classify_users(messages).collect()]
     assert reasons[0] == "malformed message" and reasons[1] is not None
 
 

@@ -174,8 +174,9 @@ def test_merging_into_a_bucketed_snapshot_moves_the_news_only(
 
 
 def test_upsert_keeps_the_later_row(spark):
-    old = spark.createDataFrame([("a", 2, "old"), ("b", 2, "old"), ("c", 2, "old")], "k string, o int, v string")
-    new = spark.createDataFrame([("a", 1, "new"), ("b", 2, "new"), ("d", 1, "new")], "k string, o int, v string")
+    schema = "k string, o int, v string"
+    old = spark.createDataFrame([("a", 2, "old"), ("b", 2, "old"), ("c", 2, "old")], schema)
+    new = spark.createDataFrame([("a", 1, "new"), ("b", 2, "new"), ("d", 1, "new")], schema)
     found = {r.k: r.v for r in upsert_by_key(old, new, ["k"], ["o"]).collect()}
     assert found == {"a": "old", "b": "new", "c": "old", "d": "new"}
 
