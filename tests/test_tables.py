@@ -154,6 +154,21 @@ def test_snapshot_upon_snapshot(spark, sf_dir, tmp_path, table):
     spark.sql("drop database snaps cascade")
 
 
+def test_a_catalog_that_forgets(spark, sf_dir, tmp_path):
+    """A new session without a lasting catalog finds the folders, and writes over them again."""
+    log = str(tmp_path / "log")
+    first, second = snapshot(tmp_path, "first"), snapshot(tmp_path, "second")
+    append_log(t.full_users(spark, sf_dir), log)
+    for _ in range(2):
+        spark.sql(f"create database snaps location '{tmp_path / 'db'}'")
+        compact_users(spark, log, first, "files")
+        spark.sql("drop database snaps cascade")
+        spark.sql(f"create database snaps location '{tmp_path / 'db'}'")
+        found = compact_users(spark, log, second, "files", first, F.col("seq") >= 100)
+        assert found.count() == found.select("id").distinct().count() == 150
+        spark.sql("drop database snaps cascade")
+
+
 def test_merging_into_a_bucketed_snapshot_moves_the_news_only(
     spark, sf_dir, tmp_path, executed
 ):
