@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
+from .minhash import near_duplicates
 from .mixing import mix_sources, quality_weight, sampling_key, words_in
 from .quality import language_references, quality_verdict
 from .warc import archive_folder, read_warc, write_warc
@@ -15,6 +16,11 @@ from .warc import archive_folder, read_warc, write_warc
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets are 80 percent alike."""
+    return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back."""
     archives = write_warc(table(spark, sf_dir, "pages"), archive_folder(spark))
@@ -44,5 +50,5 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_warc, op6_quality_rules, op9_mix_sources)
+    f.__name__: f for f in (op3_near_duplicates, op4_warc, op6_quality_rules, op9_mix_sources)
 }
