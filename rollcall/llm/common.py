@@ -164,3 +164,11 @@ def shingle_sets(h: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]
             own = mixed(np.array([whole], np.uint64) + np.uint64(n))
         sets.append(np.unique(own))
     return sets
+
+
+def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts end to end, and where each begins; null is empty."""
+    texts = [t or "" for t in texts]
+    data = "".join(texts).encode("utf-32-le", "surrogatepass")
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    return np.frombuffer(data, np.uint32), offsets

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
+from .language import language_of, language_samples
 from .minhash import near_duplicates
 from .mixing import mix_sources, quality_weight, sampling_key, words_in
 from .quality import language_references, quality_verdict
@@ -49,6 +50,16 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = spark.sparkContext.broadcast({"samples": language_samples(docs)})
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return docs.select(
+        "doc_id", held_out.alias("held_out"), language_of(F.col("text"), model).alias("l")
+    ).select("doc_id", "held_out", "l.lang_pred", "l.score")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_near_duplicates, op4_warc, op6_quality_rules, op9_mix_sources)
+    f.__name__: f for f in (op3_near_duplicates, op4_warc, op6_quality_rules, op9_mix_sources, op10_language_id)
 }
