@@ -12,6 +12,7 @@ from .language import language_of, language_samples
 from .minhash import near_duplicates
 from .mixing import mix_sources, quality_weight, sampling_key, words_in
 from .quality import language_references, quality_verdict
+from .toxicity import learn_toxicity, toxicity_score
 from .warc import archive_folder, read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = spark.sparkContext.broadcast(learn_toxicity(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), toxicity_score(F.col("text"), model).alias("score")
+    )
+    return scored.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words that the mix takes of it."""
     docs = table(spark, sf_dir, "documents")
@@ -61,5 +73,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_near_duplicates, op4_warc, op6_quality_rules, op9_mix_sources, op10_language_id)
+    f.__name__: f for f in (op3_near_duplicates, op4_warc, op6_quality_rules, op7_toxicity, op9_mix_sources, op10_language_id)
 }
