@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 from .language import language_of, language_samples
+from .lines import drop_repeated
 from .minhash import near_duplicates
 from .mixing import mix_sources, quality_weight, sampling_key, words_in
 from .quality import language_references, quality_verdict
@@ -31,6 +32,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one, nearly or exactly."""
+    return drop_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -73,5 +79,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_near_duplicates, op4_warc, op6_quality_rules, op7_toxicity, op9_mix_sources, op10_language_id)
+    f.__name__: f
+    for f in (
+        op3_near_duplicates,
+        op4_warc,
+        op5_line_dedup,
+        op6_quality_rules,
+        op7_toxicity,
+        op9_mix_sources,
+        op10_language_id,
+    )
 }
