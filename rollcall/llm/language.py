@@ -175,7 +175,8 @@ def language_samples(
         .filter(F.col("r") <= documents).select("doc_id", "lang").distinct()
     )
     texts: dict[str, list[str]] = {}
-    for row in rows.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).orderBy("doc_id", "text").collect():
+    picked = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    for row in sorted(picked.collect()):
         texts.setdefault(row.lang, []).append(row.text)
     samples = {}
     for lang, own in texts.items():

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
+from .decontaminate import find_contaminated
 from .language import language_of, language_samples
 from .lines import drop_repeated
 from .minhash import near_duplicates
@@ -19,6 +20,12 @@ from .warc import archive_folder, read_warc, write_warc
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item found in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 2-word shingle sets are 80 percent alike."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
@@ -81,6 +88,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_decontaminate,
         op3_near_duplicates,
         op4_warc,
         op5_line_dedup,
