@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
+from .cotraining import learn_quality, quality_scores
 from .decontaminate import find_contaminated
 from .language import language_of, language_samples
 from .lines import drop_repeated
@@ -26,6 +27,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op2_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document by two views that taught one another."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    model = spark.sparkContext.broadcast(learn_quality(docs, table(spark, sf_dir, "labels")))
+    scores = quality_scores(*(F.col(c) for c in ("text", "source", "lang", "n_chars")), model)
+    return docs.select("doc_id", scores.alias("q")).select(
+        "doc_id", "q.text_score", "q.meta_score", "q.score", (F.col("q.score") >= 0.5).alias("kept")
+    )
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 2-word shingle sets are 80 percent alike."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
@@ -89,6 +100,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate,
+        op2_cotrained_quality,
         op3_near_duplicates,
         op4_warc,
         op5_line_dedup,

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import code_points, small_batches, spans, written
+from .logistic import fit_logistic, sigmoid
 
 #: Labelled rows that are learned from, chosen by hash.
 TRAIN_ROWS = 20_000
@@ -164,25 +165,6 @@ def features(texts: pa.Array, lookup: Lookup) -> np.ndarray:
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float = 1.0) -> np.ndarray:
-    """Weights and intercept (last) by Newton's steps, drawn to ``prior`` (the intercept is not)."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    pull = np.full(x.shape[1], strength)
-    pull[-1] = 1e-3
-    centre = np.append(prior, 0.0)
-    w = centre.copy()
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) + pull * (w - centre)
-        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull)
-        move = np.linalg.solve(bend, slope)
-        size = np.abs(move).max()
-        w = w - move * min(1.0, 2.0 / max(size, 1e-12))
-        if size < 1e-6:
-            break
-    return w
-
-
 PRIOR = np.array([2.0, 1.0, 0.5, 0.25, 0.0])
 
 
@@ -266,7 +248,7 @@ def scores(texts: pa.Array, model: dict) -> np.ndarray:
     if "lookup" not in model:
         model["lookup"] = Lookup(model["terms"])
     x = features(texts, model["lookup"])
-    return 1 / (1 + np.exp(-np.clip(x @ model["weights"][:-1] + model["weights"][-1], -30, 30)))
+    return sigmoid(x @ model["weights"][:-1] + model["weights"][-1])
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame) -> dict:
