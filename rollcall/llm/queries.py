@@ -11,6 +11,7 @@ from .common import table, written
 from .cotraining import learn_quality, quality_scores
 from .decontaminate import find_contaminated
 from .language import language_of, language_samples
+from .licenses import learn_licenses, license_notices
 from .lines import drop_repeated
 from .minhash import near_duplicates
 from .mixing import mix_sources, quality_weight, sampling_key, words_in
@@ -76,6 +77,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence notice in any paragraph of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_notices(docs, spark.sparkContext.broadcast(learn_licenses(docs)))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words that the mix takes of it."""
     docs = table(spark, sf_dir, "documents")
@@ -106,6 +113,7 @@ QUERIES: dict[str, Query] = {
         op5_line_dedup,
         op6_quality_rules,
         op7_toxicity,
+        op8_license_notices,
         op9_mix_sources,
         op10_language_id,
     )
