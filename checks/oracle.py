@@ -270,6 +270,27 @@ ORACLE: dict[str, str] = {
       SELECT * FROM new UNION ALL
       SELECT * FROM old WHERE category NOT IN (SELECT category FROM new WHERE dimension = 'city')
       """,
+    "upsert_results_emptied": f"""WITH {_USERS}, results AS ({_day(AS_OF)})
+      SELECT kind, dimension, category
+      FROM results CROSS JOIN (VALUES ('results'), ('charts')) AS kinds(kind)
+      WHERE dimension <> 'gender' AND (kind = 'results' OR dimension <> 'city')""",
+    "views_over_existing_results": f"""WITH {_USERS}, {_STORED_DAYS}
+      SELECT category AS country, percentage, analysis_date
+      FROM results WHERE dimension = 'country'""",
+    "profile_rejects": f"""SELECT reason, count(*) AS n FROM (
+        SELECT CASE WHEN c_custkey % 10 = 6 THEN 'no profile' WHEN reason = '' THEN 'published'
+          ELSE reason END AS reason
+        FROM (SELECT c_custkey, concat_ws('; ',
+            CASE WHEN c_custkey % 10 = 3 THEN 'no id' END,
+            CASE WHEN {_STATE} IS NULL THEN 'no address' END,
+            CASE WHEN c_custkey % 10 = 3 THEN 'no login.username' END,
+            CASE WHEN c_custkey % 10 = 4 THEN 'no dob.date' END,
+            CASE WHEN c_custkey % 10 = 5 THEN 'no phone' END) AS reason FROM {_PEOPLE}))
+      GROUP BY reason""",
+    "chart_arrays_long": f"""WITH {_USERS}, results AS ({_day(AS_OF)})
+      SELECT dimension, analysis_date, row_number() OVER (PARTITION BY dimension, analysis_date
+          ORDER BY percentage DESC) - 1 AS position, percentage
+      FROM results""",
     "results_for_date": f"""WITH {_USERS}
       SELECT category, percentage FROM ({_share('country', NEXT_DAY)})""",
     "chart_series": f"""WITH {_USERS}, results AS ({_day(AS_OF)})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import tables as t
@@ -30,11 +30,12 @@ from rollcall.operators import (
     with_age,
     with_bins,
 )
-from rollcall.plans import DailyPaths, run_daily, run_produce
-from rollcall.schema import USER_FIELDS, log_schema
+from rollcall.plans import DailyPaths, run_daily, run_produce, run_rejects
+from rollcall.schema import USER_FIELDS, log_schema, message_schema
 from rollcall.sources import (
     Snapshot,
     compact_users,
+    ensure_tables,
     latest_users,
     read_chart_series,
     read_raw_profiles,
@@ -253,6 +254,30 @@ def produce_and_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_users(spark, _ingest(spark, f"{base}/messages", base), "files")
 
 
+def profile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with paths knocked out by key: how many are published, and why others are not."""
+    base = scratch(spark)
+    key = F.substr("email", F.lit(5)).substr(F.lit(1), F.instr("email", "@") - 5).cast("long")
+    people = t.profiles(spark, sf_dir).withColumn("k", key)
+    for column, rest in (("login", 3), ("dob", 4), ("phone", 5)):
+        kept = F.when(F.col("k") % 10 != rest, F.col(column))
+        people = people.withColumn(column, kept)
+    found = F.when(F.col("k") % 10 != 6, F.array(F.struct(*people.drop("k").columns)))
+    response = F.struct(found.alias("results"))
+    people.select(F.to_json(response).alias("value")).write.text(f"{base}/landed")
+    how = {"id_from": ["login.username"], "trigger": {"availableNow": True}}
+    run_produce(
+        spark, f"{base}/landed", f"{base}/messages", f"{base}/c1", kind="files", **how
+    ).awaitTermination()
+    run_rejects(spark, f"{base}/landed", f"{base}/rejected", f"{base}/c2", **how).awaitTermination()
+    published = spark.read.schema(message_schema("files")).parquet(f"{base}/messages")
+    rejected = spark.read.schema("raw string, reason string").parquet(f"{base}/rejected")
+    reasons = rejected.select("reason").unionByName(
+        published.select(F.lit("published").alias("reason"))
+    )
+    return reasons.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def _append_log(records: DataFrame, log: str) -> None:
     """Classified messages straight into the log, spread over the cores like a topic's."""
     spread = records.repartition(records.sparkSession.sparkContext.defaultParallelism)
@@ -344,6 +369,46 @@ def arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arrays_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charts cut into lists of a few bars: the chunks in order are the whole, largest first."""
+    lists = chart_arrays(read_result_days(spark, _stored_day(spark, sf_dir)), max_items=4)
+    earlier = Window.partitionBy("dimension", "analysis_date").orderBy("chunk")
+    before = F.sum(F.size("categories")).over(earlier) - F.size("categories")
+    placed = lists.withColumn("before", before)
+    return placed.select(
+        "dimension", "analysis_date", "before", F.posexplode("percentages")
+    ).select(
+        "dimension",
+        "analysis_date",
+        (F.col("before") + F.col("pos")).alias("position"),
+        F.col("col").alias("percentage"),
+    )
+
+
+def upsert_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day written again by users without a gender: results and charts of it are gone."""
+    base = scratch(spark)
+    people = t.users(spark, sf_dir)
+    for users in (people, people.withColumn("gender", F.lit(None).cast("string"))):
+        write_results(daily_distributions(users, t.AS_OF), f"{base}/results", as_of=t.AS_OF)
+        stored = read_result_days(spark, f"{base}/results")
+        write_chart_series(chart_series(stored), f"{base}/charts", t.AS_OF)
+    charts = read_chart_series(spark, f"{base}/charts").select("dimension", "category")
+    return stored.select(F.lit("results").alias("kind"), "dimension", "category").unionByName(
+        charts.select(F.lit("charts").alias("kind"), "dimension", "category")
+    )
+
+
+def views_over_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables made twice over days that were stored before: the views show every day."""
+    base = scratch(spark)
+    path = _stored_days(spark, sf_dir)
+    database = _database(base)
+    for _ in range(2):
+        ensure_tables(spark, f"{base}/log", path, database, "files", f"{base}/db")
+    return spark.table(f"{database}.country")
+
+
 def chart_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart data of two days, written and read back."""
     charts = scratch(spark) + "/charts"
@@ -425,6 +490,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compact_users": compact,
     "upsert_results": upsert_replace,
     "upsert_results_merge": upsert_merge,
+    "upsert_results_emptied": upsert_emptied,
+    "views_over_existing_results": views_over_existing,
+    "profile_rejects": profile_rejects,
+    "chart_arrays_long": arrays_long,
     "results_for_date": results_for_date,
     "chart_series": series,
     "chart_arrays": arrays,

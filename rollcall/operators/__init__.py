@@ -19,13 +19,14 @@ from rollcall.operators.distribution import (
 )
 from rollcall.operators.keyed import latest_by_key, upsert_by_key
 from rollcall.operators.messages import classify_users, decode_users, encode_users, split_valid
-from rollcall.operators.profiles import flatten_profiles, split_profiles
+from rollcall.operators.profiles import classify_profiles, flatten_profiles, split_profiles
 
 __all__ = [
     "age_distribution",
     "chart_arrays",
     "chart_series",
     "city_distribution",
+    "classify_profiles",
     "classify_users",
     "country_distribution",
     "daily_distributions",

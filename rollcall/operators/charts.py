@@ -9,6 +9,7 @@ from rollcall.functions import percent_label
 from rollcall.schema import CHART_UPRIGHT_ABOVE, CHART_Y_LABEL, CHARTS
 
 _CHART = ["dimension", "analysis_date"]
+_SALTS = 32
 
 
 def chart_series(results: DataFrame) -> DataFrame:
@@ -22,24 +23,12 @@ def chart_series(results: DataFrame) -> DataFrame:
     at least k(k+1)/2 users, so the window over them stays small (under half a million
     rows for 10^11 users) even where the categories themselves run into millions.
     """
-    bars = results.where(F.col("dimension").isin(*CHARTS))
-    levels = bars.groupBy(*_CHART, "percentage").agg(F.count("*").alias("_bars"))
-    chart = Window.partitionBy(*_CHART)
-    downwards = chart.orderBy(F.desc_nulls_last("percentage")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    levels = levels.select(
-        *[F.col(c).alias(f"_{c}") for c in (*_CHART, "percentage")],
-        (F.sum("_bars").over(downwards) - F.col("_bars") + 1).alias("rank"),
-        F.sum("_bars").over(chart).alias("n_categories"),
-    )
-    same_level = [F.col(c) == F.col(f"_{c}") for c in _CHART]
-    same_level.append(F.col("percentage").eqNullSafe(F.col("_percentage")))
+    bars = _with_levels(results.where(F.col("dimension").isin(*CHARTS)))
     upright = F.col("n_categories") > CHART_UPRIGHT_ABOVE
-    return bars.join(levels, same_level).select(
+    return bars.select(
         "dimension",
         "analysis_date",
-        "rank",
+        (F.col("_above") + 1).alias("rank"),
         "category",
         "percentage",
         percent_label(F.col("percentage")).alias("label"),
@@ -61,21 +50,47 @@ def _text(index: int) -> Column:
     return chain
 
 
+def _with_levels(bars: DataFrame) -> DataFrame:
+    """``bars`` with the bars above (``_above``) and on (``_level``) their own percentage.
+
+    A level, all bars of one percentage, may hold nearly all bars of a chart. Bars are dealt
+    over ``_SALTS`` by their category, and every level is there once for each.
+    """
+    levels = bars.groupBy(*_CHART, "percentage").agg(F.count("*").alias("_bars"))
+    chart = Window.partitionBy(*_CHART)
+    downwards = chart.orderBy(F.desc_nulls_last("percentage")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    levels = levels.select(
+        *[F.col(c).alias(f"_{c}") for c in (*_CHART, "percentage")],
+        F.col("_bars").alias("_level"),
+        (F.sum("_bars").over(downwards) - F.col("_bars")).alias("_above"),
+        F.sum("_bars").over(chart).alias("n_categories"),
+    )
+    every = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    levels = levels.select("*", every)
+    same_level = [F.col(c) == F.col(f"_{c}") for c in _CHART]
+    same_level.append(F.col("percentage").eqNullSafe(F.col("_percentage")))
+    same_level.append(F.pmod(F.xxhash64("category"), F.lit(_SALTS)).cast("int") == F.col("_salt"))
+    return bars.join(levels, same_level)
+
+
 def chart_arrays(results: DataFrame, max_items: int = 100_000) -> DataFrame:
     """Two parallel lists per dimension and day: categories and percentages, largest first.
 
-    A chart of more than ``max_items`` categories comes as several rows numbered by ``chunk``,
-    each with its own share of the categories, so no list has to hold an unbounded group;
-    nothing is left out. All others are the single chunk 0. ``results`` is read twice, as in
-    ``chart_series``.
+    The list comes in chunks, cut by position: a percentage goes to chunk (bars above it) /
+    ``max_items``, so that the chunks in order are the whole list, largest first, at every
+    length. Equal percentages are in order of category within a chunk; more than ``max_items``
+    of them are dealt over as many chunks as they fill, by a hash of the category. No list
+    holds more than about three times ``max_items``; nothing is left out. ``results`` is read
+    twice, as in ``chart_series``.
     """
-    sizes = results.groupBy(*_CHART).agg(
-        F.ceil(F.count("*") / F.lit(max_items)).alias("_chunks")
-    )
-    chunk = F.pmod(F.xxhash64("category"), F.col("_chunks")).cast("int")
+    parts = F.ceil(F.col("_level") / F.lit(max_items))
+    part = F.pmod(F.xxhash64("category", F.lit(1)), parts)
+    chunk = (F.floor(F.col("_above") / F.lit(max_items)) + part).cast("int")
     bar = F.struct((-F.col("percentage")).alias("size"), "category", "percentage")
     lists = (
-        results.join(sizes, _CHART)
+        _with_levels(results)
         .groupBy(*_CHART, chunk.alias("chunk"))
         .agg(F.sort_array(F.collect_list(bar)).alias("_bars"))
     )

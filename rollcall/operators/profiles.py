@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,15 +27,24 @@ PROFILE_PATHS = {
 }
 
 
-def flatten_profiles(profiles: DataFrame, id_from: Sequence[str] | None = None) -> DataFrame:
+def flatten_profiles(
+    profiles: DataFrame, id_from: Sequence[str] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """The 12-field user record of each nested profile, in the field order of the schema.
 
+    Columns named in ``keep`` follow it.
+
     The id is a random UUID, as every poll makes a new user; ``id_from`` names profile paths
-    to hash instead, which gives a replayed profile its old id. The address is NULL as soon as
-    one of its parts is (``concat_ws`` would close the gap and shift the parts).
+    to hash instead, which gives a replayed profile its old id, and NULL where one of them is
+    NULL. The address is NULL as soon as one of its parts is (``concat_ws`` would close the gap
+    and shift the parts).
     """
     path = PROFILE_PATHS
-    new_id = hashed_uuid(*[F.col(c) for c in id_from]) if id_from else F.uuid()
+    new_id = F.uuid()
+    if id_from:
+        given = [F.col(c) for c in id_from]
+        whole = reduce(and_, [c.isNotNull() for c in given])
+        new_id = F.when(whole, hashed_uuid(*given))
     location = "location."
     address = F.concat(
         F.col(location + "street.number"),
@@ -52,9 +63,38 @@ def flatten_profiles(profiles: DataFrame, id_from: Sequence[str] | None = None)
             (address if field == "address" else F.col(path[field]).cast("string")).alias(field)
             for field in USER_FIELDS[1:]
         ],
+        *keep,
     )
 
 
 def split_profiles(users: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Flattened profiles with a whole address, and those whose address lacks a part."""
     return users.where("address is not null"), users.where("address is null")
+
+
+def classify_profiles(
+    responses: DataFrame, id_from: Sequence[str] | None = None, strict: bool = False
+) -> DataFrame:
+    """``responses(value, profile)`` as user records with ``raw`` and ``reason``.
+
+    A response without a profile, and a profile that lacks a path of the record, has a
+    ``reason`` that names what is missing, and its text in ``raw``; both are NULL for the
+    others. Only the gender may be missing: a user without one counts in the other analyses.
+    ``strict`` fails the job at the first one instead.
+    """
+    flat = flatten_profiles(responses.select("profile.*", "profile", "value"), id_from, ["profile", "value"])
+    missing = [
+        F.when(F.col(field).isNull(), F.lit(f"no {PROFILE_PATHS.get(field, field)}"))
+        for field in USER_FIELDS
+        if field != "gender"
+    ]
+    listed = F.concat_ws("; ", *missing)
+    reason = F.when(F.col("profile").isNull(), F.lit("no profile")).when(listed != "", listed)
+    judged = flat.withColumn("reason", reason)
+    if strict:
+        complaint = F.concat(F.col("reason"), F.lit(": "), F.col("value"))
+        # Read through the check, so that no optimisation can take it out.
+        checked = F.when(F.col("reason").isNotNull(), F.raise_error(complaint).cast("string"))
+        judged = judged.withColumn("reason", checked)
+    raw = F.when(F.col("reason").isNotNull(), F.col("value"))
+    return judged.select(*USER_FIELDS, raw.alias("raw"), "reason")

@@ -50,12 +50,14 @@ def run_daily(
     strict: bool = False,
     previous: date | str | None = None,
     since: Column | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Tables, snapshot, distributions, rejected rows and charts of one day; returns its results.
 
     ``previous`` names the day whose snapshot this one builds on, and must not have been run
     before that day began; then only log files written since are read. ``since`` is another
-    condition to that end (see ``compact_users``). Running a day again replaces it.
+    condition to that end, ``buckets`` cuts the snapshot (see ``compact_users``). Running a day
+    again replaces it, dimensions that have come out empty included.
     """
     day = as_of_text(as_of)
     ensure_tables(
@@ -65,11 +67,11 @@ def run_daily(
     if previous is not None:
         earlier = paths.snapshot(previous)
         since = written_since(previous) if since is None else since
-    users = compact_users(spark, paths.log, paths.snapshot(day), kind, earlier, since)
+    users = compact_users(spark, paths.log, paths.snapshot(day), kind, earlier, since, buckets)
     write_results(daily_distributions(users, day, strict), paths.results, mode, day)
     publish_results(spark, day, paths.database)
     rejected = rejected_for_analysis(users)
     rejected.write.mode("overwrite").parquet(f"{paths.rejected}/analysis_date={day}")
     stored = read_result_days(spark, paths.results).where(F.col("analysis_date") == day)
-    write_chart_series(chart_series(stored), paths.charts)
+    write_chart_series(chart_series(stored), paths.charts, day)
     return stored

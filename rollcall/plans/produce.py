@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from rollcall.operators import encode_users, flatten_profiles, split_profiles
+from rollcall.operators import classify_profiles, encode_users
 from rollcall.schema import TOPIC
-from rollcall.sources import read_raw_profiles
+from rollcall.sources import read_responses
 from rollcall.streaming import write_message_stream
 
 
@@ -24,14 +24,48 @@ def run_produce(
     id_from: Sequence[str] | None = None,
     whole_files: bool = False,
     trigger: dict[str, Any] | None = None,
+    strict: bool = False,
 ) -> StreamingQuery:
     """Publish every response that lands in the folder ``landed``, until stopped.
 
     A topic may get a message twice when a batch is repeated after a failure. With random ids
     that is a second user; name profile paths in ``id_from`` to make it the same one. Responses
-    without a profile and profiles without a whole address are not published;
-    ``rejected_responses`` and ``split_profiles`` list them.
+    without a profile and profiles that lack a path are not published: ``strict`` fails the
+    stream at the first one, and ``run_rejects`` keeps the others with their text.
     """
-    profiles = read_raw_profiles(spark, landed, whole_files, stream=True)
-    users, _ = split_profiles(flatten_profiles(profiles, id_from))
+    classified = _classified(spark, landed, whole_files, id_from, strict)
+    users = classified.where("reason is null")
     return write_message_stream(encode_users(users), target, checkpoint, kind, topic, trigger)
+
+
+def run_rejects(
+    spark: SparkSession,
+    landed: str,
+    rejected: str,
+    checkpoint: str,
+    id_from: Sequence[str] | None = None,
+    whole_files: bool = False,
+    trigger: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """Keep ``(raw, reason)`` of every response that ``run_produce`` does not publish."""
+    classified = _classified(spark, landed, whole_files, id_from, False)
+    writer = (
+        classified.where("reason is not null")
+        .select("raw", "reason")
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", rejected)
+        .option("checkpointLocation", checkpoint)
+    )
+    return (writer if trigger is None else writer.trigger(**trigger)).start()
+
+
+def _classified(
+    spark: SparkSession,
+    landed: str,
+    whole_files: bool,
+    id_from: Sequence[str] | None,
+    strict: bool,
+) -> DataFrame:
+    responses = read_responses(spark, landed, whole_files, stream=True)
+    return classify_profiles(responses, id_from, strict)

@@ -2,7 +2,7 @@
 
 from rollcall.sources.charts import read_chart_series, write_chart_series
 from rollcall.sources.messages import write_user_messages
-from rollcall.sources.profiles import read_raw_profiles, rejected_responses
+from rollcall.sources.profiles import read_raw_profiles, read_responses, rejected_responses
 from rollcall.sources.results import ensure_results, read_result_days, read_results, write_results
 from rollcall.sources.tables import ensure_tables, publish_results
 from rollcall.sources.users import (
@@ -26,6 +26,7 @@ __all__ = [
     "read_raw_profiles",
     "read_refused",
     "read_result_days",
+    "read_responses",
     "read_results",
     "read_snapshot",
     "read_user_log",

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.functions import as_of_text
+from rollcall.schema import CHARTS
+from rollcall.sources.partitions import replace_partitions
+
 _PARTITIONS = ("analysis_date", "dimension")
 
 SERIES_SCHEMA = (
@@ -13,15 +19,13 @@ SERIES_SCHEMA = (
 )
 
 
-def write_chart_series(series: DataFrame, path: str) -> None:
+def write_chart_series(
+    series: DataFrame, path: str, as_of: date | str | None = None
+) -> None:
     """Store chart series under ``path/analysis_date=.../dimension=...``, replacing those
-    of the same day and chart."""
-    (
-        series.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_PARTITIONS)
-        .parquet(path)
-    )
+    of the same day and chart. Given the day ``as_of``, a chart without bars is emptied, too."""
+    expected = [] if as_of is None else [(as_of_text(as_of), chart) for chart in CHARTS]
+    replace_partitions(series, path, _PARTITIONS, expected)
 
 
 def read_chart_series(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from rollcall.schema import RESPONSE_SCHEMA
 
 
-def _responses(spark: SparkSession, path: str, whole_files: bool, stream: bool) -> DataFrame:
+def read_responses(
+    spark: SparkSession, path: str, whole_files: bool = False, stream: bool = False
+) -> DataFrame:
+    """``(value, profile)`` of every landed response: its text, and its first profile or NULL."""
     reader = spark.readStream if stream else spark.read
     text = reader.text(path, wholetext=whole_files).where(F.trim("value") != "")
     profile = F.get(F.from_json("value", RESPONSE_SCHEMA)["results"], F.lit(0))
@@ -27,7 +30,7 @@ def read_raw_profiles(
     A response is a line of text, or a file with ``whole_files``. One without a profile fails
     the job if ``strict``; otherwise it is found in ``rejected_responses``.
     """
-    responses = _responses(spark, path, whole_files, stream)
+    responses = read_responses(spark, path, whole_files, stream)
     profile = F.col("profile")
     if strict:
         complaint = F.concat(F.lit("response without a profile: "), F.col("value"))
@@ -41,4 +44,4 @@ def rejected_responses(
     spark: SparkSession, path: str, whole_files: bool = False, stream: bool = False
 ) -> DataFrame:
     """Text of the responses that hold no profile."""
-    return _responses(spark, path, whole_files, stream).where("profile is null").select("value")
+    return read_responses(spark, path, whole_files, stream).where("profile is null").select("value")

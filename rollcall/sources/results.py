@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import as_of_text
 from rollcall.operators.keyed import latest_by_key
-from rollcall.schema import RESULT_KEY, RESULT_PARTITIONS, RESULT_SCHEMA
+from rollcall.schema import DIMENSIONS, RESULT_KEY, RESULT_PARTITIONS, RESULT_SCHEMA
+from rollcall.sources.partitions import replace_partitions
 
 
 def ensure_results(spark: SparkSession, path: str) -> None:
@@ -40,7 +41,8 @@ def write_results(
 ) -> None:
     """Store distributions; writing the same ones again changes nothing.
 
-    ``replace`` puts the new rows in place of the (dimension, day) partitions they belong to.
+    ``replace`` puts the new rows in place of the (dimension, day) partitions they belong to;
+    given the day ``as_of``, a dimension that has no row on it any more is emptied, too.
     ``merge`` is an upsert by category into the day ``as_of``: categories that are not in
     ``results`` any more stay.
     """
@@ -50,12 +52,11 @@ def write_results(
         results = _merged(results, path, as_of_text(as_of))
     elif mode != "replace":
         raise ValueError(f"mode is 'replace' or 'merge', not {mode!r}")
-    (
-        results.select(*RESULT_SCHEMA.names)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*RESULT_PARTITIONS)
-        .parquet(path)
+    expected = []
+    if mode == "replace" and as_of is not None:
+        expected = [(dimension, as_of_text(as_of)) for dimension in DIMENSIONS]
+    replace_partitions(
+        results.select(*RESULT_SCHEMA.names), path, RESULT_PARTITIONS, expected
     )
 
 

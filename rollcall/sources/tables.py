@@ -17,6 +17,7 @@ from rollcall.schema import (
     log_schema,
     order_columns,
 )
+from rollcall.sources.results import ensure_results
 
 
 def _columns(schema: T.StructType) -> str:
@@ -40,7 +41,8 @@ def ensure_tables(
     Tables: ``user_log`` and ``results``, over the folders the jobs write. Views:
     ``created_users``, the last row of every user in the log, and ``age``, ``gender``, ``city``,
     ``country``, the results of one dimension each under the column names of old,
-    ``(<category>, percentage, analysis_date)``. What exists is left alone.
+    ``(<category>, percentage, analysis_date)``. What exists is left alone;
+    a new table finds the days that are stored already.
     """
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS `{database}` {_location(location) if location else ''}"
@@ -49,10 +51,14 @@ def ensure_tables(
         f"CREATE TABLE IF NOT EXISTS `{database}`.user_log ({_columns(log_schema(kind))}) "
         f"USING parquet {_location(log_path)}"
     )
+    new = not spark.catalog.tableExists(f"`{database}`.results")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{database}`.results ({_columns(RESULT_SCHEMA)}) "
         f"USING parquet PARTITIONED BY ({', '.join(RESULT_PARTITIONS)}) {_location(results_path)}"
     )
+    if new:  # days that were stored before the table was there
+        ensure_results(spark, results_path)
+        spark.sql(f"ALTER TABLE `{database}`.results RECOVER PARTITIONS")
     # The same "row number = 1" as latest_by_key, thinned out before the shuffle like there.
     newest_first = ", ".join(f"`{c}` DESC NULLS LAST" for c in order_columns(kind))
     spark.sql(

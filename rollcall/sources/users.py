@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -48,13 +49,34 @@ def latest_users(
     return latest_by_key(log.select(*wanted), ["id"], order_columns(kind)).select(*columns)
 
 
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog says of a table, empty if it has none."""
+    if not spark.catalog.tableExists(table):
+        return {}
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").collect()
+    return {row.col_name: row.data_type for row in rows}
+
+
+def _is_table_of(spark: SparkSession, snapshot: Snapshot) -> bool:
+    """Whether the catalog's table of that name lies in the snapshot's own folder."""
+    if snapshot.table is None:
+        return False
+    location = _described(spark, snapshot.table).get("Location")
+    return location is not None and _plain(location) == _plain(snapshot.path)
+
+
+def _plain(path: str) -> str:
+    """A path without the scheme of the local file system and its repeated slashes."""
+    return re.sub("/+", "/", re.sub("^file:", "", path)).rstrip("/")
+
+
 def read_snapshot(spark: SparkSession, snapshot: Snapshot, kind: str = "kafka") -> DataFrame:
     """A snapshot made by ``compact_users``: one row per user.
 
-    Read as a table where the catalog has it, so that joins on the id find its buckets, and
-    from its folder otherwise.
+    Read as a table where the catalog has it in that folder, so that joins on the id find its
+    buckets, and from the folder otherwise: a table of the same name may be another pipeline's.
     """
-    if snapshot.table is not None and spark.catalog.tableExists(snapshot.table):
+    if _is_table_of(spark, snapshot):
         return spark.table(snapshot.table)
     return spark.read.schema(snapshot_schema(kind)).parquet(snapshot.path)
 
@@ -77,6 +99,7 @@ def compact_users(
     kind: str = "kafka",
     previous: Snapshot | None = None,
     since: Column | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Write the keyed table to its own folder and return it, read back from there.
 
@@ -86,8 +109,11 @@ def compact_users(
     themselves. A folder left over by an earlier attempt is replaced; ``previous`` must be
     another one.
 
-    A snapshot with a table name is bucketed by id, as many buckets as a shuffle has partitions:
-    the next day's merge then shuffles the new log rows only, never the snapshot.
+    A snapshot with a table name is bucketed by id: the next day's merge then shuffles the new
+    log rows only, never the snapshot. ``buckets`` says into how many, about one for each
+    gigabyte that the table will grow to; left out, the previous snapshot's number is kept, and
+    the first one takes as many as a shuffle has partitions. A table of that name over another
+    folder is not replaced but refused.
 
     Everything of a day reads the snapshot, so the log is deduplicated once; and since it is a
     written table, lost executors never cause the log to be read again.
@@ -105,7 +131,12 @@ def compact_users(
     if snapshot.table is None:
         writer.save(snapshot.path)
     else:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if _described(spark, snapshot.table) and not _is_table_of(spark, snapshot):
+            raise ValueError(f"{snapshot.table} is the table of another folder")
+        if buckets is None and previous is not None and _is_table_of(spark, previous):
+            buckets = int(_described(spark, previous.table).get("Num Buckets", 0)) or None
+        if buckets is None:
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(buckets, "id").sortBy("id").option("path", snapshot.path)
         writer.saveAsTable(snapshot.table)
     return read_snapshot(spark, snapshot, kind)

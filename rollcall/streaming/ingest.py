@@ -45,7 +45,6 @@ def write_user_log(
     path: str,
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
-    retention: str | None = None,
 ) -> StreamingQuery:
     """Append classified messages to the log and return the running query.
 
@@ -53,8 +52,7 @@ def write_user_log(
     and lost executors. Nothing is shuffled: each task writes what it read. Good and
     refused messages share the file, so the source is read and parsed once; ``reason`` tells
     them apart. ``trigger`` holds the arguments of ``DataStreamWriter.trigger``; without it
-    micro-batches follow one another. ``retention`` ("30 days") lets the sink forget old files
-    once they are compacted into a snapshot.
+    micro-batches follow one another. The log keeps all files: the view over it reads nothing else.
     """
     writer = (
         classified.writeStream.format("parquet")
@@ -62,8 +60,6 @@ def write_user_log(
         .option("checkpointLocation", checkpoint)
         .option("path", path)
     )
-    if retention is not None:
-        writer = writer.option("retention", retention)
     if trigger is not None:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -22,15 +22,29 @@ from rollcall.functions.text import WHITESPACE
 from rollcall.schema import AGE_EDGES, AGE_EDGES_AS_LABELLED, AGE_LABELS
 
 
+DOB_FORMAT = "%Y-%m-%dT%H:%M:%S.%fZ"  # fixed value: how birth dates are written
+
+
 def python_dob(text):
     try:
-        return datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%fZ").date()
+        return datetime.strptime(text, DOB_FORMAT).date()
     except (ValueError, TypeError):
         return None
 
 
+def anniversary(born, year):
+    """Birthday in a year; those born on Feb 29 turn older on Mar 1 of common years."""
+    try:
+        return born.replace(year=year)
+    except ValueError:
+        return date(year, 3, 1)
+
+
 def python_age(born, today):
-    return today.year - born.year - ((today.month, today.day) < (born.month, born.day))
+    """Birthdays passed since the birth; before it, birthdays still to come count down."""
+    passed = sum(anniversary(born, y) <= today for y in range(born.year + 1, today.year + 1))
+    ahead = sum(anniversary(born, y) > today for y in range(today.year, born.year + 1))
+    return passed if born <= today else -ahead
 
 
 def test_whitespace_is_what_python_strips():
