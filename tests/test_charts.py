@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.operators import chart_arrays, chart_series
 from rollcall.schema import RESULT_SCHEMA
@@ -89,3 +90,36 @@ def test_stored_series(spark, tmp_path):
     assert sorted(r.analysis_date for r in stored.collect()) == [DAY, "2024-07-01"]
     assert sorted(stored.columns) == sorted(series.columns)
     assert (tmp_path / "charts" / f"analysis_date={DAY}" / "dimension=gender").is_dir()
+
+
+@pytest.mark.parametrize("tied", [3, 900])
+def test_chunks_in_order_are_the_whole_largest_first(spark, tied):
+    rows = [(f"c{i:04}", 1.0 if i < tied else i / 10, "country", DAY) for i in range(1000)]
+    found = sorted(chart_arrays(results(spark, rows), max_items=50).collect(), key=lambda r: r.chunk)
+    shares = [p for r in found for p in r.percentages]
+    assert shares == sorted((p for _, p, _, _ in rows), reverse=True)
+    assert sorted(c for r in found for c in r.categories) == sorted(c for c, *_ in rows)
+    assert max(len(r.categories) for r in found) <= 150
+
+
+def test_hot_level_is_dealt_over_salts(spark):
+    """Nearly all bars share one percentage; without broadcast no task gets them all."""
+    rows = spark.range(20_000).selectExpr(
+        "concat('c', id) as category", "if(id < 10, id + 1.0D, 0.5D) as percentage",
+        "'country' as dimension", f"'{DAY}' as analysis_date",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        series = chart_series(rows).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in series.groupBy("task").count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 20_000 and max(sizes) < 8_000

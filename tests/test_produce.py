@@ -1,9 +1,11 @@
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from rollcall.operators import encode_users
-from rollcall.plans import run_produce
+from rollcall.plans import run_produce, run_rejects
 from rollcall.schema import USER_FIELDS, message_schema
 from rollcall.sources import latest_users, write_user_messages
 from rollcall.sources.messages import kafka_target
@@ -64,3 +66,24 @@ def test_messages_without_order_get_the_time(spark, tmp_path):
 
 def test_topic_options():
     assert kafka_target("b:1") == {"kafka.bootstrap.servers": "b:1", "topic": "users_created"}
+
+
+def test_rejects_and_strictness(spark, tmp_path):
+    """What is not published is kept with its reason; a missing id path is one; strict fails."""
+    land(tmp_path / "landed", "1.json", "a")
+    land(tmp_path / "landed", "2.json", "b", login=None)
+    land(tmp_path / "landed", "3.json", "c", gender=None)
+    (tmp_path / "landed" / "4.json").write_text('{"results":[]}\nnot json\n')
+    how = {"id_from": ["login.username"], "trigger": {"availableNow": True}}
+    landed, messages, rejected = (str(tmp_path / n) for n in ("landed", "messages", "rejected"))
+    run_produce(spark, landed, messages, str(tmp_path / "c1"), "files", **how).awaitTermination()
+    run_rejects(spark, landed, rejected, str(tmp_path / "c2"), **how).awaitTermination()
+    values = spark.read.parquet(messages).collect()
+    assert sorted(json.loads(bytes(r.value))["email"] for r in values) == ["a", "c"]
+    reasons = sorted(r.reason for r in spark.read.parquet(rejected).collect())
+    assert reasons == ["no id; no login.username", "no profile", "no profile"]
+    query = run_produce(
+        spark, landed, str(tmp_path / "m2"), str(tmp_path / "c3"), "files", strict=True, **how
+    )
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()

@@ -20,6 +20,7 @@ from rollcall.sources import (
     publish_results,
     read_result_days,
     read_results,
+    read_snapshot,
     read_user_log,
     write_results,
 )
@@ -200,3 +201,43 @@ def test_snapshot_cannot_replace_its_own_source(spark, tmp_path):
     same = snapshot(tmp_path, "same")
     with pytest.raises(ValueError):
         compact_users(spark, str(tmp_path / "log"), same, "files", previous=same)
+
+
+def test_snapshot_is_known_by_its_folder(spark, sf_dir, tmp_path):
+    """Two pipelines use one table name: each reads its own folder, none takes the other's table."""
+    spark.sql(f"create database if not exists twins location '{tmp_path}/db'")
+    log, other = str(tmp_path / "log"), str(tmp_path / "other")
+    users = t.full_users(spark, sf_dir)
+    append_log(users, log)
+    append_log(users.where("seq <= 11"), other)
+    first = Snapshot(str(tmp_path / "a"), "twins.users")
+    second = Snapshot(str(tmp_path / "b"), "twins.users")
+    assert compact_users(spark, log, first, "files").count() == users.count()
+    with pytest.raises(ValueError, match="another folder"):
+        compact_users(spark, other, second, "files")
+    small = compact_users(spark, other, Snapshot(second.path), "files").count()
+    assert small == users.where("seq <= 11").count() < users.count()
+    assert read_snapshot(spark, second, "files").count() == small
+    assert read_snapshot(spark, first, "files").count() == users.count()
+    spark.sql("drop database twins cascade")
+
+
+def test_number_of_buckets_is_kept(spark, sf_dir, tmp_path):
+    spark.sql(f"create database if not exists buckets location '{tmp_path}/db'")
+    log = str(tmp_path / "log")
+    append_log(t.full_users(spark, sf_dir), log)
+    first, second, third = (Snapshot(str(tmp_path / n), f"buckets.{n}") for n in "abc")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    compact_users(spark, log, first, "files", buckets=3)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        compact_users(spark, log, second, "files", first)
+        compact_users(spark, log, third, "files", second, buckets=5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    kept = []
+    for s in (first, second, third):
+        rows = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {s.table}").collect()}
+        kept.append(rows["Num Buckets"])
+    assert kept == ["3", "3", "5"]
+    spark.sql("drop database buckets cascade")
