@@ -3,9 +3,8 @@
 Lines are normalised (lower case, digits as 0, punctuation and runs of blanks as one blank) and
 fingerprinted by SimHash over their words. Two lines within ``RADIUS`` bits agree in two of
 five blocks of the fingerprint at least, so that ten keys, one for each pair of blocks, bring all
-of them together. Rows of a key that only one line has are gone before anything is compared. What
-is near by fingerprint makes clusters; in these, lines are linked that are near by fingerprint
-and by edit similarity, and of each connected group the first occurrence stays.
+of them together. What is near by fingerprint makes clusters; in these, lines are linked that are
+near by fingerprint and by edit similarity, and of each connected group the first occurrence stays.
 """
 
 from __future__ import annotations
@@ -95,9 +94,12 @@ class Lines:
         else:
             self.name = self.print = np.empty(0, np.uint64)
 
-    def plain(self, i: int) -> str:
-        """Line ``i`` as it was normalised."""
-        return b" ".join(self.data[self.starts[i] : self.ends[i]].tobytes().split()).decode("utf-8", "replace")
+
+def plain(lines: list[str]) -> list[str]:
+    """Lines as they are normalised."""
+    lower = pc.utf8_lower(pa.array(lines, pa.string())).to_pylist()
+    table = _PLAIN.tobytes()
+    return [b" ".join(x.encode().translate(table).split()).decode() for x in lower]
 
 
 def with_identity(docs: DataFrame) -> DataFrame:
@@ -127,19 +129,33 @@ def occurrences(docs: DataFrame) -> DataFrame:
     )
 
 
-def _line_texts(docs: DataFrame) -> DataFrame:
-    """(node, line): normalised lines by name, each once per chunk."""
+def _line_texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
+    """(node, print, line): normalised lines of ``spots(node, print, doc_id, th, number)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            lines = Lines(batch.column("text"))
-            names, where = np.unique(lines.name, return_index=True)
+            rows, lines = [], []
+            for text, spots in zip(batch.column("text").to_pylist(), batch.column("spots").to_pylist()):
+                own = (text or "").split("\n")
+                rows += spots
+                lines += [own[s["number"]] for s in spots]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names.view(np.int64)), pa.array([lines.plain(i) for i in where], pa.string())],
-                ["node", "line"],
+                [
+                    pa.array([r["node"] for r in rows], pa.int64()),
+                    pa.array([r["print"] for r in rows], pa.int64()),
+                    pa.array(plain(lines), pa.string()),
+                ],
+                ["node", "print", "line"],
             )
 
-    return docs.select("text").mapInArrow(run, "node long, line string")
+    by_doc = spots.groupBy(F.col("doc_id").alias("spot_id"), F.col("th").alias("spot_th")).agg(
+        F.collect_list(F.struct("node", "print", "number")).alias("spots")
+    )
+    rows = docs.join(
+        sent_if_small(written(by_doc, "line-spots")),
+        F.col("doc_id").eqNullSafe(F.col("spot_id")) & (F.col("line_text_hash") == F.col("spot_th")),
+    )
+    return rows.select("text", "spots").mapInArrow(run, "node long, print long, line string")
 
 
 def _keys() -> Column:
@@ -157,51 +173,83 @@ def _keys() -> Column:
     )
 
 
-def near_by_print(lines: DataFrame) -> DataFrame:
-    """(u, v) that connect all lines of ``lines(node, print)`` within the radius, and few others."""
-    rows = lines.select("node", "print", F.explode(_keys()).alias("key"))
-    counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
-    rows = written(rows.join(counts.filter("n > 1"), "key"), "line-keys")
-    stars = rows.filter(F.col("n") > LARGE_BUCKET).select(
-        F.col("node").alias("u"), F.col("centre").alias("v")
-    )
+def _near_in_buckets(key: np.ndarray, node: np.ndarray, print_: np.ndarray) -> list[np.ndarray]:
+    """Links that connect what is within the radius in each run of equal keys."""
+    start = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+    size = np.diff(np.append(start, len(key)))
+    two = start[size == 2]
+    near = two[np.bitwise_count(print_[two] ^ print_[two + 1]) <= RADIUS]
+    out = [np.stack([node[near], node[near + 1]])]
+    for i, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
+        own = print_[i : i + n]
+        pairs = np.nonzero(np.triu(np.bitwise_count(own[:, None] ^ own[None, :]) <= RADIUS, 1))
+        links = spanning_links(node[i : i + n].tolist(), zip(*(x.tolist() for x in pairs)))
+        if links:
+            out.append(np.array(links).T)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, prints, out = None, [], [], []
 
-        def links() -> list[tuple[int, int]]:
-            if len(nodes) < 2:
-                return []
-            p = np.array(prints, np.int64)
-            near = np.bitwise_count(p[:, None] ^ p[None, :]) <= RADIUS
-            left, right = np.nonzero(np.triu(near, 1))
-            return spanning_links(nodes, zip(left.tolist(), right.tolist()))
+def near_by_print(lines: DataFrame) -> DataFrame:
+    """(u, v) that connect all lines of ``lines(node, print)`` within the radius, and few others.
+
+    Rows come sorted by key, so that a task holds one bucket at a time. A bucket of more than
+    ``LARGE_BUCKET`` lines is not compared here: its lines are linked to its first one, as
+    they pass by.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((3, 0), np.int64)
+        centre = None
         for batch in batches:
-            for k, node, own in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "print"))):
-                if k != key:
-                    out += links()
-                    key, nodes, prints = k, [], []
-                nodes.append(node)
-                prints.append(own)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["u", "v"])
-                out = []
-        out += links()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["u", "v"])
+            rows = np.stack([batch.column(c).to_numpy() for c in ("key", "node", "print")])
+            rows = np.concatenate([held, rows], 1)
+            out = []
+            if not rows.shape[1]:
+                continue
+            cut = int(np.searchsorted(rows[0], rows[0, -1]))
+            whole, held = rows[:, :cut], rows[:, cut:]
+            if centre is not None and (cut or held.shape[1] > 1):
+                same = rows[1, : int(np.searchsorted(rows[0], centre[0], side="right"))]
+                out.append(np.stack([same, np.full(len(same), centre[1])]))
+                whole = rows[:, len(same) : cut] if cut else whole
+                if cut:
+                    centre = None
+                else:
+                    held = held[:, :1]
+            if whole.shape[1]:
+                out += _near_in_buckets(*whole)
+            if held.shape[1] > LARGE_BUCKET:
+                centre = (held[0, 0], held[1, 0])
+                out.append(np.stack([held[1], np.full(held.shape[1], held[1, 0])]))
+                held = held[:, :1]
+            links = np.concatenate(out, 1) if out else np.empty((2, 0), np.int64)
+            links = links[:, links[0] != links[1]]
+            if links.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], ["u", "v"])
+        if held.shape[1] > 1:
+            links = np.concatenate(_near_in_buckets(*held), 1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], ["u", "v"])
 
-    compared = (
-        rows.filter(F.col("n") <= LARGE_BUCKET).select("key", "node", "print")
+    return (
+        lines.select(F.explode(_keys()).alias("key"), "node", "print")
         .repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
     )
-    return stars.unionByName(compared)
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
-    """Levenshtein distance by Myers' bit vectors; ``most + 1`` if it is certainly larger."""
+    """Levenshtein distance by Myers' bit vectors, without what both begin and end with.
+
+    ``most + 1`` if it is certainly larger than ``most``.
+    """
     if abs(len(a) - len(b)) > most:
         return most + 1
+    head = 0
+    while head < len(a) and head < len(b) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
     if not a or not b:
         return max(len(a), len(b))
     place: dict[str, int] = {}
@@ -280,9 +328,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     found = written(occurrences(docs), "line-found")
     lines = written(found.select("node", "print").distinct(), "line-names")
     clusters = written(connected_components(near_by_print(lines)), "line-clusters")
-    wanted = clusters.select("node")
-    texts = _line_texts(docs).join(sent_if_small(wanted), "node").dropDuplicates(["node"])
-    texts = written(texts.join(sent_if_small(lines.join(wanted, "node", "left_semi")), "node"), "line-texts")
+    spots = found.join(sent_if_small(clusters.select("node")), "node").dropDuplicates(["node"])
+    texts = written(_line_texts(docs, spots), "line-texts")
     joined = connected_components(links_within(clusters, lambda placed: _confirmed(placed, texts)))
     grouped = found.join(sent_if_small(joined), "node", "left").select(
         F.coalesce("root", "node").alias("line_group"), "doc_id", "th", "number"
