@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .clusters import links_within, sent_if_small, spanning_links
+from .clusters import BLOCK, links_within, sent_if_small, spanning_links
 from .common import (
     mixed,
     powers,
@@ -178,6 +178,7 @@ def _near_in_buckets(key: np.ndarray, node: np.ndarray, print_: np.ndarray) -> l
     start = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
     size = np.diff(np.append(start, len(key)))
     two = start[size == 2]
+    print_ = print_.view(np.uint64)  # the count of a negative number is that of its size
     near = two[np.bitwise_count(print_[two] ^ print_[two + 1]) <= RADIUS]
     out = [np.stack([node[near], node[near + 1]])]
     for i, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
@@ -286,7 +287,7 @@ def _confirmed(placed: DataFrame, texts: DataFrame) -> DataFrame:
         def links() -> list[tuple[int, int]]:
             if len(group) < 2:
                 return []
-            p = np.array([g[1] for g in group], np.int64)
+            p = np.array([g[1] for g in group], np.int64).view(np.uint64)
             visitor = np.array([g[2] for g in group])
             near = np.bitwise_count(p[:, None] ^ p[None, :]) <= RADIUS
             near &= ~(visitor[:, None] & visitor[None, :])
@@ -319,6 +320,22 @@ def _confirmed(placed: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
+def _compared_together(clusters: DataFrame, lines: DataFrame) -> DataFrame:
+    """(node, root): groups in which every two lines within the radius meet.
+
+    Clusters as they are, if of a block's size. Short lines chain into larger ones that hold few
+    links; there the lines of each bucket are a group, ten for each line.
+    """
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
+    sized = written(clusters.join(sizes, "root"), "line-sized")
+    wide = lines.join(sent_if_small(sized.filter(F.col("n") > BLOCK).select("node")), "node")
+    rows = written(wide.select("node", F.explode(_keys()).alias("root")), "line-buckets")
+    full = rows.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
+    return sized.filter(F.col("n") <= BLOCK).select("node", "root").unionByName(
+        rows.join(full, "root").select("node", "root")
+    )
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, th, drop): per document the numbers of its lines that repeat an earlier one.
 
@@ -330,7 +347,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     clusters = written(connected_components(near_by_print(lines)), "line-clusters")
     spots = found.join(sent_if_small(clusters.select("node")), "node").dropDuplicates(["node"])
     texts = written(_line_texts(docs, spots), "line-texts")
-    joined = connected_components(links_within(clusters, lambda placed: _confirmed(placed, texts)))
+    groups = _compared_together(clusters, lines)
+    joined = connected_components(links_within(groups, lambda placed: _confirmed(placed, texts)))
     grouped = found.join(sent_if_small(joined), "node", "left").select(
         F.coalesce("root", "node").alias("line_group"), "doc_id", "th", "number"
     )
