@@ -70,15 +70,16 @@ class Lines:
         self.data = _PLAIN[data]
         is_break = self.data == 10
         starts, ends, at = spans(~is_break, offsets)
-        breaks = np.concatenate([[0], np.cumsum(is_break)])
+        breaks = np.flatnonzero(is_break)
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
-        number = breaks[starts] - breaks[offsets[text]]
+        number = np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets)[text]
         borders = np.append(starts, len(self.data))
         w_start, w_end, w_at = spans(solid(self.data) & ~is_break, borders)
         n_words = np.diff(w_at)
-        chars = np.concatenate([[0], np.cumsum((self.data & 0xC0) != 0x80)])
-        w_chars = np.concatenate([[0], np.cumsum(chars[w_end] - chars[w_start])])
-        length = w_chars[w_at[1:]] - w_chars[w_at[:-1]] + np.maximum(n_words - 1, 0)
+        sizes = np.concatenate([[0], np.cumsum(w_end - w_start)])
+        length = sizes[w_at[1:]] - sizes[w_at[:-1]] + np.maximum(n_words - 1, 0)
+        for i in np.flatnonzero((length >= MIN_CHARS) & (length < 4 * MIN_CHARS)):
+            length[i] -= np.count_nonzero((self.data[starts[i] : ends[i]] & 0xC0) == 0x80)
         good = (n_words >= MIN_WORDS) & (length >= MIN_CHARS)
         self.text, self.number = text[good], number[good]
         self.starts, self.ends = starts[good], ends[good]
@@ -278,8 +279,27 @@ def alike(a: str, b: str, percent: int = PERCENT) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _confirmed(placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links of ``placed(cluster, block, node, visitor)`` by fingerprint and edit similarity."""
+def _meets_first(p: np.ndarray, key: int) -> np.ndarray:
+    """For every two fingerprints whether ``key`` is the first of the keys that they share."""
+    apart = p[:, None] ^ p[None, :]
+    same, at = [], 0
+    for bits in BLOCKS:
+        same.append((apart >> np.uint64(at)) & np.uint64((1 << bits) - 1) == 0)
+        at += bits
+    first = np.ones(apart.shape, bool)
+    for number, (a, b) in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS)):
+        if number == key >> 26:
+            return first & same[a] & same[b]
+        first &= ~(same[a] & same[b])
+    return first
+
+
+def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
+    """Links of ``placed(cluster, block, node, visitor)`` by fingerprint and edit similarity.
+
+    With ``by_key`` clusters are buckets, named by their key, and two lines are compared in the
+    first bucket that they share only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group, out = None, [], []
@@ -291,6 +311,8 @@ def _confirmed(placed: DataFrame, texts: DataFrame) -> DataFrame:
             visitor = np.array([g[2] for g in group])
             near = np.bitwise_count(p[:, None] ^ p[None, :]) <= RADIUS
             near &= ~(visitor[:, None] & visitor[None, :])
+            if by_key:
+                near &= _meets_first(p, key[0])
             left, right = np.nonzero(np.triu(near, 1))
             return spanning_links(
                 [g[0] for g in group], zip(left.tolist(), right.tolist()),
@@ -320,20 +342,24 @@ def _confirmed(placed: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _compared_together(clusters: DataFrame, lines: DataFrame) -> DataFrame:
-    """(node, root): groups in which every two lines within the radius meet.
+def _all_links(clusters: DataFrame, lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) that connect what is alike in the clusters.
 
-    Clusters as they are, if of a block's size. Short lines chain into larger ones that hold few
-    links; there the lines of each bucket are a group, ten for each line.
+    A cluster of a block's size is one group to compare. Short lines chain into larger ones
+    that hold few links; there the lines of each bucket are a group, ten for each line.
     """
     sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
     sized = written(clusters.join(sizes, "root"), "line-sized")
-    wide = lines.join(sent_if_small(sized.filter(F.col("n") > BLOCK).select("node")), "node")
-    rows = written(wide.select("node", F.explode(_keys()).alias("root")), "line-buckets")
-    full = rows.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
-    return sized.filter(F.col("n") <= BLOCK).select("node", "root").unionByName(
-        rows.join(full, "root").select("node", "root")
-    )
+    small = sized.filter(F.col("n") <= BLOCK).select("node", "root")
+    links = links_within(small, lambda placed: _confirmed(placed, texts, False))
+    wide = sized.filter(F.col("n") > BLOCK).select("node")
+    if wide.isEmpty():
+        return links
+    wide = lines.join(sent_if_small(wide), "node").select("node", F.explode(_keys()).alias("root"))
+    wide = written(wide, "line-buckets")
+    full = wide.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
+    buckets = written(wide.join(full, "root").select("node", "root"), "line-buckets")
+    return links.unionByName(links_within(buckets, lambda placed: _confirmed(placed, texts, True)))
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -347,8 +373,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     clusters = written(connected_components(near_by_print(lines)), "line-clusters")
     spots = found.join(sent_if_small(clusters.select("node")), "node").dropDuplicates(["node"])
     texts = written(_line_texts(docs, spots), "line-texts")
-    groups = _compared_together(clusters, lines)
-    joined = connected_components(links_within(groups, lambda placed: _confirmed(placed, texts)))
+    joined = connected_components(_all_links(clusters, lines, texts))
     grouped = found.join(sent_if_small(joined), "node", "left").select(
         F.coalesce("root", "node").alias("line_group"), "doc_id", "th", "number"
     )
