@@ -279,21 +279,57 @@ def alike(a: str, b: str, percent: int = PERCENT) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _meets_first(p: np.ndarray, key: int) -> np.ndarray:
-    """For every two fingerprints whether ``key`` is the first of the keys that they share."""
-    apart = p[:, None] ^ p[None, :]
+def _first_key(apart: np.ndarray) -> np.ndarray:
+    """Number of the first key that two fingerprints share, from the bits they differ in; or -1."""
     same, at = [], 0
     for bits in BLOCKS:
         same.append((apart >> np.uint64(at)) & np.uint64((1 << bits) - 1) == 0)
         at += bits
-    first = np.ones(apart.shape, bool)
+    first = np.full(apart.shape, -1)
     for number, (a, b) in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS)):
-        if number == key >> 26:
-            return first & same[a] & same[b]
-        first &= ~(same[a] & same[b])
+        first[(first < 0) & same[a] & same[b]] = number
     return first
 
 
+def _has_partner(key: np.ndarray, print_: np.ndarray) -> np.ndarray:
+    """Per row of sorted buckets whether another one is near for which this is the first key."""
+    print_ = print_.view(np.uint64)
+    out = np.zeros(len(key), bool)
+    for d in range(1, len(key)):
+        i = np.flatnonzero(key[:-d] == key[d:])
+        if not len(i):
+            break
+        apart = print_[i] ^ print_[i + d]
+        i, apart = i[(near := np.bitwise_count(apart) <= RADIUS)], apart[near]
+        i = i[_first_key(apart) == key[i] >> 26]
+        out[i] = out[i + d] = True
+    return out
+
+
+def _partners(rows: DataFrame) -> DataFrame:
+    """(node, root) of ``rows(root, node, print)``, whole buckets, that have a partner there."""
+
+    def kept(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        good = _has_partner(rows[0], rows[2])
+        if good.any():
+            yield pa.RecordBatch.from_arrays([pa.array(rows[1, good]), pa.array(rows[0, good])], ["node", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((3, 0), np.int64)
+        for batch in batches:
+            new = np.stack([batch.column(c).to_numpy() for c in ("root", "node", "print")])
+            rows = np.concatenate([held, new], 1)
+            cut = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0
+            yield from kept(rows[:, :cut])
+            held = rows[:, cut:]
+        yield from kept(held)
+
+    return (
+        rows.select("root", "node", "print")
+        .repartition("root").sortWithinPartitions("root").mapInArrow(run, "node long, root long")
+    )
+
+
 def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
     """Links of ``placed(cluster, block, node, visitor)`` by fingerprint and edit similarity.
 
@@ -312,7 +348,7 @@ def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
             near = np.bitwise_count(p[:, None] ^ p[None, :]) <= RADIUS
             near &= ~(visitor[:, None] & visitor[None, :])
             if by_key:
-                near &= _meets_first(p, key[0])
+                near &= _first_key(p[:, None] ^ p[None, :]) == key[0] >> 26
             left, right = np.nonzero(np.triu(near, 1))
             return spanning_links(
                 [g[0] for g in group], zip(left.tolist(), right.tolist()),
@@ -346,7 +382,8 @@ def _all_links(clusters: DataFrame, lines: DataFrame, texts: DataFrame) -> DataF
     """Links (u, v) that connect what is alike in the clusters.
 
     A cluster of a block's size is one group to compare. Short lines chain into larger ones
-    that hold few links; there the lines of each bucket are a group, ten for each line.
+    that hold few links; there the lines of a bucket are a group, those that have a near line
+    in it and in no bucket before it.
     """
     sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
     sized = written(clusters.join(sizes, "root"), "line-sized")
@@ -355,10 +392,14 @@ def _all_links(clusters: DataFrame, lines: DataFrame, texts: DataFrame) -> DataF
     wide = sized.filter(F.col("n") > BLOCK).select("node")
     if wide.isEmpty():
         return links
-    wide = lines.join(sent_if_small(wide), "node").select("node", F.explode(_keys()).alias("root"))
-    wide = written(wide, "line-buckets")
-    full = wide.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
-    buckets = written(wide.join(full, "root").select("node", "root"), "line-buckets")
+    wide = lines.join(sent_if_small(wide), "node")
+    wide = written(wide.select("node", "print", F.explode(_keys()).alias("root")), "line-buckets")
+    full = wide.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1")
+    wide = written(wide.join(full, "root"), "line-buckets")
+    buckets = _partners(wide.filter(F.col("n") <= LARGE_BUCKET)).unionByName(
+        wide.filter(F.col("n") > LARGE_BUCKET).select("node", "root")
+    )
+    buckets = written(buckets, "line-buckets")
     return links.unionByName(links_within(buckets, lambda placed: _confirmed(placed, texts, True)))
 
 

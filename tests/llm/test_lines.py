@@ -168,3 +168,32 @@ def test_buckets_over_batches(spark, monkeypatch, large, cut):
     groups = set(map(frozenset, groups.values()))
     assert frozenset({101, 102}) in groups and frozenset(range(103, 112)) in groups
     assert any({112, 114} <= g for g in groups) and frozenset({100}) in groups
+
+
+def test_partners_meet_once():
+    """Of two near fingerprints each is held in the first bucket that they share, and there only."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(-(2**62), 2**62, 30)
+    prints = np.concatenate([base, *[base ^ (1 << rng.integers(0, 62, 30)) for _ in range(4)]])
+    rows = []
+    for node, p in enumerate(prints.tolist()):
+        blocks, at = [], 0
+        for bits in ln.BLOCKS:
+            blocks.append((p >> at) & ((1 << bits) - 1))
+            at += bits
+        for i, (a, b) in enumerate(ln.combinations(range(5), 2)):
+            rows.append((i << 26 | blocks[a] << 13 | blocks[b], node, p))
+    rows.sort()
+    key, node, own = (np.array(x) for x in zip(*rows))
+    kept = ln._has_partner(key, own)
+    met = {}
+    for i in range(len(key)):
+        for j in range(i + 1, len(key)):
+            if key[j] != key[i]:
+                break
+            if (int(own[i]) ^ int(own[j])) & (2**64 - 1) and ((int(own[i]) ^ int(own[j])) & (2**64 - 1)).bit_count() > ln.RADIUS:
+                continue
+            met.setdefault((node[i], node[j]), []).append((i, j))
+    assert met and all(kept[places[0][0]] and kept[places[0][1]] for places in met.values())
+    first = {x for places in met.values() for x in places[0]}
+    assert set(np.flatnonzero(kept).tolist()) == first
