@@ -1,27 +1,24 @@
-"""Benchmark items inside documents: SimHash windows, multi-index blocks, exact verification.
-
-An item and every window of as many words get a SimHash fingerprint of 63 bits (62 for very long
-items) over their words. Fingerprints are cut into six blocks; the index holds each item's
-blocks with up to one bit turned, so that a window within ``RADIUS`` bits of an item meets it in
-one block at least: no near fingerprint is missed. What meets, and is near, is verified on whole
-shingles, which weigh as much as they have characters: the item counts as found if the window
-holds ``PERCENT`` of its weight.
-
-A window that can pass must share shingles of five words with an item. Documents' shingles are
-therefore held against those of all items first, by hash, and only windows that begin or end
-with a run of shared shingles, and hold enough of their weight for an item of that size, are
-fingerprinted. Everything here is DataFrame functions.
+"""Benchmark items inside documents: shared shingles, the best windows of an item's size, exact verification.
+
+Documents' shingles of five words are held against those of all items, by hash. An item is
+compared with a text that has one of its telling shingles: a window without any of them cannot
+hold ``PERCENT`` of the item's weight. Of the windows of as many words as the item has, those
+that can be the best are weighed, and the best verified on whole shingles, which weigh as much
+as they have characters. No fingerprint decides: ``hamming``, the distance of the SimHash
+fingerprints of window and item (63 bits, 62 for very long items), is a figure of the result and
+tells windows apart that hold as much. Everything here is DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .clusters import sent_if_small
 from .common import written
 
 SHINGLE = 5
+#: Bits that ``blocks_of`` tolerates; no item is left out for its distance.
 RADIUS = 11
 PERCENT = 80
 #: Bits of the six blocks of a fingerprint.
@@ -124,83 +121,77 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def shared_positions(docs: DataFrame, items: DataFrame, ks: list[int]) -> DataFrame:
-    """(key, k, hits): per text the sorted positions of shingles that some item has."""
+def item_shingles(items: DataFrame, ks: list[int]) -> DataFrame:
+    """(item, k, n, hash, offset, w): the distinct shingles of every item, with place and weight."""
     found = None
     for k in ks:
-        known = (
-            items.filter(F.col("k") == k)
-            .select(F.explode(shingle_hashes(F.col("words"), k)).alias("hash")).distinct()
-        )
+        own = items.filter(F.col("k") == k)
+        at = own.select("item", "k", "n", "words", F.posexplode(shingle_hashes(F.col("words"), k)).alias("offset", "hash"))
+        rows = at.select("item", "k", "n", "hash", "offset", F.length(F.concat_ws(" ", F.slice("words", F.col("offset") + 1, k))).alias("w"))
+        found = rows if found is None else found.unionByName(rows)
+    return found.groupBy("item", "k", "n", "hash").agg(F.min("offset").alias("offset"), F.first("w").alias("w"))
+
+
+def telling_shingles(shingles: DataFrame) -> DataFrame:
+    """(hash, k, item): of each item the shingles that fewest items have, until more than the rest may be missing.
+
+    A window without any of these holds less than ``PERCENT`` of the item.
+    """
+    items = Window.partitionBy("item")
+    before = items.orderBy("f", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        shingles.withColumn("f", F.count("*").over(Window.partitionBy("hash", "k")))
+        .withColumn("total", F.sum("w").over(items))
+        .withColumn("before", F.coalesce(F.sum("w").over(before), F.lit(0)))
+        .filter(100 * F.col("before") <= (100 - PERCENT) * F.col("total"))
+        .select("hash", "k", "item")
+    )
+
+
+def shared_positions(docs: DataFrame, shingles: DataFrame, ks: list[int]) -> DataFrame:
+    """(key, k, pos, hash): per text the positions of shingles that some item has."""
+    found = None
+    for k in ks:
+        known = shingles.filter(F.col("k") == k).select("hash").distinct()
         few = known.count() <= BROADCAST_ITEM_ROWS
         at = docs.select("key", F.posexplode(shingle_hashes(words_of(F.col("text")), k)).alias("pos", "hash"))
-        met = at.join(F.broadcast(known) if few else known, "hash", "left_semi").select("key", F.lit(k).alias("k"), "pos")
+        met = at.join(F.broadcast(known) if few else known, "hash", "left_semi").select("key", F.lit(k).alias("k"), "pos", "hash")
         found = met if found is None else found.unionByName(met)
-    return found.groupBy("key", "k").agg(F.sort_array(F.collect_set("pos")).alias("hits"))
+    return found
 
 
-def candidate_windows(texts: DataFrame, sizes: list[tuple[int, int, int]]) -> DataFrame:
-    """(key, start, n, words) from ``texts(key, words, k, hits)``.
+def best_windows(matched: DataFrame) -> DataFrame:
+    """(key, item, start) of the windows that hold most of their item, from ``matched(key, item, size, n, k, weight, hits)``.
 
-    ``sizes`` has (n, k, least weight of an item) per size of items. A window begins where a
-    run of hits begins or ends where one ends, kept inside the text, and its hits weigh
-    ``PERCENT`` of the least weight or more.
+    ``hits`` has (pos, hash, offset, w) of the item's shingles in the text, by position. Any
+    window moved to its first hit, or to the end of the text, keeps all it holds: those
+    windows, and those where a hit stands as far in as it does in the item, are weighed, and
+    the heaviest remain if they hold ``PERCENT`` of the weight.
     """
-    size = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(s, ("n", "k", "least"))]) for s in sizes])
-    own = F.filter(size, lambda s: s["k"] == F.col("k"))
-    weighed = F.transform(
-        "hits",
-        lambda p: F.struct(
-            p.alias("pos"), F.length(F.concat_ws(" ", F.slice("words", p + 1, F.col("k")))).alias("w")
-        ),
+    last = F.greatest(F.col("size") - F.col("n"), F.lit(0))
+    placed = F.transform("hits", lambda h, i: F.struct((h["pos"] - h["offset"]).alias("start"), i.alias("i")))
+    turns = F.filter(
+        placed, lambda w: (w["i"] == 0) | (F.get("hits", w["i"] - 1)["pos"] - F.get("hits", w["i"] - 1)["offset"] != w["start"])
     )
-    begins = F.filter(
-        F.transform("hits", lambda p, i: F.struct(p.alias("pos"), i.alias("i"))),
-        lambda h: (h["i"] == 0) | (F.get("hits", h["i"] - 1) < h["pos"] - 1),
+    at_hits = F.transform("hits", lambda h, i: F.struct(h["pos"].alias("start"), i.alias("i")))
+    clipped = F.transform(
+        F.concat(at_hits, turns),
+        lambda w: F.struct(F.greatest(F.least(w["start"], last), F.lit(0)).alias("start"), w["i"].alias("i")),
     )
-    ends = F.filter(
-        F.transform("hits", lambda p, i: F.struct(p.alias("pos"), i.alias("i"))),
-        lambda h: (h["i"] == F.size("hits") - 1) | (F.get("hits", h["i"] + 1) > h["pos"] + 1),
+    inside = lambda w: F.filter(
+        F.slice("hits", F.greatest(w["i"] + 2 - F.col("n"), F.lit(1)), F.col("n") * 2),
+        lambda h: (h["pos"] >= w["start"]) & (h["pos"] <= w["start"] + F.col("n") - F.col("k")),
     )
-    last = lambda n: F.greatest(F.size("words") - n, F.lit(0))
-    window = lambda start, lo, s: F.struct(
-        start.alias("start"), lo.alias("lo"), s["n"].alias("n"), s["least"].alias("least")
-    )
-    from_begin = F.flatten(
-        F.transform(
-            begins,
-            lambda h: F.transform(
-                own, lambda s: window(F.least(h["pos"], last(s["n"])), F.greatest(h["i"] + 1 - s["n"], F.lit(1)), s)
-            ),
-        )
-    )
-    from_end = F.flatten(
-        F.transform(
-            ends,
-            lambda h: F.transform(
-                own,
-                lambda s: window(
-                    F.least(F.greatest(h["pos"] + F.col("k") - s["n"], F.lit(0)), last(s["n"])),
-                    F.greatest(h["i"] + 2 - s["n"], F.lit(1)), s,
-                ),
-            ),
-        )
-    )
-    held = lambda w, weighed: F.aggregate(
-        F.slice(weighed, w["lo"], w["n"] * 2),
+    held = lambda w: F.aggregate(
+        F.array_distinct(F.transform(inside(w), lambda h: F.struct(h["hash"].alias("hash"), h["w"].alias("w")))),
         F.lit(0).cast("long"),
-        lambda a, h: a
-        + F.when((h["pos"] >= w["start"]) & (h["pos"] <= w["start"] + w["n"] - F.col("k")), h["w"]).otherwise(0),
-    )
-    every = F.array_distinct(F.concat(from_begin, from_end))
-    windows = bound(
-        weighed, lambda h: F.filter(every, lambda w: 100 * held(w, h) >= PERCENT * w["least"])
+        lambda a, h: a + h["w"],
     )
+    windows = F.transform(clipped, lambda w: F.struct(held(w).alias("held"), w["start"].alias("start")))
+    top = bound(windows, lambda ws: F.filter(ws, lambda w: w["held"] == F.array_max(ws)["held"]))
     return (
-        texts.select("key", "words", F.explode(windows).alias("w"))
-        .select("key", F.col("w.start").alias("start"), F.col("w.n").alias("n"),
-                F.slice("words", F.col("w.start") + 1, F.col("w.n")).alias("words"))
-        .dropDuplicates(["key", "start", "n"])
+        matched.select("key", "item", "weight", F.explode(F.array_distinct(top)).alias("w"))
+        .filter(100 * F.col("w.held") >= PERCENT * F.col("weight")).select("key", "item", "w.start")
     )
 
 
@@ -211,43 +202,39 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``similarity`` is the share of the item's weight. Texts and items without words match nothing;
     an empty benchmark gives no rows. Items need not differ; a null item_id is an id as others.
     """
-    items = written(benchmark_items(benchmark), "bench-items")
-    least = items.groupBy("n", "k").agg(F.min("weight").alias("least")).collect()
-    sizes = sorted((r.n, r.k, r.least) for r in least) or [(1, 1, 1)]
-    width = lane_width(sizes[-1][0])
+    items = benchmark_items(benchmark).withColumn("item", F.monotonically_increasing_id())
+    items = written(items, "bench-items")
+    sizes = items.groupBy("k").agg(F.max("n").alias("n")).collect()
+    ks = sorted(r.k for r in sizes) or [1]
+    width = lane_width(max((r.n for r in sizes), default=1))
     docs = docs.select(text_key(F.col("text")).alias("key"), "text")
-    ks = sorted({k for _, k, _ in sizes})
-    hits = written(shared_positions(docs, items, ks), "bench-hits")
-    texts = docs.join(sent_if_small(hits.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
-    texts = texts.join(hits, "key").select("key", words_of(F.col("text")).alias("words"), "k", "hits")
-    texts = written(texts, "bench-texts")
-    windows = candidate_windows(texts, sizes).withColumn("print", simhash(F.col("words"), width))
-    windows = written(windows, "bench-windows")
-    index = items.select(
-        F.col("n").alias("item_n"), simhash(F.col("words"), width).alias("item_print"), "item_id", "weight",
-        "k", F.col("words").alias("item_words"),
+    shingles = written(item_shingles(items, ks), "bench-shingles")
+    few = shingles.count() <= BROADCAST_ITEM_ROWS
+    sent = lambda df: F.broadcast(df) if few else df
+    hits = written(shared_positions(docs, shingles, ks).distinct(), "bench-hits")
+    telling = written(telling_shingles(shingles), "bench-telling")
+    pairs = written(hits.join(sent(telling), ["hash", "k"]).select("key", "item").distinct(), "bench-pairs")
+    texts = docs.join(sent_if_small(pairs.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
+    texts = written(texts.select("key", words_of(F.col("text")).alias("words")), "bench-texts")
+    matched = (
+        hits.join(sent_if_small(pairs), "key").join(sent(shingles), ["item", "k", "hash"])
+        .groupBy("key", "item", "k", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "hash", "offset", "w"))).alias("hits"))
+        .join(items.select("item", "weight"), "item")
+        .join(texts.select("key", F.size("words").alias("size")), "key")
     )
-    index = index.withColumn("item", F.monotonically_increasing_id())
-    index = written(index, "bench-index")
-    entries = index.select("item", "item_n", "item_print", F.explode(blocks_of(F.col("item_print"), True)).alias("b"))
-    entries = entries.select("item", "item_n", "item_print", "b.block", "b.value")
-    few = entries.count() <= BROADCAST_ITEM_ROWS
-    probes = windows.select("key", "start", "n", "print", F.explode(blocks_of(F.col("print"), False)).alias("b"))
-    probes = probes.select("key", "start", F.col("n").alias("item_n"), "print", "b.block", "b.value")
-    hamming = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    near = (
-        probes.join(F.broadcast(entries) if few else entries, ["item_n", "block", "value"])
-        .withColumn("hamming", hamming).filter(F.col("hamming") <= RADIUS)
-        .select("key", "start", F.col("item_n").alias("n"), "item", "hamming").distinct()
+    windows = written(best_windows(matched), "bench-windows")
+    index = items.select(
+        "item", "item_id", "n", "k", "weight", F.col("words").alias("item_words"),
+        simhash(F.col("words"), width).alias("item_print"),
     )
-    pairs = near.join(windows.select("key", "start", "n", "words"), ["key", "start", "n"]).join(
-        index.select("item", "item_id", "item_words", "weight", "k"), "item"
-    )
+    found = windows.join(texts, "key").join(index, "item").withColumn("words", F.slice("words", F.col("start") + 1, F.col("n")))
     shared = total_weight(
         F.array_intersect(shingle_texts(F.col("words"), F.col("k")), shingle_texts(F.col("item_words"), F.col("k")))
     )
-    verified = pairs.withColumn("shared", shared).filter(100 * F.col("shared") >= PERCENT * F.col("weight"))
-    best = F.max(F.struct(F.col("shared") / F.col("weight"), -F.col("hamming"), -F.col("start"), "n"))
+    hamming = F.bit_count(simhash(F.col("words"), width).bitwiseXOR(F.col("item_print")))
+    verified = found.withColumn("shared", shared).filter(100 * F.col("shared") >= PERCENT * F.col("weight"))
+    best = F.max(F.struct(F.col("shared") / F.col("weight"), -hamming, -F.col("start"), "n"))
     return (
         verified.groupBy("key", "item_id").agg(best.alias("b"))
         .select("key", "item_id", F.col("b.col1").alias("similarity"), (-F.col("b.col3")).alias("start"),

@@ -103,3 +103,23 @@ def test_counters_do_not_overflow(spark):
             d.simhash(F.array_repeat(F.lit("word"), n), width).alias("p"), F.xxhash64(F.lit("word")).alias("h")
         ).first()
         assert row.p == row.h & mask
+
+
+def test_cut_and_rewritten_items_are_all_found(spark):
+    """Windows that hold 80 to 90 percent of an item between other text: full agreement with brute force."""
+    rng = random.Random(12)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "lmnrst"]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items, docs = [], []
+    for n, cuts in ((20, (2, 3)), (50, (5, 8)), (100, (10, 15)), (200, (20, 36))):
+        for _ in range(4):
+            item = text(n)
+            items.append((len(items), " ".join(item)))
+            for cut in cuts:
+                docs.append((len(docs), " ".join(text(30) + item[:-cut] + text(40))))
+                docs.append((len(docs), " ".join(text(30) + item[cut:] + text(3))))
+    got = d.find_contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    want, found = brute(docs, items), {(r.doc_id, r.item_id) for r in got.collect()}
+    assert len(want) > 40 and found == want, (len(found & want), len(want))
