@@ -123,3 +123,20 @@ def test_cut_and_rewritten_items_are_all_found(spark):
     )
     want, found = brute(docs, items), {(r.doc_id, r.item_id) for r in got.collect()}
     assert len(want) > 40 and found == want, (len(found & want), len(want))
+
+
+def test_nested_and_overlapping_items(spark):
+    """Items that lie inside one another, or share words, are each found where a document holds them."""
+    rng = random.Random(13)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "lmnrst"]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passage = text(120)
+    items = [passage, passage[40:60], passage[50:90], passage[:30], passage[100:], passage[70:] + text(5), text(9)]
+    docs = [text(20) + passage + text(20), passage, text(3) + passage[30:95], passage[45:] + text(10), passage + passage]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    items = [(i, " ".join(w)) for i, w in enumerate(items)]
+    got = d.find_contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    want, found = brute(docs, items), {(r.doc_id, r.item_id) for r in got.collect()}
+    assert len(want) > 15 and found == want, (len(found & want), len(want))
