@@ -1,8 +1,8 @@
 """Licence notices: a trained paragraph classifier, confirmed by comparison with templates.
 
 The classifier is a softmax regression over 1- to 3-word features of a paragraph (a line of the
-text), trained here on variations of the templates below and on paragraphs of the corpus for the
-unknown class. Its probabilities are calibrated by a temperature on variations set aside. A
+text, or adjacent lines over which a notice is wrapped), trained here on variations of the
+templates below and on paragraphs of the corpus for the unknown class. Its probabilities are calibrated by a temperature on variations set aside. A
 paragraph counts as a notice of a family if that is likelier than not and a template of the
 family is found in it. Features that no template has carry no weight for a family, so only
 paragraphs that share two words in a row with a template need the classifier.
@@ -115,6 +115,11 @@ PAIRS = {
     family: [set(grams(words(t), (2,))) for t in templates] for family, templates in TEMPLATES.items()
 }
 
+#: The pairs of every template, in the order of families.
+ALL_PAIRS = [pairs for family in PAIRS.values() for pairs in family]
+#: Words that mark a comment line; other marks are no words.
+_MARK = re.compile(r"^\W*(?:rem|dnl)\b", re.IGNORECASE)
+
 
 def similarity(paragraph: str, family: str) -> float:
     """The largest share of a template's word pairs that the paragraph has."""
@@ -189,11 +194,16 @@ def negative_paragraphs(docs: DataFrame, rows: int = NEGATIVES) -> list[str]:
     return [r.p for r in sorted(found, key=lambda r: (r.doc_id, r.p))]
 
 
-def _pair_hashes() -> np.ndarray:
-    """Hashes of all word pairs of the templates, as ``candidates`` sees them."""
-    data, offsets = text_bytes(pa.array([p for pairs in PAIRS.values() for s in pairs for p in sorted(s)]))
+def _pair_hashes() -> tuple[np.ndarray, list[list[int]]]:
+    """Hashes of all word pairs of the templates, as ``candidates`` sees them, and the templates of each."""
+    rows = [(p, i) for i, pairs in enumerate(ALL_PAIRS) for p in sorted(pairs)]
+    data, offsets = text_bytes(pa.array([p for p, _ in rows]))
     starts, ends, at = spans(_LETTERS[data], offsets)
-    return np.unique(windows(span_hashes(data, starts, ends), at, 2)[0])
+    values, place = np.unique(windows(span_hashes(data, starts, ends), at, 2)[0], return_inverse=True)
+    owners: list[list[int]] = [[] for _ in values]
+    for (_, i), at_value in zip(rows, place.tolist()):
+        owners[at_value].append(i)
+    return values, owners
 
 
 _LETTERS = np.zeros(256, bool)
@@ -201,45 +211,149 @@ _LETTERS[0x80:] = True
 _LETTERS[[c for c in range(128) if chr(c).isalnum()]] = True
 
 
-def candidates(column: pa.Array, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Text, number and paragraph of all paragraphs with a word pair of ``pairs``.
+def candidates(
+    column: pa.Array, pairs: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, list[str], list[set[int]]]:
+    """Text, number, paragraph and found pairs of all lines where a word pair of ``pairs`` begins.
 
     Words here are runs of ASCII letters and digits and of all other characters; a template
     has ASCII words only, and its pairs are met wherever the classifier's own words meet them,
-    but where a sign beyond ASCII touches them.
+    but where a sign beyond ASCII touches them. The second word may be on a later line.
     """
     data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(column, "")))
     starts, ends, at = spans(_LETTERS[data], offsets)
     values, first = windows(span_hashes(data, starts, ends), at, 2)
     place = np.minimum(np.searchsorted(pairs, values), len(pairs) - 1)
-    hit = starts[first[pairs[place] == values]]
+    good = pairs[place] == values
+    hit, place = starts[first[good]], place[good]
     p_start, p_end, p_at = spans(data != 10, offsets)
-    own = np.unique(np.searchsorted(p_start, hit, side="right") - 1)
+    own, row = np.unique(np.searchsorted(p_start, hit, side="right") - 1, return_inverse=True)
+    found: list[set[int]] = [set() for _ in own]
+    for r, p in zip(row.tolist(), place.tolist()):
+        found[r].add(p)
     text = np.searchsorted(p_at, own, side="right") - 1
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
     number = breaks[p_start[own]] - breaks[offsets[text]]
-    return text, number, [data[p_start[i] : p_end[i]].tobytes().decode("utf-8", "replace") for i in own]
+    lines = [data[p_start[i] : p_end[i]].tobytes().decode("utf-8", "replace") for i in own]
+    return text, number, lines, found
+
+
+def chains(
+    text: np.ndarray, number: np.ndarray, found: list[set[int]], owners: list[list[int]]
+) -> list[tuple[int, int, int]]:
+    """(first, lines, template): adjacent candidates that may hold a wrapped template.
+
+    Every line of a chain begins pairs of the template that no line before it in the chain does, so
+    that a chain is no longer than its template. The line after the last may end the notice.
+    """
+    out = []
+    t, n = text.tolist(), number.tolist()
+    own: list[dict[int, set[int]]] = []
+    for pairs in found:
+        split: dict[int, set[int]] = {}
+        for p in pairs:
+            for i in owners[p]:
+                split.setdefault(i, set()).add(p)
+        own.append(split)
+    for i in range(len(t)):
+        for template, held in own[i].items():
+            held, j = set(held), i + 1
+            while j < len(t) and t[j] == t[i] and n[j] == n[i] + j - i:
+                more = own[j].get(template)
+                if not more or more <= held:
+                    break
+                held |= more
+                j += 1
+            # marks such as rem stand between the words of two lines and part their pair
+            if len(held) + j - i >= CONFIRMED * len(ALL_PAIRS[template]):
+                out.append((i, j - i, template))
+    return out
+
+
+def wrapped(lines: list[str], template: int) -> list[str]:
+    """The fewest of ``lines``, from the first on, that hold as much of the template as all of them."""
+    pairs, held, best, joined = ALL_PAIRS[template], 0, 1, ""
+    for count, line in enumerate(lines, 1):
+        stripped = _MARK.sub(" ", line)
+        if not words(stripped):
+            break
+        joined += " " + stripped
+        now = len(pairs & set(grams(words(joined), (2,))))
+        if now > held:
+            held, best = now, count
+    return [_MARK.sub(" ", x) for x in lines[:best]]
+
+
+Notice = tuple[int, int, str, float, float]
+
+
+def notices_of(
+    lines: list[str], singles: dict[int, tuple[str, float, float]], spans_: list[tuple[int, int, int]], judge
+) -> list[Notice]:
+    """(first line, lines, family, probability, similarity) of one text's notices, none overlapping.
+
+    ``singles`` are lines that are notices by themselves, ``spans_`` chains of a template. What
+    holds more of a template comes first, then the shorter. A span takes in a line that is a notice of
+    another family only if that line holds as much of the span's template as of its own.
+    """
+    found: list[Notice] = [(n, 1, *s) for n, s in singles.items()]
+    for first, count, template in spans_:
+        part = wrapped(lines[first : first + count + 1], template)
+        if len(part) < 2:
+            continue
+        family, probability, share = judge(" ".join(part))
+        if family == UNKNOWN:
+            continue
+        kept = True
+        for n in range(first, first + len(part)):
+            if n in singles and singles[n][0] != family:
+                held = set(grams(words(lines[n]), (2,)))
+                most = lambda f: max(len(held & pairs) for pairs in PAIRS[f])
+                kept = kept and most(family) >= most(singles[n][0])
+        if kept:
+            found.append((first, len(part), family, probability, share))
+    taken: set[int] = set()
+    out = []
+    for notice in sorted(found, key=lambda x: (-x[4], x[1], x[0], -x[3])):
+        own = set(range(notice[0], notice[0] + notice[1]))
+        if not own & taken:
+            taken |= own
+            out.append(notice)
+    return sorted(out)
 
 
 def license_notices(docs: DataFrame, model: Broadcast) -> DataFrame:
     """(doc_id, paragraph, family, probability, similarity): every notice found in ``docs(doc_id, text)``.
 
-    ``paragraph`` counts the lines of the text from 0. Texts without a notice, null and empty
+    ``paragraph`` counts the lines of the text from 0; a notice wrapped over adjacent lines has the
+    number of its first. Texts without a notice, null and empty
     ones too, give no row; repeated rows give theirs each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier, pairs = Classifier(**model.value), _pair_hashes()
+        classifier, (pairs, owners) = Classifier(**model.value), _pair_hashes()
         for batch in small_batches(batches):
-            text, number, paragraphs = candidates(batch.column("text"), pairs)
+            column = batch.column("text")
+            text, number, paragraphs, found = candidates(column, pairs)
             judged = {p: classifier.judge(p) for p in set(paragraphs)}
-            good = [i for i, p in enumerate(paragraphs) if judged[p][0] != UNKNOWN]
-            family, probability, found = zip(*(judged[paragraphs[i]] for i in good)) if good else ((), (), ())
+            single: dict[int, dict[int, tuple[str, float, float]]] = {}
+            for t, n, p in zip(text.tolist(), number.tolist(), paragraphs):
+                if judged[p][0] != UNKNOWN:
+                    single.setdefault(t, {})[n] = judged[p]
+            span: dict[int, list[tuple[int, int, int]]] = {}
+            for i, count, template in chains(text, number, found, owners):
+                span.setdefault(int(text[i]), []).append((int(number[i]), count, template))
+            rows = []
+            for t in sorted({*single, *span}):
+                lines = column[t].as_py().split("\n") if t in span else []
+                own = notices_of(lines, single.get(t, {}), span.get(t, []), classifier.judge)
+                rows += [(t, n, *rest) for n, _, *rest in own]
+            text, number, family, probability, share = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(text[good], pa.int64())),
-                    pa.array(number[good], pa.int64()), pa.array(family, pa.string()),
-                    pa.array(probability, pa.float64()), pa.array(found, pa.float64()),
+                    batch.column("doc_id").take(pa.array(text, pa.int64())),
+                    pa.array(number, pa.int64()), pa.array(family, pa.string()),
+                    pa.array(probability, pa.float64()), pa.array(share, pa.float64()),
                 ],
                 ["doc_id", "paragraph", "family", "probability", "similarity"],
             )

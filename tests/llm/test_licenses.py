@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import pytest
 
@@ -42,3 +43,19 @@ def test_whole_table(spark, corpus):
     known = [t for ts in lc.TEMPLATES.values() for t in ts]
     want = {(r.doc_id, n) for r in docs.collect() for n, line in enumerate((r.text or "").split("\n")) if any(t in line for t in known)}
     assert got == want
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# ", "REM ", "dnl "])
+@pytest.mark.parametrize("width", [24, 40, 72])
+def test_wrapped_templates(spark, model, mark, width):
+    """Every template wrapped as headers are, between other lines: one row, at its first line."""
+    rows, want = [], []
+    for family, templates in lc.TEMPLATES.items():
+        for t in templates:
+            own = textwrap.wrap(t, width, break_on_hyphens=False, break_long_words=False)
+            text = ["int zero = 0;", "", *(mark + x for x in own), mark.strip(), "some other words follow here"]
+            want.append((len(rows), 2, family))
+            rows.append((len(rows), "\n".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lc.license_notices(df, spark.sparkContext.broadcast(model)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in got) == want
