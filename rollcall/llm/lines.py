@@ -1,7 +1,8 @@
 """Fuzzy line dedup: near-equal lines of all documents, one occurrence kept of each group.
 
 Lines are normalised (lower case, digits as 0, punctuation and runs of blanks as one blank) and
-fingerprinted by SimHash over their words. Two lines within ``RADIUS`` bits agree in two of
+fingerprinted by SimHash over their words, or over the bytes of them where there are few words, as
+in scripts written without blanks. Two lines within ``RADIUS`` bits agree in two of
 five blocks of the fingerprint at least, so that ten keys, one for each pair of blocks, bring all
 of them together. What is near by fingerprint makes clusters; in these, lines are linked that are
 near by fingerprint and by edit similarity, and of each connected group the first occurrence stays.
@@ -38,7 +39,10 @@ BLOCKS = (13, 13, 13, 13, 12)
 PERCENT = 90
 #: Shorter lines, after normalising, are never touched.
 MIN_CHARS = 20
-MIN_WORDS = 3
+MIN_WORDS = 1
+#: Lines of fewer words are fingerprinted over runs of so many bytes of their words.
+FEW_WORDS = 3
+GRAM_BYTES = 6
 #: Buckets of more lines than this become clusters unseen.
 LARGE_BUCKET = 1024
 
@@ -92,9 +96,22 @@ class Lines:
             runs = np.repeat(np.arange(len(n)), n)
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[runs]
             self.print = simhash(h[inside], np.cumsum(n) - n, n.astype(np.uint64))
+            few = np.flatnonzero(n < FEW_WORDS)
+            if len(few):
+                self.print[few] = self._gram_prints(w_start, w_end, first[few], n[few])
         else:
             self.name = self.print = np.empty(0, np.uint64)
 
+    def _gram_prints(self, w_start: np.ndarray, w_end: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Fingerprints of lines of ``n`` words from ``first`` on, over runs of bytes inside the words."""
+        word = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+        begin, end = w_start[word], w_end[word]
+        count = np.maximum(end - begin - GRAM_BYTES, 0) + 1
+        start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
+        grams = span_hashes(self.data, start, np.minimum(start + GRAM_BYTES, np.repeat(end, count)))
+        per_line = np.add.reduceat(count, np.cumsum(n) - n)
+        return simhash(grams, np.cumsum(per_line) - per_line, per_line.astype(np.uint64))
+
 
 def plain(lines: list[str]) -> list[str]:
     """Lines as they are normalised."""

@@ -197,3 +197,22 @@ def test_partners_meet_once():
     assert met and all(kept[places[0][0]] and kept[places[0][1]] for places in met.values())
     first = {x for places in met.values() for x in places[0]}
     assert set(np.flatnonzero(kept).tolist()) == first
+
+
+def test_lines_without_blanks(spark):
+    """Long lines of one or two words, in scripts without blanks or of one token, repeat like others."""
+    lines = [
+        "这是一个非常长的句子它没有任何空格但是在许多文件中反复出现", "これは空白のない長い文であり、多くの文書の中で何度も繰り返される",
+        "ประโยคยาวนี้ไม่มีช่องว่างและปรากฏซ้ำในเอกสารหลายฉบับ", "onelongtokenthatisrepeatedeverywhere", "https0example0com somewhereverylong",
+    ]
+    rows = [(i, "\n".join(["短い", *(x.upper() + "!" if i % 2 else x for x in lines)])) for i in range(4)]
+    check(spark, rows)
+    got = ln.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_dropped) for r in got) == [(0, 0), (1, 5), (2, 5), (3, 5)]
+
+
+def test_few_words_have_one_fingerprint_per_name():
+    """Blanks and marks do not change a fingerprint, and lines of few words that differ much are far apart."""
+    own = ln.Lines(pa.array(["  averyveryverylongtoken,   another\n(averyveryverylongtoken another)\n" "这是一个非常长的句子它没有任何空格但是在许多文件中反复出现"]))
+    assert own.name[0] == own.name[1] != own.name[2] and own.print[0] == own.print[1]
+    assert (int(own.print[0]) ^ int(own.print[2])).bit_count() > ln.RADIUS
