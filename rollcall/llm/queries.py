@@ -44,10 +44,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to archives and read back."""
+    """Every page written to archives and read back; fails if an archive cannot be read to its end."""
     archives = write_warc(table(spark, sf_dir, "pages"), archive_folder(spark))
+    page = F.when(F.col("error").isNotNull(), F.raise_error("error").cast("long")).otherwise(F.col("page_id"))
     return read_warc(spark, archives, payload=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+        page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 

@@ -182,13 +182,17 @@ class Records:
                 break
             if not self._more():
                 return None
-        while CRLF * 2 not in self.buffer:
-            if len(self.buffer) > 1 << 20 or not self._more():
+        while len(self.buffer) < 5 and self._more():
+            pass
+        if not self.buffer.startswith(b"WARC/"):
+            raise ValueError("no record begins here")
+        seen = 0
+        while self.buffer.find(CRLF * 2, seen) < 0:
+            seen = max(len(self.buffer) - 3, 0)
+            if not self._more():
                 raise ValueError("a record's head does not end")
         head, self.buffer = self.buffer.split(CRLF * 2, 1)
-        version, *lines = head.decode("utf-8", "replace").split("\r\n")
-        if not version.startswith("WARC/"):
-            raise ValueError("no record begins here")
+        _, *lines = head.decode("utf-8", "replace").split("\r\n")
         fields, last = {}, ""
         for line in lines:
             if line[:1] in " \t" and last:

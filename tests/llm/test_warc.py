@@ -87,3 +87,13 @@ def test_damage_is_reported(spark, archive):
     path.write_bytes(b"no archive at all\r\n\r\n")
     assert [r.error for r in read(spark, path)] == ["no record begins here"]
     assert read(spark, path.parent / "missing.gz")[0].error
+
+
+def test_long_addresses(spark, tmp_path):
+    """A head of several MiB is read like others, and all records of its archive after it."""
+    rows = [(i, "data:text/html," + "ab3" * 700_000 if i in (1, 4) else "http://a/", f"payload {i}", 0, "z") for i in range(9)]
+    archives, read = run(spark, rows, tmp_path)
+    got = read.select("page_id", "error", F.length("url").alias("n")).collect()
+    assert archives.agg(F.sum("records")).first()[0] == len(got) == 9
+    assert all(r.error is None for r in got) and sorted(r.page_id for r in got) == list(range(9))
+    assert {r.page_id for r in got if r.n > 2_000_000} == {1, 4}
