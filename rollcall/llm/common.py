@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A word: anything but ASCII whitespace.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +45,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(rows: DataFrame, unique: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """``rows`` left joined with ``unique``, which has one row per ``key``; hot keys stay spread.
+
+    ``count`` (left out of the result) says how many of ``total`` rows have the key. Keys with
+    over a thousandth of them, fewer than a thousand, are sent to every task; the others meet by
+    shuffling. Both sides are read twice: give them written, or cheap to read.
+    """
+    hot = F.broadcast(unique.filter(F.col(count) * 1000 > total).drop(count))
+    other = unique.filter(F.col(count) * 1000 <= total).drop(count)
+    rest = rows.join(hot.select(key), key, "left_anti").join(other, key, "left")
+    return rows.join(hot, key).unionByName(rest)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

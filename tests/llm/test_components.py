@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from rollcall.llm import components
 from rollcall.llm.components import connected_components
 
 
@@ -21,8 +22,10 @@ def brute(edges):
     return {x: find(x) for x in root}
 
 
+@pytest.mark.parametrize("at_once", [components.SMALL_EDGES, -1])
 @pytest.mark.parametrize("kind", ["random", "chain", "star", "empty"])
-def test_components(spark, kind):
+def test_components(spark, monkeypatch, kind, at_once):
+    monkeypatch.setattr(components, "SMALL_EDGES", at_once)
     rng = random.Random(3)
     edges = {
         "random": [(rng.randint(-60, 60), rng.randint(-60, 60)) for _ in range(70)],
