@@ -16,6 +16,7 @@ from .lines import drop_repeated
 from .minhash import near_duplicates
 from .mixing import mix_sources, quality_weight, sampling_key, words_in
 from .quality import language_references, quality_verdict
+from .simhash import simhash_duplicates
 from .toxicity import learn_toxicity, toxicity_score
 from .warc import archive_folder, read_warc, write_warc
 
@@ -104,6 +105,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "l.lang_pred", "l.score")
 
 
+def op13_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose SimHash fingerprints differ in two bits at most."""
+    return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -117,5 +123,6 @@ QUERIES: dict[str, Query] = {
         op8_license_notices,
         op9_mix_sources,
         op10_language_id,
+        op13_simhash_duplicates,
     )
 }
