@@ -156,3 +156,76 @@ SELECT k.doc_id, size, e.source_size::BIGINT AS source_size, target,
 FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
 JOIN mid ON mid.source IS NOT DISTINCT FROM k.source AND mid.k = k.k
 """
+
+ORACLE["op11_hard_negatives"] = """
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, hash(a.label, a.v) AS key, b.vec_id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND (a.vec_id <> b.vec_id OR a.label <> b.label)
+), positives AS (
+  SELECT anchor_id, key, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, key ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, key, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id, key)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+# CRC-32 (reflected polynomial 0xEDB88320) of the id's digits, bit by bit.
+ORACLE["op12_prefix_trie"] = """
+WITH ids AS (
+  SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL
+), heads AS (
+  SELECT c, xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, b: list_reduce(
+      list_prepend(xor(crc, b), range(8)),
+      lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END))) % 4 AS h
+  FROM ids
+), turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+  SELECT h.c, t.p, t.role, t.text FROM heads h JOIN turns t ON t.c = h.c - h.c % 20 AND t.p <= h.h
+  UNION ALL
+  SELECT h.c, h.h + t.p, t.role, t.text FROM heads h JOIN turns t ON t.c = h.c AND t.p > h.h
+), placed AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY p) AS d,
+    md5(length(role)::VARCHAR || ':' || role || text) AS turn,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM rebuilt
+), paths AS (
+  SELECT c, d, words, string_agg(turn, '') OVER (PARTITION BY c ORDER BY d) AS path FROM placed
+  UNION ALL SELECT c, 0, 0, '' FROM ids
+), lengths AS (
+  SELECT c, max(d) AS n FROM paths GROUP BY c
+), nodes AS (
+  SELECT path, any_value(d) AS d, any_value(words) AS words, min(c) AS c, count(*) AS n_convs,
+    coalesce(string_agg(CASE WHEN d = n THEN c::VARCHAR END, ',' ORDER BY c), '') AS ends
+  FROM paths JOIN lengths USING (c) GROUP BY path
+), children AS (
+  SELECT left(path, 32 * (d - 1)) AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), counted AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)
+), below AS (
+  SELECT left(path, 32 * up) AS path, n_children = 0 AS leaf, (n_convs - 1) * words AS saved
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM counted)
+), summed AS (
+  SELECT path, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved_tokens FROM below GROUP BY path
+)
+SELECT a.c AS conv_id, a.d AS depth, p.c AS parent_conv_id, a.n_convs, a.n_children,
+  s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM counted a JOIN summed s USING (path)
+LEFT JOIN nodes p ON a.d > 0 AND p.path = left(a.path, 32 * (a.d - 1))
+"""

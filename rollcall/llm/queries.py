@@ -15,9 +15,11 @@ from .licenses import learn_licenses, license_notices
 from .lines import drop_repeated
 from .minhash import near_duplicates
 from .mixing import mix_sources, quality_weight, sampling_key, words_in
+from .negatives import hard_negatives, whole_vectors
 from .quality import language_references, quality_verdict
 from .simhash import simhash_duplicates
 from .toxicity import learn_toxicity, toxicity_score
+from .trie import conversation_trie
 from .warc import archive_folder, read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +107,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "l.lang_pred", "l.score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, over vectors of which every seventh is relabelled."""
+    vectors = whole_vectors(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the conversations, branched off every twentieth."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose SimHash fingerprints differ in two bits at most."""
     return simhash_duplicates(table(spark, sf_dir, "documents"))
@@ -123,6 +137,8 @@ QUERIES: dict[str, Query] = {
         op8_license_notices,
         op9_mix_sources,
         op10_language_id,
+        op11_hard_negatives,
+        op12_prefix_trie,
         op13_simhash_duplicates,
     )
 }
