@@ -34,6 +34,7 @@ from rollcall.plans import DailyPaths, run_daily, run_produce, run_rejects
 from rollcall.schema import USER_FIELDS, log_schema, message_schema
 from rollcall.sources import (
     Snapshot,
+    append_user_log,
     compact_users,
     ensure_tables,
     latest_users,
@@ -278,11 +279,11 @@ def profile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reasons.groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def _append_log(records: DataFrame, log: str) -> None:
-    """Classified messages straight into the log, spread over the cores like a topic's."""
+def _append_log(records: DataFrame, log: str, batch: str = "0", day: str = t.AS_OF) -> None:
+    """Classified messages as one batch of the log, spread over the cores like a topic's."""
     spread = records.repartition(records.sparkSession.sparkContext.defaultParallelism)
     classified = classify_users(t.messages(spread), ["seq"])
-    classified.select(*log_schema("files").names).write.mode("append").parquet(log)
+    append_user_log(classified, log, batch, day, "files")
 
 
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +296,7 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _snapshot(base, "first"), _snapshot(base, "second")
     spark.sql(f"CREATE DATABASE {first.table.split('.')[0]} LOCATION '{base}/database'")
     compact_users(spark, log, first, "files")
-    _append_log(updates.where(~before), log)
+    _append_log(updates.where(~before), log, "1")
     first_day = F.expr(t.update_seq(f"'{SNAPSHOT_DAY}'").removesuffix(" + o_orderkey"))
     newer = F.col("seq") >= first_day
     return compact_users(spark, log, second, "files", first, newer).drop("seq")
@@ -435,7 +436,7 @@ def _run_daily(spark: SparkSession, sf_dir: str) -> DailyPaths:
     """The daily job on a log that holds several rows per user."""
     paths = _daily_paths(scratch(spark))
     _append_log(t.full_users(spark, sf_dir), paths.log)
-    _append_log(t.user_updates(spark, sf_dir), paths.log)
+    _append_log(t.user_updates(spark, sf_dir), paths.log, "1")
     run_daily(spark, paths, t.AS_OF, "files")
     return paths
 

@@ -105,6 +105,12 @@ ORDER_SCHEMAS = {
     "files": T.StructType([T.StructField("seq", T.LongType())]),
 }
 
+# Folders of the log: the day on which a batch was ingested, and the batch.
+LOG_PARTITION_SCHEMA = T.StructType(
+    [T.StructField("ingest_date", T.DateType()), T.StructField("batch", T.StringType())]
+)
+LOG_PARTITIONS = tuple(LOG_PARTITION_SCHEMA.names)
+
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.BinaryType())])
 
 RESULT_SCHEMA = T.StructType(
@@ -137,3 +143,8 @@ def snapshot_schema(kind: str) -> T.StructType:
 def log_schema(kind: str) -> T.StructType:
     """Schema of the append log: the snapshot columns, and why a message was refused."""
     return T.StructType([*snapshot_schema(kind).fields, *_strings("raw", "reason")])
+
+
+def stored_log_schema(kind: str) -> T.StructType:
+    """Schema of the log as it is read: its columns, and the folders they lie in."""
+    return T.StructType([*log_schema(kind).fields, *LOG_PARTITION_SCHEMA.fields])

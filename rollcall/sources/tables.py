@@ -14,8 +14,8 @@ from rollcall.schema import (
     RESULT_PARTITIONS,
     RESULT_SCHEMA,
     USER_FIELDS,
-    log_schema,
     order_columns,
+    stored_log_schema,
 )
 from rollcall.sources.results import ensure_results
 
@@ -48,7 +48,7 @@ def ensure_tables(
         f"CREATE DATABASE IF NOT EXISTS `{database}` {_location(location) if location else ''}"
     )
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.user_log ({_columns(log_schema(kind))}) "
+        f"CREATE TABLE IF NOT EXISTS `{database}`.user_log ({_columns(stored_log_schema(kind))}) "
         f"USING parquet {_location(log_path)}"
     )
     new = not spark.catalog.tableExists(f"`{database}`.results")

@@ -1,18 +1,20 @@
-"""The keyed user table: an append log, resolved at read, and daily snapshots of it."""
+"""The keyed user table: the append log, resolved at read, and snapshots of it."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.functions import as_of_date
 from rollcall.operators.keyed import latest_by_key, upsert_by_key
-from rollcall.schema import USER_FIELDS, log_schema, order_columns, snapshot_schema
+from rollcall.schema import USER_FIELDS, order_columns, snapshot_schema
+from rollcall.sources.log import read_user_log
+from rollcall.sources.paths import qualified
+
+#: Ids looked up by a list, which leaves out buckets and files; more of them are joined.
+MOST_LOOKED_UP = 10_000
 
 
 @dataclass(frozen=True)
@@ -23,17 +25,6 @@ class Snapshot:
     table: str | None = None
 
 
-def read_user_log(spark: SparkSession, path: str, kind: str = "kafka") -> DataFrame:
-    """Everything ever ingested, refused messages included."""
-    return spark.read.schema(log_schema(kind)).parquet(path)
-
-
-def read_refused(spark: SparkSession, path: str, kind: str = "kafka") -> DataFrame:
-    """Messages that did not become users: order columns, text and reason."""
-    log = read_user_log(spark, path, kind)
-    return log.where("reason is not null").select(*order_columns(kind), "raw", "reason")
-
-
 def latest_users(
     spark: SparkSession,
     path: str,
@@ -62,12 +53,7 @@ def _is_table_of(spark: SparkSession, snapshot: Snapshot) -> bool:
     if snapshot.table is None:
         return False
     location = _described(spark, snapshot.table).get("Location")
-    return location is not None and _plain(location) == _plain(snapshot.path)
-
-
-def _plain(path: str) -> str:
-    """A path without the scheme of the local file system and its repeated slashes."""
-    return re.sub("/+", "/", re.sub("^file:", "", path)).rstrip("/")
+    return location is not None and qualified(spark, location) == qualified(spark, snapshot.path)
 
 
 def read_snapshot(spark: SparkSession, snapshot: Snapshot, kind: str = "kafka") -> DataFrame:
@@ -81,17 +67,6 @@ def read_snapshot(spark: SparkSession, snapshot: Snapshot, kind: str = "kafka")
     return spark.read.schema(snapshot_schema(kind)).parquet(snapshot.path)
 
 
-def written_since(day: date | str) -> Column:
-    """Condition on log files for ``compact_users``: written on that day, the one before or later.
-
-    Whole files are left out by their time, without being opened. It is the time of writing that
-    counts, so messages that arrive late or out of order are not missed. The day of slack
-    covers files that were being written while the earlier snapshot was made.
-    """
-    first = as_of_date(day) - timedelta(days=1)
-    return F.col("_metadata.file_modification_time") >= F.lit(first.isoformat()).cast("timestamp")
-
-
 def compact_users(
     spark: SparkSession,
     log_path: str,
@@ -127,16 +102,56 @@ def compact_users(
     users = latest_by_key(log.select(*snapshot_schema(kind).names), ["id"], order)
     if previous is not None:
         users = upsert_by_key(read_snapshot(spark, previous, kind), users, ["id"], order)
-    writer = users.write.mode("overwrite").format("parquet")
+    return write_snapshot(users, snapshot, kind, previous, buckets)
+
+
+def write_snapshot(
+    users: DataFrame,
+    snapshot: Snapshot,
+    kind: str = "kafka",
+    previous: Snapshot | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Write ``users``, one row per id, as a snapshot, and return it as it is read.
+
+    Rows lie sorted by id in their bucket, with a Bloom filter on the id, so that a lookup opens
+    one bucket and skips the row groups that cannot hold the id. See ``compact_users``.
+    """
+    spark = users.sparkSession
+    path = qualified(spark, snapshot.path)
+    writer = (
+        users.write.mode("overwrite").format("parquet")
+        .option("parquet.bloom.filter.enabled#id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+    )
     if snapshot.table is None:
-        writer.save(snapshot.path)
-    else:
-        if _described(spark, snapshot.table) and not _is_table_of(spark, snapshot):
-            raise ValueError(f"{snapshot.table} is the table of another folder")
-        if buckets is None and previous is not None and _is_table_of(spark, previous):
-            buckets = int(_described(spark, previous.table).get("Num Buckets", 0)) or None
-        if buckets is None:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = writer.bucketBy(buckets, "id").sortBy("id").option("path", snapshot.path)
-        writer.saveAsTable(snapshot.table)
+        writer.save(path)
+        return read_snapshot(spark, snapshot, kind)
+    if _described(spark, snapshot.table) and not _is_table_of(spark, snapshot):
+        raise ValueError(f"{snapshot.table} is the table of another folder")
+    if buckets is None and previous is not None and _is_table_of(spark, previous):
+        buckets = int(_described(spark, previous.table).get("Num Buckets", 0)) or None
+    if buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = writer.bucketBy(buckets, "id").sortBy("id").option("path", path)
+    writer.saveAsTable(snapshot.table)
     return read_snapshot(spark, snapshot, kind)
+
+
+def users_by_id(
+    spark: SparkSession, snapshot: Snapshot, ids: Sequence[str] | DataFrame, kind: str = "kafka"
+) -> DataFrame:
+    """The rows of a snapshot with these ids: UUIDs in any case, or a frame with a column ``id``.
+
+    A list of ids selects buckets, and within their files the row groups that may hold one. A
+    frame of at most ``MOST_LOOKED_UP`` different ids becomes such a list; a longer one
+    is joined, which moves the ids and not the snapshot. Ids that no user has give no row.
+    """
+    users = read_snapshot(spark, snapshot, kind)
+    if isinstance(ids, DataFrame):
+        wanted = ids.select(F.lower("id").alias("id")).where("id is not null").distinct()
+        found = wanted.limit(MOST_LOOKED_UP + 1).collect()
+        if len(found) > MOST_LOOKED_UP:
+            return users.join(wanted, "id", "left_semi")
+        ids = [row.id for row in found]
+    return users.where(F.col("id").isin([i.lower() for i in ids]))

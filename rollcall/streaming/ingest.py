@@ -5,10 +5,15 @@ from __future__ import annotations
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.operators.messages import classify_users
 from rollcall.schema import TOPIC, log_schema, message_schema, order_columns
+from rollcall.sources.changes import add_changes
+from rollcall.sources.log import write_log_batch
+from rollcall.streaming.batches import batch_name
+from rollcall.streaming.progress import WATCHED
 
 
 def kafka_options(servers: str, topic: str = TOPIC) -> dict[str, str]:
@@ -45,21 +50,36 @@ def write_user_log(
     path: str,
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
+    changes: str | None = None,
+    kind: str = "kafka",
 ) -> StreamingQuery:
     """Append classified messages to the log and return the running query.
 
-    The built-in file sink with a checkpoint writes every message once, also across restarts
-    and lost executors. Nothing is shuffled: each task writes what it read. Good and
-    refused messages share the file, so the source is read and parsed once; ``reason`` tells
-    them apart. ``trigger`` holds the arguments of ``DataStreamWriter.trigger``; without it
-    micro-batches follow one another. The log keeps all files: the view over it reads nothing else.
+    Every micro-batch becomes a folder of the log, ``ingest_date=.../batch=<stream>-<number>``.
+    Day and number are in the checkpoint, so a batch that is repeated after a failure takes the
+    place of itself: every message is there once, also across restarts and lost executors. The
+    stream's own id is in the name, too: another checkpoint never writes over this one's batches.
+
+    Nothing is shuffled: each task writes what it read. Good and refused messages share the file,
+    so the source is read and parsed once; ``reason`` tells them apart. ``changes`` names a table
+    made by ``ensure_changes``, which then gets the batch's last row of every user.
+    ``trigger`` holds the arguments of ``DataStreamWriter.trigger``; without it micro-batches
+    follow one another.
     """
-    writer = (
-        classified.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .option("path", path)
+    watched = classified.withColumn("ingest_date", F.current_date()).observe(
+        WATCHED,
+        F.count("*").alias("read"),
+        F.count_if(F.col("reason").isNull()).alias("accepted"),
+        F.count_if(F.col("reason").isNotNull()).alias("refused"),
     )
+
+    def keep(rows: DataFrame, number: int) -> None:
+        batch = batch_name(rows.sparkSession, checkpoint, number)
+        write_log_batch(rows, path, batch)
+        if changes is not None:
+            add_changes(rows.sparkSession, path, batch, changes, kind)
+
+    writer = watched.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
     if trigger is not None:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -72,11 +92,12 @@ def run_ingest(
     checkpoint: str,
     kind: str = "kafka",
     trigger: dict[str, Any] | None = None,
+    changes: str | None = None,
     **options: Any,
 ) -> StreamingQuery:
     """Source to log. Call ``awaitTermination()`` on the result to run until stopped."""
     messages = read_user_stream(spark, source, kind, **options)
     classified = classify_users(messages, order_columns(kind))
     return write_user_log(
-        classified.select(*log_schema(kind).names), log_path, checkpoint, trigger
+        classified.select(*log_schema(kind).names), log_path, checkpoint, trigger, changes, kind
     )

@@ -1,5 +1,3 @@
-import os
-from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -8,8 +6,8 @@ from pyspark.sql import functions as F
 from checks import tables as t
 from rollcall.operators import classify_users, daily_distributions, encode_users
 from rollcall.plans import DailyPaths, run_daily
-from rollcall.schema import log_schema, order_columns
-from rollcall.sources import latest_users, read_chart_series, read_result_days, read_snapshot
+from rollcall.schema import order_columns
+from rollcall.sources import append_user_log, latest_users, read_chart_series, read_result_days, read_snapshot
 
 
 @pytest.fixture
@@ -20,9 +18,8 @@ def paths(spark, tmp_path):
     spark.sql("drop database if exists daily cascade")
 
 
-def append(records, paths):
-    classified = classify_users(t.messages(records), ["seq"])
-    classified.select(*log_schema("files").names).write.mode("append").parquet(paths.log)
+def append(records, paths, batch="0", day=t.AS_OF):
+    append_user_log(classify_users(t.messages(records), ["seq"]), paths.log, batch, day, "files")
 
 
 @pytest.mark.parametrize("by_order", [True, False])
@@ -32,7 +29,7 @@ def test_day_by_day(spark, sf_dir, paths, by_order):
     first = run_daily(spark, paths, t.AS_OF, "files").collect()
     assert sorted(first) == sorted(daily_distributions(customers, t.AS_OF).collect())
 
-    append(t.user_updates(spark, sf_dir), paths)
+    append(t.user_updates(spark, sf_dir), paths, "1", t.NEXT_DAY)
     since = F.col("seq") >= 10**12 if by_order else None
     second = run_daily(
         spark, paths, t.NEXT_DAY, "files", previous=t.AS_OF, since=since
@@ -54,14 +51,13 @@ def test_day_by_day(spark, sf_dir, paths, by_order):
 
 
 def test_files_before_the_snapshot_are_not_opened(spark, sf_dir, paths):
-    append(t.full_users(spark, sf_dir), paths)
+    append(t.full_users(spark, sf_dir), paths, "0", "2024-06-28")
     run_daily(spark, paths, t.AS_OF, "files")
-    for part in Path(paths.log).glob("*.parquet"):
+    for part in Path(paths.log).glob("ingest_date=2024-06-28/*/*.parquet"):
         part.write_bytes(b"unreadable")
-        os.utime(part, (0, datetime.fromisoformat("2024-06-28T00:00:00+00:00").timestamp()))
-    for crc in Path(paths.log).glob(".*.crc"):
+    for crc in Path(paths.log).glob("*/*/.*.crc"):
         crc.unlink()
-    append(t.user_updates(spark, sf_dir).where("seq % 3 = 0"), paths)
+    append(t.user_updates(spark, sf_dir).where("seq % 3 = 0"), paths, "1", t.NEXT_DAY)
     run_daily(spark, paths, t.NEXT_DAY, "files", previous=t.AS_OF)
     snapshot = read_snapshot(spark, paths.snapshot(t.NEXT_DAY), "files")
     assert snapshot.count() == 150
@@ -98,7 +94,7 @@ def test_topic_order(spark, sf_dir, paths):
             F.lit(offset).cast("bigint").alias("offset"),
         )
         classified = classify_users(stamped, order_columns("kafka"))
-        classified.select(*log_schema("kafka").names).write.mode("append").parquet(paths.log)
+        append_user_log(classified, paths.log, f"{when} {offset}", when[:10])
 
     arrive("2024-06-30 10:00:00", 7, "late")
     arrive("2024-06-30 10:00:00", 6, "early")

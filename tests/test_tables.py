@@ -10,9 +10,10 @@ from rollcall.operators import (
     latest_by_key,
     upsert_by_key,
 )
-from rollcall.schema import DIMENSIONS, RESULT_SCHEMA, USER_FIELDS, log_schema
+from rollcall.schema import DIMENSIONS, RESULT_SCHEMA, USER_FIELDS
 from rollcall.sources import (
     Snapshot,
+    append_user_log,
     compact_users,
     ensure_results,
     ensure_tables,
@@ -114,8 +115,7 @@ def test_catalog(spark, sf_dir, tmp_path):
     users = t.full_users(spark, sf_dir)
     for step in (0, 1000):
         again = users.withColumn("seq", F.col("seq") + step)
-        classified = classify_users(t.messages(again), ["seq"])
-        classified.select(*log_schema("files").names).write.mode("append").parquet(log)
+        append_log(again, log, str(step))
     day = daily_distributions(users, DAY)
     write_results(day, results)
     for _ in range(2):
@@ -133,9 +133,8 @@ def snapshot(tmp_path, name, table=True):
     return Snapshot(str(tmp_path / name), f"snaps.{name}" if table else None)
 
 
-def append_log(records, log):
-    classified = classify_users(t.messages(records), ["seq"])
-    classified.select(*log_schema("files").names).write.mode("append").parquet(log)
+def append_log(records, log, batch="0"):
+    append_user_log(classify_users(t.messages(records), ["seq"]), log, batch, DAY, "files")
 
 
 @pytest.mark.parametrize("table", [True, False])
@@ -145,7 +144,7 @@ def test_snapshot_upon_snapshot(spark, sf_dir, tmp_path, table):
     append_log(t.full_users(spark, sf_dir), log)
     first = snapshot(tmp_path, "first", table)
     compact_users(spark, log, first, "files")
-    append_log(t.user_updates(spark, sf_dir), log)
+    append_log(t.user_updates(spark, sf_dir), log, "1")
     newer = F.col("seq") >= 10**12
     second = snapshot(tmp_path, "second", table)
     for _ in range(2):
@@ -177,7 +176,7 @@ def test_merging_into_a_bucketed_snapshot_moves_the_news_only(
     spark.sql(f"create database snaps location '{tmp_path / 'db'}'")
     append_log(t.user_updates(spark, sf_dir), log)
     old = compact_users(spark, log, snapshot(tmp_path, "first"), "files")
-    new = latest_by_key(read_user_log(spark, log, "files").drop("raw", "reason"), ["id"], ["seq"])
+    new = latest_by_key(read_user_log(spark, log, "files").select(*old.columns), ["id"], ["seq"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = executed(upsert_by_key(old, new, ["id"], ["seq"]))
