@@ -260,6 +260,8 @@ ORACLE: dict[str, str] = {
     "stream_refused": f"""WITH {_EVENT_MESSAGES}
       SELECT event_id AS seq, text AS raw, reason FROM judged WHERE reason IS NOT NULL""",
     "produce_and_ingest": f"SELECT * FROM ({_FLATTENED}) WHERE address IS NOT NULL",
+    "produce_repeated_profile": f"""SELECT * REPLACE ('second-' || phone AS phone)
+      FROM ({_FLATTENED}) WHERE address IS NOT NULL""",
     "compact_users": f"""WITH {_UPDATES}
       SELECT {_FIELDS} FROM (
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS nth FROM updates)

@@ -255,6 +255,25 @@ def produce_and_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_users(spark, _ingest(spark, f"{base}/messages", base), "files")
 
 
+def produce_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two responses per customer in one batch and one file: the later line is the user."""
+    base = scratch(spark)
+    people = t.profiles(spark, sf_dir)
+    turns = people.withColumn("phone", F.lit("first")).unionByName(
+        people.withColumn("phone", F.concat(F.lit("second-"), "phone"))
+    )
+    response = F.struct(F.array(F.struct("*")).alias("results"))
+    lines = turns.select("email", "phone", F.to_json(response).alias("value"))
+    # All first responses of a file come before all second ones.
+    lines = lines.repartition(3, "email").sortWithinPartitions("phone")
+    lines.select("value").write.text(f"{base}/landed")
+    run_produce(
+        spark, f"{base}/landed", f"{base}/messages", f"{base}/published", kind="files",
+        id_from=["login.username"], trigger={"availableNow": True},
+    ).awaitTermination()
+    return latest_users(spark, _ingest(spark, f"{base}/messages", base), "files")
+
+
 def profile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses with paths knocked out by key: how many are published, and why others are not."""
     base = scratch(spark)
@@ -488,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_upsert_users": stream_upsert,
     "stream_refused": stream_refused,
     "produce_and_ingest": produce_and_ingest,
+    "produce_repeated_profile": produce_repeated,
     "compact_users": compact,
     "upsert_results": upsert_replace,
     "upsert_results_merge": upsert_merge,

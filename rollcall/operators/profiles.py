@@ -73,16 +73,20 @@ def split_profiles(users: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def classify_profiles(
-    responses: DataFrame, id_from: Sequence[str] | None = None, strict: bool = False
+    responses: DataFrame,
+    id_from: Sequence[str] | None = None,
+    strict: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``responses(value, profile)`` as user records with ``raw`` and ``reason``.
 
     A response without a profile, and a profile that lacks a path of the record, has a
     ``reason`` that names what is missing, and its text in ``raw``; both are NULL for the
     others. Only the gender may be missing: a user without one counts in the other analyses.
-    ``strict`` fails the job at the first one instead.
+    ``strict`` fails the job at the first one instead. Columns named in ``carry`` come along.
     """
-    flat = flatten_profiles(responses.select("profile.*", "profile", "value"), id_from, ["profile", "value"])
+    kept = ["profile", "value", *carry]
+    flat = flatten_profiles(responses.select("profile.*", *kept), id_from, kept)
     missing = [
         F.when(F.col(field).isNull(), F.lit(f"no {PROFILE_PATHS.get(field, field)}"))
         for field in USER_FIELDS
@@ -97,4 +101,4 @@ def classify_profiles(
         checked = F.when(F.col("reason").isNotNull(), F.raise_error(complaint).cast("string"))
         judged = judged.withColumn("reason", checked)
     raw = F.when(F.col("reason").isNotNull(), F.col("value"))
-    return judged.select(*USER_FIELDS, raw.alias("raw"), "reason")
+    return judged.select(*USER_FIELDS, raw.alias("raw"), "reason", *carry)

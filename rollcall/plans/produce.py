@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rollcall.operators import classify_profiles, encode_users
 from rollcall.schema import TOPIC
 from rollcall.sources import read_responses
+from rollcall.sources.profiles import LANDED
 from rollcall.streaming import write_message_stream
 
 
@@ -25,6 +26,7 @@ def run_produce(
     whole_files: bool = False,
     trigger: dict[str, Any] | None = None,
     strict: bool = False,
+    first_batch: int = 0,
 ) -> StreamingQuery:
     """Publish every response that lands in the folder ``landed``, until stopped.
 
@@ -32,10 +34,14 @@ def run_produce(
     that is a second user; name profile paths in ``id_from`` to make it the same one. Responses
     without a profile and profiles that lack a path are not published: ``strict`` fails the
     stream at the first one, and ``run_rejects`` keeps the others with their text.
+
+    Of two responses with one id the one that landed later is the later message, also within a
+    batch and a file; ``first_batch`` is that of ``write_message_stream``.
     """
-    classified = _classified(spark, landed, whole_files, id_from, strict)
-    users = classified.where("reason is null")
-    return write_message_stream(encode_users(users), target, checkpoint, kind, topic, trigger)
+    origin = () if kind == "kafka" else LANDED
+    classified = _classified(spark, landed, whole_files, id_from, strict, origin)
+    users = encode_users(classified.where("reason is null"), origin)
+    return write_message_stream(users, target, checkpoint, kind, topic, trigger, first_batch)
 
 
 def run_rejects(
@@ -66,6 +72,7 @@ def _classified(
     whole_files: bool,
     id_from: Sequence[str] | None,
     strict: bool,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    responses = read_responses(spark, landed, whole_files, stream=True)
-    return classify_profiles(responses, id_from, strict)
+    responses = read_responses(spark, landed, whole_files, stream=True, landed=bool(carry))
+    return classify_profiles(responses, id_from, strict, carry)

@@ -8,14 +8,27 @@ from pyspark.sql import functions as F
 from rollcall.schema import RESPONSE_SCHEMA
 
 
+#: Where a response was landed: files in the order of landing, and the parts they are read in.
+LANDED = ("_landed_at", "_landed_in", "_part")
+
+
 def read_responses(
-    spark: SparkSession, path: str, whole_files: bool = False, stream: bool = False
+    spark: SparkSession,
+    path: str,
+    whole_files: bool = False,
+    stream: bool = False,
+    landed: bool = False,
 ) -> DataFrame:
-    """``(value, profile)`` of every landed response: its text, and its first profile or NULL."""
+    """``(value, profile)`` of every landed response: its text, and its first profile or NULL.
+
+    With ``landed`` also where it comes from, in the columns ``LANDED``.
+    """
     reader = spark.readStream if stream else spark.read
     text = reader.text(path, wholetext=whole_files).where(F.trim("value") != "")
     profile = F.get(F.from_json("value", RESPONSE_SCHEMA)["results"], F.lit(0))
-    return text.select("value", profile.alias("profile"))
+    places = ("file_modification_time", "file_path", "file_block_start")
+    origin = [F.col(f"_metadata.{p}").alias(name) for p, name in zip(places, LANDED)] if landed else []
+    return text.select("value", profile.alias("profile"), *origin)
 
 
 def read_raw_profiles(

@@ -13,7 +13,8 @@ from rollcall.sources import (
     write_user_messages,
     written_since,
 )
-from rollcall.streaming import kafka_options, read_user_stream, run_ingest
+from rollcall.streaming import IngestProgress, kafka_options, read_user_stream, run_ingest
+from rollcall.streaming.progress import lost_offsets
 
 
 @pytest.fixture
@@ -136,3 +137,63 @@ def test_kafka_options():
         "failOnDataLoss": "false",
     }
     assert kafka_options("b", topic="other")["subscribe"] == "other"
+
+
+def test_a_repeated_batch_is_there_once(spark, sf_dir, tmp_path, stream):
+    """The last batch was written but not committed: it runs again and replaces itself."""
+    users = t.full_users(spark, sf_dir)
+    stream.land(users)
+    stream.run()
+    last = max(int(f.name) for f in (tmp_path / "checkpoint" / "commits").iterdir() if f.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink()
+    stream.run()
+    assert stream.log().count() == users.count()
+    assert stream.log().select("batch").distinct().count() == 3
+
+
+def test_another_checkpoint_writes_over_nothing(spark, sf_dir, tmp_path, stream):
+    users = t.full_users(spark, sf_dir)
+    stream.land(users, files=1)
+    for checkpoint in ("one", "two"):
+        run_ingest(
+            spark, stream.source, stream.path, str(tmp_path / checkpoint), "files", trigger={"availableNow": True}
+        ).awaitTermination()
+    assert stream.log().count() == 2 * users.count()
+    assert latest_users(spark, stream.path, "files").count() == users.count()
+
+
+def test_days_are_pruned(spark, sf_dir, stream, executed):
+    stream.land(t.full_users(spark, sf_dir))
+    stream.run()
+    plan = executed(stream.log().where(written_since(date.today())))
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+
+
+def test_progress(spark, sf_dir, tmp_path, stream):
+    users = t.full_users(spark, sf_dir)
+    stream.land(users)
+    bad = spark.createDataFrame([(bytearray(b"garbage"), 7), (None, 8)], message_schema("files"))
+    write_user_messages(bad.coalesce(1), stream.source, "files")
+    progress = IngestProgress()
+    spark.streams.addListener(progress)
+    try:
+        progress.wait(stream.run())
+        stream_again = stream.run()
+        progress.wait(stream_again)
+    finally:
+        spark.streams.removeListener(progress)
+    rows = progress.frame(spark).collect()
+    assert len(rows) == 4 and len({r.batch for r in rows}) == 4
+    assert [sum(r[c] for r in rows) for c in ("read", "accepted", "refused", "lost")] == [
+        users.count() + 2, users.count(), 2, 0,
+    ]
+
+
+def test_lost_offsets():
+    start, end = '{"t": {"0": 5, "1": 10}}', '{"t": {"0": 9, "1": 12}}'
+    assert lost_offsets(start, end, 6) == 0
+    assert lost_offsets(start, end, 2) == 4
+    assert lost_offsets(None, end, 2) == 0
+    assert lost_offsets(start, '{"t": {"0": 9, "1": 12, "2": 7}}', 2) == 0
+    assert lost_offsets('{"logOffset": 1}', '{"logOffset": 2}', 7) == 0
