@@ -111,11 +111,46 @@ judged AS (
       THEN 'id is not a UUID' END AS reason
   FROM decoded)"""
 
+# The odd texts as text, for judging them by what they say and not by how they were made.
 _EVENT_DAY = "CAST(CAST(ts AS DATE) AS VARCHAR)"
 _EVENT_PROFILES = f"""variants AS (
-  SELECT {_uuid('event_id')} AS id, ts, event_type, event_id % 6 AS a, event_id % 8 AS d
+  SELECT {_uuid('event_id')} AS id,
+    CASE event_id % 6
+      WHEN 0 THEN '1 A St, City, State ' || event_type || ', Country' || chr(9)
+      WHEN 1 THEN '2 B St, City,' || chr(160) || event_type || ' ,' || chr(8195) || 'Land' || chr(160)
+      WHEN 2 THEN 'nocomma' WHEN 3 THEN '' WHEN 5 THEN 'a,' || event_type || ',' END AS address,
+    CASE event_id % 8
+      WHEN 0 THEN {_EVENT_DAY} || 'T04:05:06.789Z' WHEN 1 THEN {_EVENT_DAY} || 't4:5:6.7z'
+      WHEN 2 THEN {_EVENT_DAY} || 'T04:05:06Z' WHEN 3 THEN {_EVENT_DAY} || 'T04:05:06.1234567Z'
+      WHEN 4 THEN {_EVENT_DAY} || 'T04:05:06.789+00:00'
+      WHEN 5 THEN ' ' || {_EVENT_DAY} || 'T04:05:06.789Z'
+      WHEN 6 THEN '2023-02-29T04:05:06.789Z' END AS dob
   FROM events)"""
 
+# Year, month and day of a date that has the one layout, as far as such a day exists.
+_LAYOUT = (
+    "([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}| [0-9])[Tt](2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]"
+    "[.][0-9]{1,6}[Zz]"
+)
+_DOB_DAY = (
+    f"CASE WHEN regexp_full_match(dob, '{_LAYOUT}') AND dob NOT LIKE '0000%' THEN "
+    "CAST(TRY_CAST(split_part(replace(upper(dob), ' ', ''), 'T', 1) AS DATE) AS VARCHAR) END"
+)
+# Whitespace of every kind, off both ends.
+_BLANKS = "chr(9) || chr(10) || chr(13) || chr(32) || chr(160) || chr(8195)"
+
+
+def _address_part(position: int) -> str:
+    parts = "string_split(address, ',')"
+    return f"CASE WHEN len({parts}) >= {-position} THEN trim({parts}[{position}], {_BLANKS}) END"
+
+
+_REJECTS = f"""SELECT * FROM (SELECT id, concat_ws('; ',
+    CASE WHEN dob IS NULL THEN 'no dob' WHEN {_DOB_DAY} IS NULL THEN 'dob is not a date' END,
+    CASE WHEN address IS NULL THEN 'no address'
+      WHEN NOT contains(address, ',') THEN 'address has no comma' END
+  ) AS reason FROM variants) WHERE reason <> ''"""
+
 # --- operators -------------------------------------------------------------------------------
 
 
@@ -207,28 +242,22 @@ ORACLE: dict[str, str] = {
     "scan_users": f"WITH {_USERS} SELECT * FROM users",
     "flatten_profiles": _FLATTENED,
     "raw_profiles": f"SELECT * FROM ({_FLATTENED}) WHERE address IS NOT NULL",
+    "raw_profiles_first": f"SELECT id, email FROM ({_FLATTENED})",
+    "random_ids": """SELECT count(*) AS ids, count(*) AS different, true AS all_uuids
+      FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "split_profiles": f"SELECT id, address IS NOT NULL AS whole FROM ({_FLATTENED})",
     "parse_dob": f"""WITH {_USERS}
       SELECT id, CAST(CAST(substr(dob, 1, 10) AS DATE) AS VARCHAR) AS born FROM users""",
     "parse_dob_variants": f"""WITH {_EVENT_PROFILES}
-      SELECT id, CASE WHEN d IN (0, 1) THEN {_EVENT_DAY} END AS born FROM variants""",
+      SELECT id, {_DOB_DAY} AS born FROM variants""",
     "age_years": f"WITH {_USERS} SELECT id, {_age(AS_OF)} AS age FROM users",
     "age_group": f"""WITH {_USERS} SELECT id, {_age_group('age')} AS age_group
       FROM (SELECT id, {_age(AS_OF)} AS age FROM users)""",
     "address_country": f"WITH {_USERS} SELECT id, {_part(-1)} AS country FROM users",
     "address_city": f"WITH {_USERS} SELECT id, {_part(-2)} AS city FROM users",
     "address_variants": f"""WITH {_EVENT_PROFILES}
-      SELECT id,
-        CASE a WHEN 0 THEN 'Country' WHEN 1 THEN 'Land' WHEN 2 THEN 'nocomma' WHEN 3 THEN ''
-          WHEN 5 THEN '' END AS country,
-        CASE a WHEN 0 THEN 'State ' || event_type WHEN 1 THEN event_type
-          WHEN 5 THEN event_type END AS city
-      FROM variants""",
-    "analysis_rejects": f"""WITH {_EVENT_PROFILES}
-      SELECT * FROM (SELECT id, concat_ws('; ',
-        CASE WHEN d = 7 THEN 'no dob' WHEN d > 1 THEN 'dob is not a date' END,
-        CASE WHEN a = 4 THEN 'no address' WHEN a IN (2, 3) THEN 'address has no comma' END
-      ) AS reason FROM variants) WHERE reason <> ''""",
+      SELECT id, {_address_part(-1)} AS country, {_address_part(-2)} AS city FROM variants""",
+    "analysis_rejects": f"WITH {_EVENT_PROFILES} {_REJECTS}",
     "share": """SELECT event_type AS category,
         CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100 AS percentage
       FROM events WHERE event_type IS NOT NULL GROUP BY event_type""",
@@ -242,6 +271,12 @@ ORACLE: dict[str, str] = {
     "country_distribution": f"WITH {_USERS} {_share('country', AS_OF)}",
     "city_distribution": f"WITH {_USERS} {_share('city', AS_OF)}",
     "daily_distributions": f"WITH {_USERS} {_day(AS_OF)}",
+    "daily_reject_counts": f"""WITH {_EVENT_PROFILES}, reasons AS (
+        SELECT unnest(string_split(reason, '; ')) AS reason FROM ({_REJECTS}))
+      SELECT label AS reason, count(reason) AS n
+      FROM (VALUES ('no dob'), ('dob is not a date'), ('no address'), ('address has no comma'))
+        AS labels(label) LEFT JOIN reasons ON label = reason GROUP BY label""",
+    "daily_from_changes": f"WITH {_LATEST} {_day(NEXT_DAY, 'latest')}",
     "encode_roundtrip": f"WITH {_FULL_USERS} SELECT {_FIELDS} FROM full_users",
     "decode_users": f"""WITH {_EVENT_MESSAGES}
       SELECT event_id, id, gender, post_code, dob FROM decoded""",
@@ -259,6 +294,12 @@ ORACLE: dict[str, str] = {
     "stream_upsert_users": f"WITH {_LATEST} SELECT * FROM latest",
     "stream_refused": f"""WITH {_EVENT_MESSAGES}
       SELECT event_id AS seq, text AS raw, reason FROM judged WHERE reason IS NOT NULL""",
+    "log_after_restart": f"""WITH {_EVENT_MESSAGES}
+      SELECT reason, count(*) AS n, count(DISTINCT event_id) AS messages FROM judged GROUP BY reason""",
+    "ingest_progress": f"""WITH {_EVENT_MESSAGES}
+      SELECT true AS several_batches, CAST(count(*) AS BIGINT) AS read,
+        count(*) FILTER (reason IS NULL) AS accepted, count(reason) AS refused, 0 AS lost
+      FROM judged""",
     "produce_and_ingest": f"SELECT * FROM ({_FLATTENED}) WHERE address IS NOT NULL",
     "produce_repeated_profile": f"""SELECT * REPLACE ('second-' || phone AS phone)
       FROM ({_FLATTENED}) WHERE address IS NOT NULL""",
@@ -266,6 +307,11 @@ ORACLE: dict[str, str] = {
       SELECT {_FIELDS} FROM (
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS nth FROM updates)
       WHERE nth = 1""",
+    "users_by_id": f"""WITH {_FULL_USERS}, richest AS (
+        SELECT {_uuid('c_custkey')} AS id FROM customer
+        QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey DESC) = 1)
+      SELECT {_FIELDS} FROM full_users JOIN richest USING (id)""",
+    "created_users_current": f"WITH {_LATEST} SELECT * FROM latest",
     "upsert_results": f"WITH {_USERS}, {_STORED_DAYS} SELECT * FROM results",
     "upsert_results_merge": f"""WITH {_USERS}, {_UPDATES},
       old AS ({_share('city', AS_OF)}), new AS ({_day(AS_OF, 'updates')})
@@ -309,9 +355,18 @@ ORACLE: dict[str, str] = {
           ORDER BY percentage DESC, category) - 1 AS INTEGER) AS position,
         category, percentage
       FROM results""",
+    "chart_places": f"""WITH {_USERS}, results AS ({_day(AS_OF)})
+      SELECT dimension, analysis_date, row_number() OVER (PARTITION BY dimension, analysis_date
+          ORDER BY percentage DESC, category) - 1 AS place, category, percentage
+      FROM results""",
+    "event_places": """SELECT event_type, event_id,
+        row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS place FROM events""",
     "chart_dataset": f"""WITH {_USERS}, {_STORED_DAYS}
       SELECT analysis_date, dimension, {_FILE}, category, {_LABEL}
       FROM results WHERE dimension <> 'city'""",
+    "republished_day": f"""WITH {_USERS}, {_UPDATES}
+      SELECT dimension, category, percentage, 0 AS version FROM ({_day(AS_OF)})
+      UNION ALL SELECT dimension, category, percentage, 1 FROM ({_day(AS_OF, 'updates')})""",
     "run_daily": f"WITH {_LATEST} {_day(AS_OF, 'latest')}",
     "tables_and_views": f"""WITH {_LATEST}
       SELECT dimension AS source, category AS name, percentage FROM ({_day(AS_OF, 'latest')})

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from checks import tables as t
 from checks.scratch import scratch
@@ -22,32 +24,41 @@ from rollcall.operators import (
     flatten_profiles,
     gender_distribution,
     latest_by_key,
+    reject_counts,
     rejected_for_analysis,
     share,
     split_profiles,
     split_valid,
+    watch_rejects,
     with_address_part,
     with_age,
     with_bins,
+    with_places,
 )
 from rollcall.plans import DailyPaths, run_daily, run_produce, run_rejects
-from rollcall.schema import USER_FIELDS, log_schema, message_schema
+from rollcall.schema import DIMENSIONS, USER_FIELDS, message_schema
 from rollcall.sources import (
     Snapshot,
     append_user_log,
     compact_users,
+    ensure_changes,
     ensure_tables,
+    fold_changes,
     latest_users,
+    publish_current_users,
+    publish_version,
     read_chart_series,
     read_raw_profiles,
     read_refused,
     read_result_days,
     read_results,
+    read_user_log,
+    users_by_id,
     write_chart_series,
     write_results,
     write_user_messages,
 )
-from rollcall.streaming import run_ingest
+from rollcall.streaming import IngestProgress, run_ingest
 
 # Everyone alive today is past 70 on this date, so four of the five age groups are empty.
 FAR_AS_OF = "2100-06-30"
@@ -80,6 +91,30 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_profiles(users)[0]
 
 
+def first_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of two profiles each, and of none: the first profile is the user."""
+    landed = scratch(spark) + "/landed"
+    people = t.profiles(spark, sf_dir)
+    other = F.struct(*[
+        F.concat(F.lit("other-"), "email").alias("email") if c == "email" else F.col(c) for c in people.columns
+    ])
+    both = people.select(F.array(F.struct("*"), other).alias("results"))
+    none = people.select(F.slice(F.array(F.struct("*")), 1, 0).alias("results"))
+    responses = both.unionByName(none).select(F.to_json(F.struct("results")).alias("value"))
+    responses.write.text(landed)
+    return flatten_profiles(read_raw_profiles(spark, landed), id_from=["login.username"]).select("id", "email")
+
+
+def random_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that are drawn: how many, how many different ones, and whether all are version 4 UUIDs."""
+    ids = flatten_profiles(t.profiles(spark, sf_dir)).select("id")
+    shape = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return ids.agg(
+        F.count("*").alias("ids"), F.count_distinct("id").alias("different"),
+        F.bool_and(F.col("id").rlike(shape)).alias("all_uuids"),
+    )
+
+
 def profiles_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole addresses and lacking ones, told apart."""
     users = flatten_profiles(t.profiles(spark, sf_dir), id_from=["login.username"])
@@ -161,6 +196,23 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_distributions(t.users(spark, sf_dir), t.AS_OF)
 
 
+def daily_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons for rejection, counted while the distributions of the same users are written."""
+    users = t.event_profiles(spark, sf_dir).withColumn("gender", F.lit("any"))
+    watched, seen = watch_rejects(users)
+    write_results(daily_distributions(watched, t.AS_OF), scratch(spark) + "/results")
+    return reject_counts(spark, seen)
+
+
+def daily_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day out of the counts of the day before, corrected by the users that have changed."""
+    paths = replace(_daily_paths(base := scratch(spark)), counts=f"{base}/counts")
+    _append_log(t.full_users(spark, sf_dir), paths.log, "0", "2024-06-01")
+    run_daily(spark, paths, t.AS_OF, "files")
+    _append_log(t.user_updates(spark, sf_dir), paths.log, "1", t.NEXT_DAY)
+    return run_daily(spark, paths, t.NEXT_DAY, "files", previous=t.AS_OF)
+
+
 # --- messages and the keyed table -----------------------------------------------------------
 
 
@@ -199,19 +251,26 @@ def _land(spark: SparkSession, messages: DataFrame, folder: str) -> None:
     write_user_messages(messages.repartition(files), folder, kind="files")
 
 
-def _ingest(spark: SparkSession, folder: str, base: str) -> str:
-    """Run the stream over what is new in ``folder``, in several micro-batches."""
+def _start_ingest(
+    spark: SparkSession, folder: str, base: str, changes: str | None = None
+) -> StreamingQuery:
+    """The stream over what is new in ``folder``, in several micro-batches."""
     per_batch = max(1, spark.sparkContext.defaultParallelism // 3)
-    query = run_ingest(
+    return run_ingest(
         spark,
         folder,
         f"{base}/log",
         f"{base}/checkpoint",
         kind="files",
         trigger={"availableNow": True},
+        changes=changes,
         maxFilesPerTrigger=per_batch,
     )
-    query.awaitTermination()
+
+
+def _ingest(spark: SparkSession, folder: str, base: str, changes: str | None = None) -> str:
+    """Run the stream to the end of what is there; the path of the log."""
+    _start_ingest(spark, folder, base, changes).awaitTermination()
     return f"{base}/log"
 
 
@@ -219,7 +278,7 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark)
     _land(spark, t.messages(t.full_users(spark, sf_dir)), f"{base}/messages")
     log = _ingest(spark, f"{base}/messages", base)
-    return spark.read.schema(log_schema("files")).parquet(log).select(*USER_FIELDS, "reason")
+    return read_user_log(spark, log, "files").select(*USER_FIELDS, "reason")
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,6 +380,62 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_users(spark, log, second, "files", first, newer).drop("seq")
 
 
+def log_after_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the raw log by reason, after a stream that was stopped and started three times."""
+    base = scratch(spark)
+    messages = t.event_messages(spark, sf_dir).withColumnRenamed("event_id", "seq")
+    for part in range(2):
+        _land(spark, messages.where(F.col("seq") % 2 == part), f"{base}/messages")
+        log = _ingest(spark, f"{base}/messages", base)
+    log = read_user_log(spark, _ingest(spark, f"{base}/messages", base), "files")
+    return log.groupBy("reason").agg(F.count("*").alias("n"), F.count_distinct("seq").alias("messages"))
+
+
+def ingest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listener saw of an ingestion in several batches, most of it defective."""
+    base = scratch(spark)
+    messages = t.event_messages(spark, sf_dir).withColumnRenamed("event_id", "seq")
+    _land(spark, messages, f"{base}/messages")
+    progress = IngestProgress()
+    spark.streams.addListener(progress)
+    try:
+        progress.wait(_start_ingest(spark, f"{base}/messages", base))
+    finally:
+        spark.streams.removeListener(progress)
+    seen = progress.frame(spark)
+    sums = [F.sum(c).alias(c) for c in ("read", "accepted", "refused", "lost")]
+    return seen.agg((F.count_distinct("batch") > 1).alias("several_batches"), *sums)
+
+
+def users_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The richest customer of every nation, looked up by id in a snapshot of all."""
+    base = scratch(spark)
+    _append_log(t.full_users(spark, sf_dir), f"{base}/log")
+    snapshot = _snapshot(base, "lookup")
+    spark.sql(f"CREATE DATABASE {_database(base)} LOCATION '{base}/database'")
+    compact_users(spark, f"{base}/log", snapshot, "files")
+    richest = latest_by_key(
+        t.table(spark, sf_dir, "customer"), ["c_nationkey"], ["c_acctbal", "c_custkey"]
+    ).selectExpr(f"upper({t.uuid_of('c_custkey')}) as id")
+    return users_by_id(spark, snapshot, richest, "files").drop("seq")
+
+
+def created_users_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view of users: a snapshot of the customers, and the orders' updates as change sets."""
+    base = scratch(spark)
+    database, buckets = _database(base), spark.sparkContext.defaultParallelism
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
+    changes, snapshot = f"{database}.changes", _snapshot(base, "current")
+    ensure_changes(spark, changes, buckets, "files")
+    _land(spark, t.messages(t.full_users(spark, sf_dir)), f"{base}/messages")
+    _ingest(spark, f"{base}/messages", base, changes)
+    fold_changes(spark, changes, snapshot, kind="files")
+    _land(spark, t.messages(t.user_updates(spark, sf_dir)), f"{base}/messages")
+    _ingest(spark, f"{base}/messages", base, changes)
+    publish_current_users(spark, changes, database, snapshot, "files")
+    return spark.table(f"{database}.created_users")
+
+
 def _database(base: str) -> str:
     """A database name of its own for every scratch folder."""
     return "rollcall_" + base[-8:].replace("-", "_").lower()
@@ -429,6 +544,39 @@ def views_over_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.country")
 
 
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bar with its place, from charts cut into lists of three."""
+    lists = chart_arrays(read_result_days(spark, _stored_day(spark, sf_dir)), max_items=3)
+    bars = F.posexplode(F.arrays_zip("categories", "percentages")).alias("at", "bar")
+    return lists.select("dimension", "analysis_date", "chunk", bars).select(
+        "dimension", "analysis_date", (F.col("chunk") * 3 + F.col("at")).cast("long").alias("place"),
+        F.col("bar.categories").alias("category"), F.col("bar.percentages").alias("percentage"),
+    )
+
+
+def event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's place in time among those of its type, the longest lists of the tables."""
+    events = t.table(spark, sf_dir, "events").select("event_type", "event_id", "ts")
+    placed = with_places(events, ["event_type"], [F.asc("ts"), F.asc("event_id")])
+    return placed.select("event_type", "event_id", "place")
+
+
+def republished_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day published at once, then published again over other users: before and after."""
+    base = scratch(spark)
+    database = _database(base)
+    ensure_tables(spark, f"{base}/log", f"{base}/results", database, "files", f"{base}/db")
+    shown = []
+    for n, people in enumerate((t.users(spark, sf_dir), t.user_updates(spark, sf_dir))):
+        day = daily_distributions(people, t.AS_OF)
+        publish_version(spark, day, f"{base}/results", t.AS_OF, database)
+        views = [f"SELECT '{d}' AS dimension, {c} AS category, percentage FROM {database}.{d}" for d, c in DIMENSIONS.items()]
+        now = spark.sql(" UNION ALL ".join(views)).withColumn("version", F.lit(n))
+        now.write.parquet(f"{base}/shown-{n}")
+        shown.append(spark.read.parquet(f"{base}/shown-{n}"))
+    return shown[0].unionByName(shown[1])
+
+
 def chart_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart data of two days, written and read back."""
     charts = scratch(spark) + "/charts"
@@ -481,6 +629,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_users": scan_users,
     "flatten_profiles": flatten,
     "raw_profiles": raw_profiles,
+    "raw_profiles_first": first_profile,
+    "random_ids": random_ids,
     "split_profiles": profiles_by_address,
     "parse_dob": parse_dob_users,
     "parse_dob_variants": parse_dob_variants,
@@ -498,6 +648,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "country_distribution": country,
     "city_distribution": city,
     "daily_distributions": daily,
+    "daily_reject_counts": daily_reject_counts,
+    "daily_from_changes": daily_from_changes,
     "encode_roundtrip": encode_roundtrip,
     "decode_users": decode_event_messages,
     "classify_users": classify_event_messages,
@@ -506,9 +658,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_decode_users": stream_decode,
     "stream_upsert_users": stream_upsert,
     "stream_refused": stream_refused,
+    "log_after_restart": log_after_restart,
+    "ingest_progress": ingest_progress,
     "produce_and_ingest": produce_and_ingest,
     "produce_repeated_profile": produce_repeated,
     "compact_users": compact,
+    "users_by_id": users_by_key,
+    "created_users_current": created_users_current,
     "upsert_results": upsert_replace,
     "upsert_results_merge": upsert_merge,
     "upsert_results_emptied": upsert_emptied,
@@ -518,7 +674,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "results_for_date": results_for_date,
     "chart_series": series,
     "chart_arrays": arrays,
+    "chart_places": places,
+    "event_places": event_places,
     "chart_dataset": chart_dataset,
+    "republished_day": republished_day,
     "run_daily": daily_job,
     "tables_and_views": tables_and_views,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import percent_label
+from rollcall.operators.places import with_places
 from rollcall.schema import CHART_UPRIGHT_ABOVE, CHART_Y_LABEL, CHARTS
 
 _CHART = ["dimension", "analysis_date"]
@@ -51,7 +52,7 @@ def _text(index: int) -> Column:
 
 
 def _with_levels(bars: DataFrame) -> DataFrame:
-    """``bars`` with the bars above (``_above``) and on (``_level``) their own percentage.
+    """``bars`` with the bars above their own percentage (``_above``) and of the whole chart.
 
     A level, all bars of one percentage, may hold nearly all bars of a chart. Bars are dealt
     over ``_SALTS`` by their category, and every level is there once for each.
@@ -63,7 +64,6 @@ def _with_levels(bars: DataFrame) -> DataFrame:
     )
     levels = levels.select(
         *[F.col(c).alias(f"_{c}") for c in (*_CHART, "percentage")],
-        F.col("_bars").alias("_level"),
         (F.sum("_bars").over(downwards) - F.col("_bars")).alias("_above"),
         F.sum("_bars").over(chart).alias("n_categories"),
     )
@@ -78,19 +78,16 @@ def _with_levels(bars: DataFrame) -> DataFrame:
 def chart_arrays(results: DataFrame, max_items: int = 100_000) -> DataFrame:
     """Two parallel lists per dimension and day: categories and percentages, largest first.
 
-    The list comes in chunks, cut by position: a percentage goes to chunk (bars above it) /
-    ``max_items``, so that the chunks in order are the whole list, largest first, at every
-    length. Equal percentages are in order of category within a chunk; more than ``max_items``
-    of them are dealt over as many chunks as they fill, by a hash of the category. No list
-    holds more than about three times ``max_items``; nothing is left out. ``results`` is read
-    twice, as in ``chart_series``.
+    Equal percentages are in order of category. A long chart comes in chunks of exactly
+    ``max_items`` bars, the last one of what is left: the chunks in order are the whole chart, in
+    one and the same order at every length, and nothing is left out. ``results`` are sorted and
+    written once when this is called.
     """
-    parts = F.ceil(F.col("_level") / F.lit(max_items))
-    part = F.pmod(F.xxhash64("category", F.lit(1)), parts)
-    chunk = (F.floor(F.col("_above") / F.lit(max_items)) + part).cast("int")
-    bar = F.struct((-F.col("percentage")).alias("size"), "category", "percentage")
+    largest_first = [F.desc_nulls_last("percentage"), F.asc_nulls_first("category")]
+    chunk = F.floor(F.col("_place") / F.lit(max_items)).cast("int")
+    bar = F.struct("_place", "category", "percentage")
     lists = (
-        _with_levels(results)
+        with_places(results.select(*_CHART, "category", "percentage"), _CHART, largest_first, "_place")
         .groupBy(*_CHART, chunk.alias("chunk"))
         .agg(F.sort_array(F.collect_list(bar)).alias("_bars"))
     )

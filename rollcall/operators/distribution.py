@@ -53,9 +53,17 @@ def shares(
     if clean:
         counts = counts.withColumn("category", _cleaned(clean))
     if declared:
-        counts = counts.unionByName(_zero_rows(df, declared))
+        counts = counts.unionByName(zero_rows(df, declared))
     if clean or declared:
         counts = counts.groupBy("dimension", "category").agg(F.sum("n").alias("n"))
+    return percentages(counts, totals)
+
+
+def percentages(counts: DataFrame, totals: DataFrame) -> DataFrame:
+    """``(dimension, category, percentage)`` of ``counts(dimension, category, n)``.
+
+    ``totals(dimension, total)`` has a row per dimension.
+    """
     # Divide first: (n / total) * 100 and 100 * n / total differ in the last bit.
     percentage = F.try_divide("n", "total") * 100
     return counts.join(F.broadcast(totals), "dimension", "left").select(
@@ -71,7 +79,7 @@ def _cleaned(clean: Mapping[str, Callable[[Column], Column]]) -> Column:
     return category
 
 
-def _zero_rows(df: DataFrame, declared: Mapping[str, Sequence[str]]) -> DataFrame:
+def zero_rows(df: DataFrame, declared: Mapping[str, Sequence[str]]) -> DataFrame:
     """A count of 0 for every declared category."""
     rows = ", ".join(
         f"({sql_literal(dimension)}, {sql_literal(label)}, 0L)"

@@ -121,6 +121,16 @@ RESULT_SCHEMA = T.StructType(
         T.StructField("analysis_date", T.StringType()),
     ]
 )
+# Counts behind the results: the age of a user is kept as the day of birth.
+BORN = "born"
+COUNT_SCHEMA = T.StructType(
+    [
+        T.StructField("category", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("dimension", T.StringType()),
+        T.StructField("analysis_date", T.StringType()),
+    ]
+)
 RESULT_PARTITIONS = ("dimension", "analysis_date")
 RESULT_KEY = ("dimension", "analysis_date", "category")
 

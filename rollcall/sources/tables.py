@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions import as_of_text, sql_literal
@@ -17,6 +19,8 @@ from rollcall.schema import (
     order_columns,
     stored_log_schema,
 )
+from rollcall.sources.partitions import replace_partitions
+from rollcall.sources.paths import qualified
 from rollcall.sources.results import ensure_results
 
 
@@ -75,6 +79,40 @@ def ensure_tables(
         )
 
 
+def publish_version(
+    spark: SparkSession,
+    results: DataFrame,
+    path: str,
+    as_of: date | str,
+    database: str = DATABASE,
+) -> DataFrame:
+    """Replace one day for all readers of the catalog at once; returns its results.
+
+    The rows are written whole to a folder of their own, ``path/_versions/<day>-<new id>``. Then the
+    day's partitions in ``results`` are pointed there, four entries of the catalog, without a
+    copy. A job that fails before has changed nothing that the table and its views show, and
+    whoever is reading the old version reads on: its files stay. Readers of the folder ``path``
+    itself do not see versions, nor a day that was written to it afterwards in the catalog.
+    """
+    day = as_of_text(as_of)
+    folder = f"{qualified(spark, path)}/_versions/{day}-{uuid.uuid4().hex}"
+    rows = results.where(F.col("analysis_date") == day).select(*RESULT_SCHEMA.names)
+    replace_partitions(rows, folder, RESULT_PARTITIONS, [(dimension, day) for dimension in DIMENSIONS])
+    for dimension in DIMENSIONS:
+        partition = f"PARTITION (dimension = '{dimension}', analysis_date = '{day}')"
+        place = _location(f"{folder}/dimension={dimension}/analysis_date={day}")
+        spark.sql(f"ALTER TABLE `{database}`.results ADD IF NOT EXISTS {partition} {place}")
+        spark.sql(f"ALTER TABLE `{database}`.results {partition} SET {place}")
+    spark.sql(f"REFRESH TABLE `{database}`.results")
+    return read_published(spark, as_of, database)
+
+
+def read_published(spark: SparkSession, as_of: date | str, database: str = DATABASE) -> DataFrame:
+    """The results of a day as the catalog has them, whichever folder they lie in."""
+    rows = spark.table(f"`{database}`.results").select(*RESULT_SCHEMA.names)
+    return rows.where(F.col("analysis_date") == as_of_text(as_of))
+
+
 def publish_results(spark: SparkSession, as_of: date | str, database: str = DATABASE) -> None:
     """Make one day, written by path, known to the catalog: as many entries as dimensions."""
     day = as_of_text(as_of)

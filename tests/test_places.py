@@ -1,0 +1,51 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rollcall.operators import chart_arrays, with_places
+from rollcall.schema import RESULT_SCHEMA
+
+
+def test_places_are_those_of_a_sort(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]), rng.randint(0, 9), f"x{i:04}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v int, k string").repartition(5)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = with_places(df, ["g"], [F.desc("v"), F.asc("k")]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for g in ("a", "b", None):
+        want = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))
+        assert [tuple(r)[:3] for r in sorted((r for r in found if r.g == g), key=lambda r: r.place)] == want
+        assert sorted(r.place for r in found if r.g == g) == list(range(len(want)))
+
+
+def test_no_rows_no_places(spark):
+    assert with_places(spark.createDataFrame([], "g string, v int"), ["g"], [F.asc("v")]).count() == 0
+
+
+@pytest.mark.parametrize("max_items", [1, 7, 100, 5000])
+def test_one_order_at_every_length(spark, max_items):
+    rng = random.Random(2)
+    rows = [(f"c{rng.randrange(10**6)}-{i}", rng.choice([0.5, 0.5, 1.5, None]), "city", "2024-06-30") for i in range(700)]
+    lists = chart_arrays(spark.createDataFrame(rows, RESULT_SCHEMA), max_items).collect()
+    lists = sorted(lists, key=lambda r: r.chunk)
+    assert [r.chunk for r in lists] == list(range(-(-700 // max_items)))
+    assert {len(r.categories) for r in lists[:-1]} <= {max_items}
+    found = [p for r in lists for p in zip(r.categories, r.percentages)]
+    assert found == [(c, p) for c, p, *_ in sorted(rows, key=lambda r: (-(r[1] or -1), r[0]))]
+
+
+def test_a_million_bars_of_one_percentage(spark):
+    results = spark.range(1_000_000).selectExpr(
+        "sha1(string(id)) as category", "1e-4 as percentage", "'city' as dimension", "'2024-06-30' as analysis_date"
+    )
+    lists = chart_arrays(results, 10_000)
+    ends = lists.select("chunk", F.size("categories").alias("n"), F.element_at("categories", 1).alias("a"),
+                        F.element_at("categories", -1).alias("z"),
+                        (F.col("categories") == F.sort_array("categories")).alias("sorted")).orderBy("chunk").collect()
+    assert [r.chunk for r in ends] == list(range(100)) and all(r.n == 10_000 and r.sorted for r in ends)
+    assert all(x.z < y.a for x, y in zip(ends, ends[1:]))
