@@ -49,23 +49,27 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every node with its root, from all edges at once: roots are hooked on smaller ones."""
-    both = [np.stack([b.column(c).to_numpy() for c in ("u", "v")]) for b in batches]
-    if not both:
-        return
-    nodes, ends = np.unique(np.concatenate(both, 1), return_inverse=True)
+def roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of an edge list that fits one task, in order, and the smallest node each can reach."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
     ends = ends.reshape(2, -1)
     parent = np.arange(len(nodes))
     while True:
         a, b = parent[ends]
         apart = a != b
         if not apart.any():
-            break
+            return nodes, nodes[parent]
         np.minimum.at(parent, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
         while not np.array_equal(parent, up := parent[parent]):
             parent = up
-    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[parent])], ["node", "root"])
+
+
+def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every node with its root, from all edges at once."""
+    both = [np.stack([b.column(c).to_numpy() for c in ("u", "v")]) for b in batches]
+    if both:
+        found = roots(*np.concatenate(both, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["node", "root"])
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:

@@ -1,17 +1,16 @@
 """Fuzzy line dedup: near-equal lines of all documents, one occurrence kept of each group.
 
-Lines are normalised (lower case, digits as 0, punctuation and runs of blanks as one blank) and
-fingerprinted by SimHash over their words, or over the bytes of them where there are few words, as
-in scripts written without blanks. Two lines within ``RADIUS`` bits agree in two of
-five blocks of the fingerprint at least, so that ten keys, one for each pair of blocks, bring all
-of them together. What is near by fingerprint makes clusters; in these, lines are linked that are
-near by fingerprint and by edit similarity, and of each connected group the first occurrence stays.
+Lines are normalised (lower case, digits as 0, punctuation and runs of blanks as one blank).
+Each different one gets a SimHash of 256 bits over the set of its runs of four bytes, so that a
+changed letter moves few bits. The fingerprint is cut into 16 blocks. Two lines within 15 bits
+agree in a block for certain, lines farther apart most likely: buckets, one for each value of a
+block, bring them together. What is near there by fingerprint makes clusters; in these, lines are
+linked that are near by edit similarity, and of each connected group the first occurrence stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,44 +29,64 @@ from .common import (
     text_bytes,
     written,
 )
-from .components import connected_components
-
-RADIUS = 3
-#: Bits of the five blocks.
-BLOCKS = (13, 13, 13, 13, 12)
+from .components import connected_components, roots
+
+#: Fingerprints of 4 x 64 bits, in blocks of 16, over runs of so many bytes.
+PRINT = ("p0", "p1", "p2", "p3")
+BITS = 64 * len(PRINT)
+BLOCK_BITS = 16
+GRAM_BYTES = 4
+#: Lines farther apart are not compared by their letters. Unrelated lines differ in about 120 bits,
+#: a changed letter in one of ten words moves about 30, in one of forty 14.
+RADIUS = 56
 #: Edit similarity, 1 - distance / longer length, in percent.
 PERCENT = 90
 #: Shorter lines, after normalising, are never touched.
 MIN_CHARS = 20
 MIN_WORDS = 1
-#: Lines of fewer words are fingerprinted over runs of so many bytes of their words.
-FEW_WORDS = 3
-GRAM_BYTES = 6
 #: Buckets of more lines than this become clusters unseen.
-LARGE_BUCKET = 1024
+LARGE_BUCKET = 8192
+#: Runs of bytes that are voted on at once, and lines that a task knows to have fingerprinted.
+CHUNK_GRAMS = 40_000
+KNOWN_LINES = 2_000_000
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[ord("0") : ord("9") + 1] = ord("0")
 _PLAIN[[c for c in range(128) if c != 10 and not chr(c).isalnum()]] = ord(" ")
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+_GRAMS = 1 << 13
+
+
+def _vote_table() -> np.ndarray:
+    """For every hashed run of bytes its 256 bits, as 16-bit counters side by side, four a number."""
+    bits = mixed(np.arange(1, _GRAMS * len(PRINT) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    flags = np.unpackbits(bits.view(np.uint8), bitorder="little").astype(np.uint16)
+    return flags.view(np.uint64).reshape(_GRAMS, BITS // 4)
+
+
+_VOTES = _vote_table()
 
 
-def simhash(h: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of runs of hashes: runs begin at ``first`` and have ``n`` > 0 items."""
-    out = np.zeros(len(first), np.uint64)
-    if not len(first):
-        return out
-    half, one = np.uint64(32), np.uint64(0x0000000100000001)
-    for k in range(32):
-        votes = np.add.reduceat((h >> np.uint64(k)) & one, first)
-        low, high = votes & np.uint64(0xFFFFFFFF), votes >> half
-        out |= (2 * low > n).astype(np.uint64) << np.uint64(k)
-        out |= (2 * high > n).astype(np.uint64) << np.uint64(k + 32)
+def simhash(line: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
+    """256-bit SimHash of ``n`` sets: row i of the result is that of the ``gram`` where ``line`` is i.
+
+    Both arrays are sorted by line, no line lacks a gram, and no gram is twice in one line.
+    """
+    count = np.bincount(line, minlength=n)
+    first = np.cumsum(count) - count
+    out = np.empty((n, len(PRINT)), np.uint64)
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(first, first[at] + CHUNK_GRAMS)))
+        a, b = first[at], first[to - 1] + count[to - 1]
+        votes = np.add.reduceat(_VOTES[gram[a:b]], first[at:to] - a, axis=0).view(np.uint16)
+        out[at:to] = np.packbits(2 * votes > count[at:to, None], axis=1, bitorder="little").view(np.uint64)
+        at = to
     return out
 
 
 class Lines:
-    """The lines of a batch that are long enough: text, number, name, fingerprint and bytes."""
+    """The lines of a batch that are long enough: text, number, name and words."""
 
     def __init__(self, column: pa.Array) -> None:
         data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(column, "")))
@@ -78,39 +97,41 @@ class Lines:
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
         number = np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets)[text]
         borders = np.append(starts, len(self.data))
-        w_start, w_end, w_at = spans(solid(self.data) & ~is_break, borders)
+        self.w_start, self.w_end, w_at = spans(solid(self.data) & ~is_break, borders)
         n_words = np.diff(w_at)
-        sizes = np.concatenate([[0], np.cumsum(w_end - w_start)])
+        sizes = np.concatenate([[0], np.cumsum(self.w_end - self.w_start)])
         length = sizes[w_at[1:]] - sizes[w_at[:-1]] + np.maximum(n_words - 1, 0)
         for i in np.flatnonzero((length >= MIN_CHARS) & (length < 4 * MIN_CHARS)):
             length[i] -= np.count_nonzero((self.data[starts[i] : ends[i]] & 0xC0) == 0x80)
         good = (n_words >= MIN_WORDS) & (length >= MIN_CHARS)
         self.text, self.number = text[good], number[good]
-        self.starts, self.ends = starts[good], ends[good]
-        h = span_hashes(self.data, w_start, w_end)
-        first, n = w_at[:-1][good], n_words[good]
+        self.first, self.n = w_at[:-1][good], n_words[good]
+        h = span_hashes(self.data, self.w_start, self.w_end)
         place = np.arange(len(h)) - np.repeat(w_at[:-1], n_words)
-        if len(first):
+        if len(self.first):
             sums = np.concatenate([[np.uint64(0)], np.cumsum(h * powers(_STEP, int(place.max()) + 1)[place])])
-            self.name = mixed(sums[first + n] - sums[first] + n.astype(np.uint64))
-            runs = np.repeat(np.arange(len(n)), n)
-            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[runs]
-            self.print = simhash(h[inside], np.cumsum(n) - n, n.astype(np.uint64))
-            few = np.flatnonzero(n < FEW_WORDS)
-            if len(few):
-                self.print[few] = self._gram_prints(w_start, w_end, first[few], n[few])
+            self.name = mixed(sums[self.first + self.n] - sums[self.first] + self.n.astype(np.uint64))
         else:
-            self.name = self.print = np.empty(0, np.uint64)
-
-    def _gram_prints(self, w_start: np.ndarray, w_end: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Fingerprints of lines of ``n`` words from ``first`` on, over runs of bytes inside the words."""
-        word = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-        begin, end = w_start[word], w_end[word]
-        count = np.maximum(end - begin - GRAM_BYTES, 0) + 1
-        start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
-        grams = span_hashes(self.data, start, np.minimum(start + GRAM_BYTES, np.repeat(end, count)))
-        per_line = np.add.reduceat(count, np.cumsum(n) - n)
-        return simhash(grams, np.cumsum(per_line) - per_line, per_line.astype(np.uint64))
+            self.name = np.empty(0, np.uint64)
+
+    def prints(self, lines: np.ndarray) -> np.ndarray:
+        """Fingerprints of these lines, one row each: over their words, a blank before each."""
+        n = self.n[lines]
+        word = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[lines], n)
+        size = self.w_end[word] - self.w_start[word] + 1
+        begin = np.cumsum(size) - size
+        place = np.arange(size.sum()) - np.repeat(begin, size)
+        source = np.repeat(self.w_start[word], size) + place - 1
+        own = np.where(place == 0, np.uint8(32), self.data[np.maximum(source, 0)]).astype(np.uint64)
+        length = np.add.reduceat(size, np.cumsum(n) - n) if len(n) else size
+        line = np.repeat(np.arange(len(n)), length)
+        gram = np.zeros(max(len(own) - GRAM_BYTES + 1, 0), np.uint64)
+        for i in range(GRAM_BYTES):
+            gram = (gram << np.uint64(8)) | own[i : len(gram) + i]
+        inside = line[: len(gram)] == line[GRAM_BYTES - 1 : len(gram) + GRAM_BYTES - 1]
+        gram = mixed(gram) % np.uint64(_GRAMS)
+        both = np.unique((line[: len(gram)].astype(np.int64) * _GRAMS + gram.astype(np.int64))[inside])
+        return simhash(both // _GRAMS, both % _GRAMS, len(n))
 
 
 def plain(lines: list[str]) -> list[str]:
@@ -126,29 +147,44 @@ def with_identity(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(node, print, doc_id, th, number): every line that is long enough, named by its hash."""
+    """(node, p0 .. p3, doc_id, th, number): every line that is long enough, named by its hash.
+
+    A task fingerprints a line where it first meets it; elsewhere p0 to p3 are null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.empty(0, np.uint64)
         for batch in small_batches(batches):
             lines = Lines(batch.column("text"))
+            names, first = np.unique(lines.name, return_index=True)
+            new = ~np.isin(names, known, assume_unique=True)
+            known = np.union1d(known, names) if len(known) < KNOWN_LINES else names
+            at = np.sort(first[new])
+            where = np.full(len(lines.name), -1)
+            where[at] = np.arange(len(at))
+            prints = lines.prints(at).view(np.int64)
             row = pa.array(lines.text)
+            own = pa.array(where, mask=where < 0)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(lines.name.view(np.int64)), pa.array(lines.print.view(np.int64)),
+                    pa.array(lines.name.view(np.int64)),
+                    *[pa.array(np.ascontiguousarray(prints[:, i])).take(own) for i in range(len(PRINT))],
                     batch.column("doc_id").take(row), batch.column("th").take(row),
                     pa.array(lines.number.astype(np.int32)),
                 ],
-                ["node", "print", "doc_id", "th", "number"],
+                ["node", *PRINT, "doc_id", "th", "number"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
+    parts = ", ".join(f"{p} long" for p in PRINT)
     return docs.select("doc_id", F.col("line_text_hash").alias("th"), "text").mapInArrow(
-        run, f"node long, print long, doc_id {kind}, th long, number int"
+        run, f"node long, {parts}, doc_id {kind}, th long, number int"
     )
 
 
 def _line_texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
-    """(node, print, line): normalised lines of ``spots(node, print, doc_id, th, number)``."""
+    """(node, p0 .. p3, line): normalised lines of ``spots(node, p0 .. p3, doc_id, th, number)``."""
+    names = ["node", *PRINT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -157,104 +193,113 @@ def _line_texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
                 own = (text or "").split("\n")
                 rows += spots
                 lines += [own[s["number"]] for s in spots]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r["node"] for r in rows], pa.int64()),
-                    pa.array([r["print"] for r in rows], pa.int64()),
-                    pa.array(plain(lines), pa.string()),
-                ],
-                ["node", "print", "line"],
-            )
+            columns = [pa.array([r[c] for r in rows], pa.int64()) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(plain(lines), pa.string())], [*names, "line"])
 
     by_doc = spots.groupBy(F.col("doc_id").alias("spot_id"), F.col("th").alias("spot_th")).agg(
-        F.collect_list(F.struct("node", "print", "number")).alias("spots")
+        F.collect_list(F.struct(*names, "number")).alias("spots")
     )
     rows = docs.join(
         sent_if_small(written(by_doc, "line-spots")),
         F.col("doc_id").eqNullSafe(F.col("spot_id")) & (F.col("line_text_hash") == F.col("spot_th")),
     )
-    return rows.select("text", "spots").mapInArrow(run, "node long, print long, line string")
+    return rows.select("text", "spots").mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", line string")
 
 
 def _keys() -> Column:
-    """The ten keys of a fingerprint: two blocks each, and which."""
-    parts, at = [], 0
-    for bits in BLOCKS:
-        parts.append(F.shiftrightunsigned("print", at).bitwiseAND(F.lit((1 << bits) - 1)))
-        at += bits
-    pairs = combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS)
-    return F.array(
-        *[
-            F.shiftleft(F.lit(i).cast("long"), 26).bitwiseOR(F.shiftleft(parts[a], 13)).bitwiseOR(parts[b])
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
+    """The 16 keys of a fingerprint: the bits of a block, and which."""
+    parts = [
+        F.shiftrightunsigned(p, at).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+        for p in PRINT
+        for at in range(0, 64, BLOCK_BITS)
+    ]
+    return F.array(*[part.bitwiseOR(F.lit(i << BLOCK_BITS)) for i, part in enumerate(parts)])
 
 
-def _near_in_buckets(key: np.ndarray, node: np.ndarray, print_: np.ndarray) -> list[np.ndarray]:
-    """Links that connect what is within the radius in each run of equal keys."""
-    start = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-    size = np.diff(np.append(start, len(key)))
-    two = start[size == 2]
-    print_ = print_.view(np.uint64)  # the count of a negative number is that of its size
-    near = two[np.bitwise_count(print_[two] ^ print_[two + 1]) <= RADIUS]
-    out = [np.stack([node[near], node[near + 1]])]
-    for i, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
-        own = print_[i : i + n]
-        pairs = np.nonzero(np.triu(np.bitwise_count(own[:, None] ^ own[None, :]) <= RADIUS, 1))
-        links = spanning_links(node[i : i + n].tolist(), zip(*(x.tolist() for x in pairs)))
-        if links:
-            out.append(np.array(links).T)
-    return out
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, rows of four numbers each."""
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
+
+
+def _first_key(apart: np.ndarray) -> np.ndarray:
+    """Number of the first block that two fingerprints share, from what they differ in; or past the last."""
+    blocks = np.ascontiguousarray(apart).view(f"<u{BLOCK_BITS // 8}")
+    shared = np.concatenate([blocks == 0, np.ones((*blocks.shape[:-1], 1), bool)], -1)
+    return shared.argmax(-1)
+
+
+def _near_pairs(key: np.ndarray, print_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of rows, sorted by key, that have one key and are within the radius."""
+    i = np.arange(len(key))
+    for d in range(1, len(key)):
+        i = i[: np.searchsorted(i, len(key) - d)]
+        i = i[key[i] == key[i + d]]
+        if not len(i):
+            return
+        near = i[_apart(print_[i], print_[i + d]) <= RADIUS]
+        yield near, near + d
+
+
+def _rows_of(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, ...]:
+    """Columns as arrays, and the fingerprints as rows of four numbers."""
+    prints = np.stack([batch.column(p).to_numpy() for p in PRINT], 1).view(np.uint64)
+    return (*[batch.column(c).to_numpy().astype(np.int64) for c in names], prints)
 
 
 def near_by_print(lines: DataFrame) -> DataFrame:
-    """(u, v) that connect all lines of ``lines(node, print)`` within the radius, and few others.
+    """(u, v) that connect all lines of ``lines(node, p0 .. p3)`` that are near in a bucket, and few others.
 
     Rows come sorted by key, so that a task holds one bucket at a time. A bucket of more than
     ``LARGE_BUCKET`` lines is not compared here: its lines are linked to its first one, as
     they pass by.
     """
 
+    def links(key: np.ndarray, node: np.ndarray, print_: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        pairs = list(_near_pairs(key, print_))
+        if not pairs:
+            return []
+        u, v = (node[np.concatenate(x)] for x in zip(*pairs))
+        return [roots(u, v)] if len(u) else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((3, 0), np.int64)
-        centre = None
+        held, centre = None, None
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("key", "node", "print")])
-            rows = np.concatenate([held, rows], 1)
+            rows = _rows_of(batch, "key", "node")
             out = []
-            if not rows.shape[1]:
-                continue
-            cut = int(np.searchsorted(rows[0], rows[0, -1]))
-            whole, held = rows[:, :cut], rows[:, cut:]
-            if centre is not None and (cut or held.shape[1] > 1):
-                same = rows[1, : int(np.searchsorted(rows[0], centre[0], side="right"))]
-                out.append(np.stack([same, np.full(len(same), centre[1])]))
-                whole = rows[:, len(same) : cut] if cut else whole
-                if cut:
-                    centre = None
-                else:
-                    held = held[:, :1]
-            if whole.shape[1]:
-                out += _near_in_buckets(*whole)
-            if held.shape[1] > LARGE_BUCKET:
-                centre = (held[0, 0], held[1, 0])
-                out.append(np.stack([held[1], np.full(held.shape[1], held[1, 0])]))
-                held = held[:, :1]
-            links = np.concatenate(out, 1) if out else np.empty((2, 0), np.int64)
-            links = links[:, links[0] != links[1]]
-            if links.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], ["u", "v"])
-        if held.shape[1] > 1:
-            links = np.concatenate(_near_in_buckets(*held), 1)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in links], ["u", "v"])
+            if centre is not None:
+                same = int(np.searchsorted(rows[0], centre[0], side="right"))
+                out.append((rows[1][:same], np.full(same, centre[1])))
+                rows = tuple(x[same:] for x in rows)
+                centre = centre if not len(rows[0]) else None
+            if held is not None:
+                rows = tuple(np.concatenate(x) for x in zip(held, rows))
+            if len(rows[0]):
+                cut = int(np.searchsorted(rows[0], rows[0][-1]))
+                out += links(*(x[:cut] for x in rows))
+                held = tuple(x[cut:] for x in rows)
+                if len(held[0]) > LARGE_BUCKET:
+                    centre = (held[0][0], held[1][0])
+                    out.append((held[1], np.full(len(held[1]), centre[1])))
+                    held = None
+            yield from _links(out)
+        if held is not None:
+            yield from _links(links(*held))
 
     return (
-        lines.select(F.explode(_keys()).alias("key"), "node", "print")
+        lines.select(F.explode(_keys()).alias("key"), "node", *PRINT)
         .repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
     )
 
 
+def _links(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Links between different lines, as a batch."""
+    if parts:
+        u, v = (np.concatenate(x) for x in zip(*parts))
+        real = u != v
+        if real.any():
+            yield pa.RecordBatch.from_arrays([pa.array(u[real]), pa.array(v[real])], ["u", "v"])
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance by Myers' bit vectors, without what both begin and end with.
 
@@ -296,59 +341,43 @@ def alike(a: str, b: str, percent: int = PERCENT) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _first_key(apart: np.ndarray) -> np.ndarray:
-    """Number of the first key that two fingerprints share, from the bits they differ in; or -1."""
-    same, at = [], 0
-    for bits in BLOCKS:
-        same.append((apart >> np.uint64(at)) & np.uint64((1 << bits) - 1) == 0)
-        at += bits
-    first = np.full(apart.shape, -1)
-    for number, (a, b) in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS)):
-        first[(first < 0) & same[a] & same[b]] = number
-    return first
-
-
 def _has_partner(key: np.ndarray, print_: np.ndarray) -> np.ndarray:
     """Per row of sorted buckets whether another one is near for which this is the first key."""
-    print_ = print_.view(np.uint64)
     out = np.zeros(len(key), bool)
-    for d in range(1, len(key)):
-        i = np.flatnonzero(key[:-d] == key[d:])
-        if not len(i):
-            break
-        apart = print_[i] ^ print_[i + d]
-        i, apart = i[(near := np.bitwise_count(apart) <= RADIUS)], apart[near]
-        i = i[_first_key(apart) == key[i] >> 26]
-        out[i] = out[i + d] = True
+    for i, j in _near_pairs(key, print_):
+        first = _first_key(print_[i] ^ print_[j]) == key[i] >> BLOCK_BITS
+        out[i[first]] = out[j[first]] = True
     return out
 
 
 def _partners(rows: DataFrame) -> DataFrame:
-    """(node, root) of ``rows(root, node, print)``, whole buckets, that have a partner there."""
+    """(node, root) of ``rows(root, node, p0 .. p3)``, whole buckets, that have a partner there."""
 
-    def kept(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        good = _has_partner(rows[0], rows[2])
+    def kept(root: np.ndarray, node: np.ndarray, print_: np.ndarray) -> Iterator[pa.RecordBatch]:
+        good = _has_partner(root, print_)
         if good.any():
-            yield pa.RecordBatch.from_arrays([pa.array(rows[1, good]), pa.array(rows[0, good])], ["node", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[good]), pa.array(root[good])], ["node", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((3, 0), np.int64)
+        held = None
         for batch in batches:
-            new = np.stack([batch.column(c).to_numpy() for c in ("root", "node", "print")])
-            rows = np.concatenate([held, new], 1)
-            cut = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0
-            yield from kept(rows[:, :cut])
-            held = rows[:, cut:]
-        yield from kept(held)
+            rows = _rows_of(batch, "root", "node")
+            if held is not None:
+                rows = tuple(np.concatenate(x) for x in zip(held, rows))
+            cut = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
+            yield from kept(*(x[:cut] for x in rows))
+            held = tuple(x[cut:] for x in rows)
+        if held is not None:
+            yield from kept(*held)
 
     return (
-        rows.select("root", "node", "print")
+        rows.select(F.col("root").cast("long").alias("root"), "node", *PRINT)
         .repartition("root").sortWithinPartitions("root").mapInArrow(run, "node long, root long")
     )
 
 
 def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
-    """Links of ``placed(cluster, block, node, visitor)`` by fingerprint and edit similarity.
+    """Links of ``placed(cluster, block, node, visitor)`` by fingerprint and edit similarity; texts have both.
 
     With ``by_key`` clusters are buckets, named by their key, and two lines are compared in the
     first bucket that they share only.
@@ -362,19 +391,22 @@ def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
                 return []
             p = np.array([g[1] for g in group], np.int64).view(np.uint64)
             visitor = np.array([g[2] for g in group])
-            near = np.bitwise_count(p[:, None] ^ p[None, :]) <= RADIUS
-            near &= ~(visitor[:, None] & visitor[None, :])
-            if by_key:
-                near &= _first_key(p[:, None] ^ p[None, :]) == key[0] >> 26
-            left, right = np.nonzero(np.triu(near, 1))
+            found = []
+            for i in range(len(group) - 1):
+                near = _apart(p[i], p[i + 1 :]) <= RADIUS
+                near &= ~(visitor[i] & visitor[i + 1 :])
+                j = np.flatnonzero(near) + i + 1
+                if by_key and len(j):
+                    j = j[_first_key(p[i] ^ p[j]) == key[0] >> BLOCK_BITS]
+                found += [(i, x) for x in j.tolist()]
             return spanning_links(
-                [g[0] for g in group], zip(left.tolist(), right.tolist()),
-                lambda i, j: alike(group[i][3], group[j][3]),
-            )
+                [g[0] for g in group], found, lambda i, j: alike(group[i][3], group[j][3])
+            )
 
         for batch in small_batches(batches, "line"):
-            columns = (batch.column(c).to_pylist() for c in ("cluster", "block", "node", "print", "visitor", "line"))
-            for cluster, block, *rest in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("cluster", "block", "node", "visitor", "line")]
+            prints = zip(*(batch.column(p).to_pylist() for p in PRINT))
+            for cluster, block, *rest in zip(columns[0], columns[1], columns[2], prints, columns[3], columns[4]):
                 if (cluster, block) != key:
                     out += links()
                     key, group = (cluster, block), []
@@ -388,7 +420,7 @@ def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
 
     return (
         texts.join(sent_if_small(placed), "node")
-        .select("cluster", "block", "node", "print", "visitor", "line")
+        .select("cluster", "block", "node", *PRINT, "visitor", "line")
         .repartition("cluster", "block")
         .sortWithinPartitions("cluster", "block")
         .mapInArrow(run, "u long, v long")
@@ -410,11 +442,11 @@ def _all_links(clusters: DataFrame, lines: DataFrame, texts: DataFrame) -> DataF
     if wide.isEmpty():
         return links
     wide = lines.join(sent_if_small(wide), "node")
-    wide = written(wide.select("node", "print", F.explode(_keys()).alias("root")), "line-buckets")
+    wide = written(wide.select("node", *PRINT, F.explode(_keys()).alias("root")), "line-buckets")
     full = wide.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1")
     wide = written(wide.join(full, "root"), "line-buckets")
     buckets = _partners(wide.filter(F.col("n") <= LARGE_BUCKET)).unionByName(
-        wide.filter(F.col("n") > LARGE_BUCKET).select("node", "root")
+        wide.filter(F.col("n") > LARGE_BUCKET).select("node", F.col("root").cast("long").alias("root"))
     )
     buckets = written(buckets, "line-buckets")
     return links.unionByName(links_within(buckets, lambda placed: _confirmed(placed, texts, True)))
@@ -427,9 +459,11 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     and line number; all others are to go. Rows that repeat id and text are one document.
     """
     found = written(occurrences(docs), "line-found")
-    lines = written(found.select("node", "print").distinct(), "line-names")
+    # Equal lines have equal fingerprints, whichever task made them.
+    seen = found.filter(F.col(PRINT[0]).isNotNull())
+    lines = written(seen.groupBy("node").agg(*[F.max(p).alias(p) for p in PRINT]), "line-names")
     clusters = written(connected_components(near_by_print(lines)), "line-clusters")
-    spots = found.join(sent_if_small(clusters.select("node")), "node").dropDuplicates(["node"])
+    spots = seen.join(sent_if_small(clusters.select("node")), "node").dropDuplicates(["node"])
     texts = written(_line_texts(docs, spots), "line-texts")
     joined = connected_components(_all_links(clusters, lines, texts))
     grouped = found.join(sent_if_small(joined), "node", "left").select(
