@@ -1,11 +1,13 @@
 """Fuzzy line dedup: near-equal lines of all documents, one occurrence kept of each group.
 
 Lines are normalised (lower case, digits as 0, punctuation and runs of blanks as one blank).
-Each different one gets a SimHash of 256 bits over the set of its runs of four bytes, so that a
-changed letter moves few bits. The fingerprint is cut into 16 blocks. Two lines within 15 bits
-agree in a block for certain, lines farther apart most likely: buckets, one for each value of a
-block, bring them together. What is near there by fingerprint makes clusters; in these, lines are
-linked that are near by edit similarity, and of each connected group the first occurrence stays.
+Each different one gets a SimHash of 192 bits over the set of the halves of its words, so that a
+changed letter moves few bits, the fewer the longer the line. Its first blocks of 16 bits, 12 for
+short lines and 10 for others, are keys, each with the class of the line's length. Two lines that
+differ in fewer bits than they have keys agree in one for certain, lines farther apart most likely:
+buckets, one for each key, bring them together. What is near there by fingerprint makes clusters; in
+these, lines are linked that are near by edit similarity, and of each connected group the first
+occurrence stays.
 """
 
 from __future__ import annotations
@@ -31,14 +33,21 @@ from .common import (
 )
 from .components import connected_components, roots
 
-#: Fingerprints of 4 x 64 bits, in blocks of 16, over runs of so many bytes.
-PRINT = ("p0", "p1", "p2", "p3")
+#: Fingerprints of 3 x 64 bits, in blocks of 16.
+PRINT = ("p0", "p1", "p2")
 BITS = 64 * len(PRINT)
 BLOCK_BITS = 16
-GRAM_BYTES = 4
-#: Lines farther apart are not compared by their letters. Unrelated lines differ in about 120 bits,
-#: a changed letter in one of ten words moves about 30, in one of forty 14.
-RADIUS = 56
+#: How many of them are keys, and the classes of the line's length.
+KEYED = ("blocks", "low", "high")
+#: Blocks that are keys, by the number of words: up to so many words, so many blocks.
+BLOCKS = ((15, 12), (None, 10))
+#: Lines of a class are at most so much longer than others (as a logarithm). One that an alike line
+#: of the next class may be longer than is in that class, too.
+CLASS_WIDTH = 0.3
+CLASS_BITS = 6
+#: Lines farther apart are not compared by their letters. Unrelated lines differ in about 88 bits,
+#: a changed letter in one of ten words moves about 17, in one of forty 8.
+RADIUS = 38
 #: Edit similarity, 1 - distance / longer length, in percent.
 PERCENT = 90
 #: Shorter lines, after normalising, are never touched.
@@ -46,92 +55,101 @@ MIN_CHARS = 20
 MIN_WORDS = 1
 #: Buckets of more lines than this become clusters unseen.
 LARGE_BUCKET = 8192
-#: Runs of bytes that are voted on at once, and lines that a task knows to have fingerprinted.
-CHUNK_GRAMS = 40_000
+#: Lines that a task knows to have fingerprinted.
 KNOWN_LINES = 2_000_000
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[ord("0") : ord("9") + 1] = ord("0")
 _PLAIN[[c for c in range(128) if c != 10 and not chr(c).isalnum()]] = ord(" ")
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
-_GRAMS = 1 << 13
+#: Each part of a fingerprint has a hash of its own.
+_SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_LANES = np.uint64(0x0101010101010101)
+_MOST = 255  # what a lane of eight bits can count to
 
 
-def _vote_table() -> np.ndarray:
-    """For every hashed run of bytes its 256 bits, as 16-bit counters side by side, four a number."""
-    bits = mixed(np.arange(1, _GRAMS * len(PRINT) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    flags = np.unpackbits(bits.view(np.uint8), bitorder="little").astype(np.uint16)
-    return flags.view(np.uint64).reshape(_GRAMS, BITS // 4)
+def simhash(h: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """64-bit SimHash of runs of hashes, which follow one another and have ``count`` > 0 items.
 
-
-_VOTES = _vote_table()
-
-
-def simhash(line: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
-    """256-bit SimHash of ``n`` sets: row i of the result is that of the ``gram`` where ``line`` is i.
-
-    Both arrays are sorted by line, no line lacks a gram, and no gram is twice in one line.
+    Eight counters share a number: hashes are added up lane by lane, ``_MOST`` at a time.
     """
-    count = np.bincount(line, minlength=n)
-    first = np.cumsum(count) - count
-    out = np.empty((n, len(PRINT)), np.uint64)
-    at = 0
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(first, first[at] + CHUNK_GRAMS)))
-        a, b = first[at], first[to - 1] + count[to - 1]
-        votes = np.add.reduceat(_VOTES[gram[a:b]], first[at:to] - a, axis=0).view(np.uint16)
-        out[at:to] = np.packbits(2 * votes > count[at:to, None], axis=1, bitorder="little").view(np.uint64)
-        at = to
+    pieces = -(-count // _MOST)
+    begin = np.repeat(np.cumsum(count) - count, pieces)
+    step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = begin + step * _MOST
+    owner = np.cumsum(pieces) - pieces
+    out = np.zeros(len(count), np.uint64)
+    for k in range(8):
+        sums = np.add.reduceat((h >> np.uint64(k)) & _LANES, first).view(np.uint8).reshape(-1, 8)
+        votes = np.add.reduceat(sums.astype(np.int64), owner, axis=0)
+        flags = np.packbits(2 * votes > count[:, None], axis=1, bitorder="little")[:, 0]
+        for lane in range(8):
+            out |= ((flags >> lane) & 1).astype(np.uint64) << np.uint64(8 * lane + k)
     return out
 
 
 class Lines:
-    """The lines of a batch that are long enough: text, number, name and words."""
+    """The lines of a batch that are long enough: text, number, name, words and their halves."""
 
     def __init__(self, column: pa.Array) -> None:
         data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(column, "")))
-        self.data = _PLAIN[data]
-        is_break = self.data == 10
+        data = _PLAIN[data]
+        is_break = data == 10
         starts, ends, at = spans(~is_break, offsets)
         breaks = np.flatnonzero(is_break)
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
         number = np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets)[text]
-        borders = np.append(starts, len(self.data))
-        self.w_start, self.w_end, w_at = spans(solid(self.data) & ~is_break, borders)
+        borders = np.append(starts, len(data))
+        w_start, w_end, w_at = spans(solid(data) & ~is_break, borders)
         n_words = np.diff(w_at)
-        sizes = np.concatenate([[0], np.cumsum(self.w_end - self.w_start)])
+        signs = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        sizes = np.concatenate([[0], np.cumsum(signs[w_end] - signs[w_start])])
         length = sizes[w_at[1:]] - sizes[w_at[:-1]] + np.maximum(n_words - 1, 0)
-        for i in np.flatnonzero((length >= MIN_CHARS) & (length < 4 * MIN_CHARS)):
-            length[i] -= np.count_nonzero((self.data[starts[i] : ends[i]] & 0xC0) == 0x80)
         good = (n_words >= MIN_WORDS) & (length >= MIN_CHARS)
-        self.text, self.number = text[good], number[good]
-        self.first, self.n = w_at[:-1][good], n_words[good]
-        h = span_hashes(self.data, self.w_start, self.w_end)
-        place = np.arange(len(h)) - np.repeat(w_at[:-1], n_words)
+        self.text, self.number, self.n = text[good], number[good], n_words[good]
+        self.length = length[good]
+        # A word of one byte has one half only.
+        middle = w_start + (w_end - w_start + 1) // 2
+        halves = np.stack([w_start, middle, middle, w_end], 1).reshape(-1, 2)
+        real = halves[:, 0] < halves[:, 1]
+        later = np.tile([False, True], len(w_start))[real]
+        h = span_hashes(data, *np.ascontiguousarray(halves[real].T))
+        h[later] = mixed(h[later] + np.uint64(1))
+        half_at = np.concatenate([[0], np.cumsum(real)])[2 * w_at]
+        self.first, self.count = half_at[:-1][good], np.diff(half_at)[good]
+        self.halves = h
+        self.name = np.empty(0, np.uint64)
         if len(self.first):
+            place = np.arange(len(h)) - np.repeat(half_at[:-1], np.diff(half_at))
             sums = np.concatenate([[np.uint64(0)], np.cumsum(h * powers(_STEP, int(place.max()) + 1)[place])])
-            self.name = mixed(sums[self.first + self.n] - sums[self.first] + self.n.astype(np.uint64))
-        else:
-            self.name = np.empty(0, np.uint64)
+            self.name = mixed(sums[self.first + self.count] - sums[self.first] + self.count.astype(np.uint64))
 
     def prints(self, lines: np.ndarray) -> np.ndarray:
-        """Fingerprints of these lines, one row each: over their words, a blank before each."""
-        n = self.n[lines]
-        word = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[lines], n)
-        size = self.w_end[word] - self.w_start[word] + 1
-        begin = np.cumsum(size) - size
-        place = np.arange(size.sum()) - np.repeat(begin, size)
-        source = np.repeat(self.w_start[word], size) + place - 1
-        own = np.where(place == 0, np.uint8(32), self.data[np.maximum(source, 0)]).astype(np.uint64)
-        length = np.add.reduceat(size, np.cumsum(n) - n) if len(n) else size
-        line = np.repeat(np.arange(len(n)), length)
-        gram = np.zeros(max(len(own) - GRAM_BYTES + 1, 0), np.uint64)
-        for i in range(GRAM_BYTES):
-            gram = (gram << np.uint64(8)) | own[i : len(gram) + i]
-        inside = line[: len(gram)] == line[GRAM_BYTES - 1 : len(gram) + GRAM_BYTES - 1]
-        gram = mixed(gram) % np.uint64(_GRAMS)
-        both = np.unique((line[: len(gram)].astype(np.int64) * _GRAMS + gram.astype(np.int64))[inside])
-        return simhash(both // _GRAMS, both % _GRAMS, len(n))
+        """Fingerprints of these lines, one row each: over the set of the halves of their words."""
+        count = self.count[lines]
+        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        own = self.halves[place + np.repeat(self.first[lines], count)]
+        # The line above 44 bits of the hash: sorted, equal halves of a line are neighbours.
+        line = np.repeat(np.arange(len(lines), dtype=np.uint64), count)
+        both = np.sort((line << np.uint64(44)) | (own >> np.uint64(20)))
+        both = both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+        count = np.bincount((both >> np.uint64(44)).astype(np.int64), minlength=len(lines))
+        both &= np.uint64((1 << 44) - 1)
+        if not len(lines):
+            return np.empty((0, len(PRINT)), np.uint64)
+        return np.stack([simhash(mixed(both * seed + seed), count) for seed in _SEEDS], 1)
+
+    def blocks(self, lines: np.ndarray) -> np.ndarray:
+        """How many blocks of these lines' fingerprints are keys."""
+        borders = [most for most, _ in BLOCKS if most is not None]
+        return np.array([blocks for _, blocks in BLOCKS])[np.searchsorted(borders, self.n[lines])]
+
+    def classes(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last class of these lines' lengths."""
+        size = np.log(self.length[lines]) / CLASS_WIDTH
+        margin = -np.log(PERCENT / 100) / CLASS_WIDTH + 1e-9
+        most = (1 << CLASS_BITS) - 1
+        return np.minimum(size.astype(int), most), np.minimum((size + margin).astype(int), most)
 
 
 def plain(lines: list[str]) -> list[str]:
@@ -147,9 +165,10 @@ def with_identity(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(node, p0 .. p3, doc_id, th, number): every line that is long enough, named by its hash.
+    """(node, p0 .. p2, blocks, low, high, doc_id, th, number): every line that is long enough, named by its hash.
 
-    A task fingerprints a line where it first meets it; elsewhere p0 to p3 are null.
+    A task fingerprints a line where it first meets it; elsewhere the columns of ``PRINT`` and
+    ``KEYED`` are null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,21 +188,22 @@ def occurrences(docs: DataFrame) -> DataFrame:
                 [
                     pa.array(lines.name.view(np.int64)),
                     *[pa.array(np.ascontiguousarray(prints[:, i])).take(own) for i in range(len(PRINT))],
+                    *[pa.array(x.astype(np.int32)).take(own) for x in (lines.blocks(at), *lines.classes(at))],
                     batch.column("doc_id").take(row), batch.column("th").take(row),
                     pa.array(lines.number.astype(np.int32)),
                 ],
-                ["node", *PRINT, "doc_id", "th", "number"],
+                ["node", *PRINT, *KEYED, "doc_id", "th", "number"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    parts = ", ".join(f"{p} long" for p in PRINT)
+    parts, keyed = ", ".join(f"{p} long" for p in PRINT), ", ".join(f"{c} int" for c in KEYED)
     return docs.select("doc_id", F.col("line_text_hash").alias("th"), "text").mapInArrow(
-        run, f"node long, {parts}, doc_id {kind}, th long, number int"
+        run, f"node long, {parts}, {keyed}, doc_id {kind}, th long, number int"
     )
 
 
 def _line_texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
-    """(node, p0 .. p3, line): normalised lines of ``spots(node, p0 .. p3, doc_id, th, number)``."""
+    """(node, p0 .. p2, line): normalised lines of ``spots(node, p0 .. p2, doc_id, th, number)``."""
     names = ["node", *PRINT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,17 +227,29 @@ def _line_texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
 
 
 def _keys() -> Column:
-    """The 16 keys of a fingerprint: the bits of a block, and which."""
+    """The keys of a fingerprint: the bits of a block, which one, and a class of the length."""
     parts = [
         F.shiftrightunsigned(p, at).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
         for p in PRINT
         for at in range(0, 64, BLOCK_BITS)
     ]
-    return F.array(*[part.bitwiseOR(F.lit(i << BLOCK_BITS)) for i, part in enumerate(parts)])
+    shift = BLOCK_BITS + CLASS_BITS
+
+    def of(size: str) -> Column:
+        own = F.shiftleft(F.col(size), BLOCK_BITS)
+        every = F.array(*[part.bitwiseOR(own).bitwiseOR(F.lit(i << shift)) for i, part in enumerate(parts)])
+        return F.slice(every, F.lit(1), F.col("blocks"))
+
+    return F.when(F.col("low") == F.col("high"), of("low")).otherwise(F.concat(of("low"), of("high")))
+
+
+def _block_of(key: np.ndarray) -> np.ndarray:
+    """Which block a key is made of."""
+    return key >> (BLOCK_BITS + CLASS_BITS)
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Differing bits of fingerprints, rows of four numbers each."""
+    """Differing bits of fingerprints, rows of numbers."""
     return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
 
 
@@ -230,24 +262,36 @@ def _first_key(apart: np.ndarray) -> np.ndarray:
 
 def _near_pairs(key: np.ndarray, print_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows, sorted by key, that have one key and are within the radius."""
-    i = np.arange(len(key))
-    for d in range(1, len(key)):
-        i = i[: np.searchsorted(i, len(key) - d)]
-        i = i[key[i] == key[i + d]]
-        if not len(i):
-            return
-        near = i[_apart(print_[i], print_[i + d]) <= RADIUS]
-        yield near, near + d
+    if not len(key):
+        return
+    first, second, *rest = (np.ascontiguousarray(x) for x in print_.T)
+    ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+    room = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(key))
+    i = np.flatnonzero(room > 1)
+    d = 1
+    while len(i):
+        j = i + d
+        apart = np.bitwise_count(first[i] ^ first[j])
+        apart += np.bitwise_count(second[i] ^ second[j])
+        near = np.flatnonzero(apart <= RADIUS)
+        a, b = i[near], j[near]
+        total = apart[near].astype(np.int64)
+        for part in rest:
+            total += np.bitwise_count(part[a] ^ part[b])
+        good = total <= RADIUS
+        yield a[good], b[good]
+        d += 1
+        i = i[room[i] > d]
 
 
 def _rows_of(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, ...]:
-    """Columns as arrays, and the fingerprints as rows of four numbers."""
+    """Columns as arrays, and the fingerprints as rows of numbers."""
     prints = np.stack([batch.column(p).to_numpy() for p in PRINT], 1).view(np.uint64)
     return (*[batch.column(c).to_numpy().astype(np.int64) for c in names], prints)
 
 
 def near_by_print(lines: DataFrame) -> DataFrame:
-    """(u, v) that connect all lines of ``lines(node, p0 .. p3)`` that are near in a bucket, and few others.
+    """(u, v) that connect all lines of ``lines(node, p0 .. p2)`` that are near in a bucket, and few others.
 
     Rows come sorted by key, so that a task holds one bucket at a time. A bucket of more than
     ``LARGE_BUCKET`` lines is not compared here: its lines are linked to its first one, as
@@ -345,13 +389,13 @@ def _has_partner(key: np.ndarray, print_: np.ndarray) -> np.ndarray:
     """Per row of sorted buckets whether another one is near for which this is the first key."""
     out = np.zeros(len(key), bool)
     for i, j in _near_pairs(key, print_):
-        first = _first_key(print_[i] ^ print_[j]) == key[i] >> BLOCK_BITS
+        first = _first_key(print_[i] ^ print_[j]) == _block_of(key[i])
         out[i[first]] = out[j[first]] = True
     return out
 
 
 def _partners(rows: DataFrame) -> DataFrame:
-    """(node, root) of ``rows(root, node, p0 .. p3)``, whole buckets, that have a partner there."""
+    """(node, root) of ``rows(root, node, p0 .. p2)``, whole buckets, that have a partner there."""
 
     def kept(root: np.ndarray, node: np.ndarray, print_: np.ndarray) -> Iterator[pa.RecordBatch]:
         good = _has_partner(root, print_)
@@ -397,7 +441,7 @@ def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
                 near &= ~(visitor[i] & visitor[i + 1 :])
                 j = np.flatnonzero(near) + i + 1
                 if by_key and len(j):
-                    j = j[_first_key(p[i] ^ p[j]) == key[0] >> BLOCK_BITS]
+                    j = j[_first_key(p[i] ^ p[j]) == _block_of(key[0])]
                 found += [(i, x) for x in j.tolist()]
             return spanning_links(
                 [g[0] for g in group], found, lambda i, j: alike(group[i][3], group[j][3])
@@ -461,7 +505,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     found = written(occurrences(docs), "line-found")
     # Equal lines have equal fingerprints, whichever task made them.
     seen = found.filter(F.col(PRINT[0]).isNotNull())
-    lines = written(seen.groupBy("node").agg(*[F.max(p).alias(p) for p in PRINT]), "line-names")
+    lines = written(seen.groupBy("node").agg(*[F.max(p).alias(p) for p in (*PRINT, *KEYED)]), "line-names")
     clusters = written(connected_components(near_by_print(lines)), "line-clusters")
     spots = seen.join(sent_if_small(clusters.select("node")), "node").dropDuplicates(["node"])
     texts = written(_line_texts(docs, spots), "line-texts")
