@@ -3,7 +3,7 @@
 Lines are normalised (lower case, digits as 0, punctuation and runs of blanks as one blank).
 Each different one gets a SimHash of 192 bits over the set of the halves of its words, so that a
 changed letter moves few bits, the fewer the longer the line. Its first blocks of 16 bits, 12 for
-short lines and 10 for others, are keys, each with the class of the line's length. Two lines that
+short lines and 8 for others, are keys, each with the class of the line's length. Two lines that
 differ in fewer bits than they have keys agree in one for certain, lines farther apart most likely:
 buckets, one for each key, bring them together. What is near there by fingerprint makes clusters; in
 these, lines are linked that are near by edit similarity, and of each connected group the first
@@ -40,14 +40,17 @@ BLOCK_BITS = 16
 #: How many of them are keys, and the classes of the line's length.
 KEYED = ("blocks", "low", "high")
 #: Blocks that are keys, by the number of words: up to so many words, so many blocks.
-BLOCKS = ((15, 12), (None, 10))
+BLOCKS = ((15, 12), (None, 8))
 #: Lines of a class are at most so much longer than others (as a logarithm). One that an alike line
 #: of the next class may be longer than is in that class, too.
-CLASS_WIDTH = 0.3
+CLASS_WIDTH = 0.6
 CLASS_BITS = 6
 #: Lines farther apart are not compared by their letters. Unrelated lines differ in about 88 bits,
 #: a changed letter in one of ten words moves about 17, in one of forty 8.
-RADIUS = 38
+RADIUS = 34
+#: Buckets are compared by two parts of the fingerprint, which go apart by no more than this.
+CARRIED = PRINT[:2]
+CARRIED_RADIUS = 30
 #: Edit similarity, 1 - distance / longer length, in percent.
 PERCENT = 90
 #: Shorter lines, after normalising, are never touched.
@@ -260,7 +263,9 @@ def _first_key(apart: np.ndarray) -> np.ndarray:
     return shared.argmax(-1)
 
 
-def _near_pairs(key: np.ndarray, print_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_pairs(
+    key: np.ndarray, print_: np.ndarray, radius: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows, sorted by key, that have one key and are within the radius."""
     if not len(key):
         return
@@ -273,20 +278,20 @@ def _near_pairs(key: np.ndarray, print_: np.ndarray) -> Iterator[tuple[np.ndarra
         j = i + d
         apart = np.bitwise_count(first[i] ^ first[j])
         apart += np.bitwise_count(second[i] ^ second[j])
-        near = np.flatnonzero(apart <= RADIUS)
+        near = np.flatnonzero(apart <= radius)
         a, b = i[near], j[near]
         total = apart[near].astype(np.int64)
         for part in rest:
             total += np.bitwise_count(part[a] ^ part[b])
-        good = total <= RADIUS
+        good = total <= radius
         yield a[good], b[good]
         d += 1
         i = i[room[i] > d]
 
 
-def _rows_of(batch: pa.RecordBatch, *names: str) -> tuple[np.ndarray, ...]:
-    """Columns as arrays, and the fingerprints as rows of numbers."""
-    prints = np.stack([batch.column(p).to_numpy() for p in PRINT], 1).view(np.uint64)
+def _rows_of(batch: pa.RecordBatch, parts: tuple[str, ...], *names: str) -> tuple[np.ndarray, ...]:
+    """Columns as arrays, and the parts of the fingerprints as rows of numbers."""
+    prints = np.stack([batch.column(p).to_numpy() for p in parts], 1).view(np.uint64)
     return (*[batch.column(c).to_numpy().astype(np.int64) for c in names], prints)
 
 
@@ -299,7 +304,7 @@ def near_by_print(lines: DataFrame) -> DataFrame:
     """
 
     def links(key: np.ndarray, node: np.ndarray, print_: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        pairs = list(_near_pairs(key, print_))
+        pairs = list(_near_pairs(key, print_, CARRIED_RADIUS))
         if not pairs:
             return []
         u, v = (node[np.concatenate(x)] for x in zip(*pairs))
@@ -308,7 +313,7 @@ def near_by_print(lines: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, centre = None, None
         for batch in batches:
-            rows = _rows_of(batch, "key", "node")
+            rows = _rows_of(batch, CARRIED, "key", "node")
             out = []
             if centre is not None:
                 same = int(np.searchsorted(rows[0], centre[0], side="right"))
@@ -330,7 +335,7 @@ def near_by_print(lines: DataFrame) -> DataFrame:
             yield from _links(links(*held))
 
     return (
-        lines.select(F.explode(_keys()).alias("key"), "node", *PRINT)
+        lines.select(F.explode(_keys()).alias("key"), "node", *CARRIED)
         .repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
     )
 
@@ -344,6 +349,26 @@ def _links(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(u[real]), pa.array(v[real])], ["u", "v"])
 
 
+def _common(a: str, b: str) -> int:
+    """How many first characters two texts share."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """Two texts without what both begin and end with."""
+    head = _common(a, b)
+    a, b = a[head:], b[head:]
+    tail = _common(a[::-1], b[::-1])
+    return a[: len(a) - tail], b[: len(b) - tail]
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance by Myers' bit vectors, without what both begin and end with.
 
@@ -351,13 +376,7 @@ def edit_distance(a: str, b: str, most: int) -> int:
     """
     if abs(len(a) - len(b)) > most:
         return most + 1
-    head = 0
-    while head < len(a) and head < len(b) and a[head] == b[head]:
-        head += 1
-    tail = 0
-    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
-    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    a, b = _trimmed(a, b)
     if not a or not b:
         return max(len(a), len(b))
     place: dict[str, int] = {}
@@ -378,17 +397,73 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return score
 
 
+#: Words that two lines may go apart by before they meet again, for ``word_edits``.
+LOOK_AHEAD = 4
+
+
+def word_edits(a: str, b: str, most: int) -> int:
+    """A number of edits that turns ``a`` into ``b``, word for word; not always the least one.
+
+    ``most + 1`` if more, or if the lines do not meet again within a few words.
+    """
+    x, y = a.split(" "), b.split(" ")
+    i = j = cost = 0
+    while (i < len(x) or j < len(y)) and cost <= most:
+        if i < len(x) and j < len(y) and x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        for both in range(1, 2 * LOOK_AHEAD):
+            steps = [(n, both - n) for n in range(max(0, both - LOOK_AHEAD), min(both, LOOK_AHEAD) + 1)]
+            steps = [(n, m) for n, m in steps if i + n <= len(x) and j + m <= len(y)]
+            met = [(abs(n - m), n, m) for n, m in steps if x[i + n : i + n + 1] == y[j + m : j + m + 1]]
+            if met:
+                _, n, m = min(met)
+                old, new = " ".join(x[i : i + n]), " ".join(y[j : j + m])
+                # One side without a word also lacks the blank beside it.
+                cost += edit_distance(old, new, most) if n and m else len(old) + len(new) + 1
+                i, j = i + n, j + m
+                break
+        else:
+            return most + 1
+    return min(cost, most + 1)
+
+
 def alike(a: str, b: str, percent: int = PERCENT) -> bool:
-    """Whether the edit similarity is ``percent`` or more."""
+    """Whether the edit similarity is ``percent`` or more.
+
+    Two quick answers come first: letters that one line has more of than the other are edits at the
+    least, and changing word for word is one way to get from one to the other.
+    """
     longer = max(len(a), len(b))
     most = longer * (100 - percent) // 100
+    if abs(len(a) - len(b)) > most:
+        return False
+    a, b = _trimmed(a, b)
+    if max(len(a), len(b)) <= most:
+        return True
+    if len(a) > 2 * GRAIN and len(b) > 2 * GRAIN:
+        if _lacking(a, b) > most:
+            return False
+        if word_edits(a, b, most) <= most:
+            return True
     return edit_distance(a, b, most) <= most
 
 
+#: Middles of lines up to twice this long are compared at once.
+GRAIN = 16
+
+
+def _lacking(a: str, b: str) -> int:
+    """Edits that it takes at least: characters of one text that the other lacks."""
+    x, y = (np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) & 1023, minlength=1024) for t in (a, b))
+    apart = x - y
+    return int(max(apart[apart > 0].sum(), -apart[apart < 0].sum()))
+
+
 def _has_partner(key: np.ndarray, print_: np.ndarray) -> np.ndarray:
     """Per row of sorted buckets whether another one is near for which this is the first key."""
     out = np.zeros(len(key), bool)
-    for i, j in _near_pairs(key, print_):
+    for i, j in _near_pairs(key, print_, RADIUS):
         first = _first_key(print_[i] ^ print_[j]) == _block_of(key[i])
         out[i[first]] = out[j[first]] = True
     return out
@@ -405,7 +480,7 @@ def _partners(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            rows = _rows_of(batch, "root", "node")
+            rows = _rows_of(batch, PRINT, "root", "node")
             if held is not None:
                 rows = tuple(np.concatenate(x) for x in zip(held, rows))
             cut = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0

@@ -27,6 +27,19 @@ def test_edit_distance(a, b, most):
     assert got == real if real <= most else got > most
 
 
+words = st.lists(st.sampled_from(["ab", "abc", "b", "longer", "longest", "x", ""]), max_size=14).map(" ".join)
+
+
+@settings(deadline=None, max_examples=400)
+@given(words, words, st.integers(50, 95))
+def test_quick_answers_are_right(a, b, percent):
+    """Edits by words are never less than the distance, letters that lack never more."""
+    real = plain_distance(a, b)
+    assert ln.word_edits(a, b, 10**6) >= real >= ln._lacking(a, b)
+    longer = max(len(a), len(b))
+    assert ln.alike(a, b, percent) == (real <= longer * (100 - percent) // 100)
+
+
 def normal(line):
     lower = "".join("0" if c in "0123456789" else c if ord(c) > 127 or c.isalnum() else " " for c in line.lower())
     return " ".join(lower.split(" ")).strip() and " ".join(x for x in lower.split(" ") if x)
@@ -222,6 +235,7 @@ def test_buckets_over_batches(monkeypatch, large, cut):
     met = [(i, j) for i in range(len(prints)) for j in range(i) if meet(prints[i], prints[j])]
     assert met and all(find(i) == find(j) for i, j in met)
     if large > 1000:
+        assert links
         assert all((prints[u] ^ prints[v]).bit_count() <= 4 * ln.RADIUS for u, v in links)
 
 
