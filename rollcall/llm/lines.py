@@ -50,7 +50,7 @@ CLASS_BITS = 6
 RADIUS = 34
 #: Buckets are compared by two parts of the fingerprint, which go apart by no more than this.
 CARRIED = PRINT[:2]
-CARRIED_RADIUS = 30
+CARRIED_RADIUS = 22
 #: Edit similarity, 1 - distance / longer length, in percent.
 PERCENT = 90
 #: Shorter lines, after normalising, are never touched.
