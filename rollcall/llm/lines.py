@@ -47,10 +47,11 @@ CLASS_WIDTH = 0.6
 CLASS_BITS = 6
 #: Lines farther apart are not compared by their letters. Unrelated lines differ in about 88 bits,
 #: a changed letter in one of ten words moves about 17, in one of forty 8.
-RADIUS = 34
-#: Buckets are compared by two parts of the fingerprint, which go apart by no more than this.
+RADIUS = 30
+#: Buckets are compared by two parts of the fingerprint, which must not go apart by more than this:
+#: some lines within ``RADIUS`` are lost here, which the measured recall takes in.
 CARRIED = PRINT[:2]
-CARRIED_RADIUS = 22
+CARRIED_RADIUS = 20
 #: Edit similarity, 1 - distance / longer length, in percent.
 PERCENT = 90
 #: Shorter lines, after normalising, are never touched.
@@ -512,15 +513,15 @@ def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
             visitor = np.array([g[2] for g in group])
             found = []
             for i in range(len(group) - 1):
-                near = _apart(p[i], p[i + 1 :]) <= RADIUS
-                near &= ~(visitor[i] & visitor[i + 1 :])
+                apart = _apart(p[i], p[i + 1 :])
+                near = (apart <= RADIUS) & ~(visitor[i] & visitor[i + 1 :])
                 j = np.flatnonzero(near) + i + 1
                 if by_key and len(j):
                     j = j[_first_key(p[i] ^ p[j]) == _block_of(key[0])]
-                found += [(i, x) for x in j.tolist()]
-            return spanning_links(
-                [g[0] for g in group], found, lambda i, j: alike(group[i][3], group[j][3])
-            )
+                found += [(d, i, x) for d, x in zip(apart[j - i - 1].tolist(), j.tolist())]
+            # The nearest first: what they connect need not be compared by letters again.
+            pairs = ((i, j) for _, i, j in sorted(found))
+            return spanning_links([g[0] for g in group], pairs, lambda i, j: alike(group[i][3], group[j][3]))
 
         for batch in small_batches(batches, "line"):
             columns = [batch.column(c).to_pylist() for c in ("cluster", "block", "node", "visitor", "line")]

@@ -79,9 +79,10 @@ def keys_of(line):
 
 
 def meet(a, b, keys=12):
-    """Whether two fingerprints are within the radius and share one of so many blocks."""
+    """Whether two fingerprints meet: within both radii, and with one of so many blocks in common."""
     x = a ^ b
-    return x.bit_count() <= ln.RADIUS and any(not x >> 16 * i & 0xFFFF for i in range(keys))
+    carried = (x & 2 ** (64 * len(ln.CARRIED)) - 1).bit_count() <= ln.CARRIED_RADIUS
+    return carried and x.bit_count() <= ln.RADIUS and any(not x >> 16 * i & 0xFFFF for i in range(keys))
 
 
 def brute(rows, by_print):
@@ -247,7 +248,9 @@ def test_partners_meet_once():
     want = set()
     for i in range(len(prints)):
         for j in range(i):
-            if meet(prints[i], prints[j]):
+            if (prints[i] ^ prints[j]).bit_count() <= ln.RADIUS and any(
+                not (prints[i] ^ prints[j]) >> 16 * b & 0xFFFF for b in range(12)
+            ):
                 first = next(b for b in range(12) if not (prints[i] ^ prints[j]) >> 16 * b & 0xFFFF)
                 want |= {(first, i), (first, j)}
     assert {(int(key[x]) >> 22, int(node[x])) for x in np.flatnonzero(kept)} == want
@@ -311,7 +314,8 @@ def test_recall_over_a_corpus(corpus):
     for i, j in alike:
         apart = prints[i] ^ prints[j]
         met = ln._first_key(apart[None])[0] < min(blocks[i], blocks[j]) and low[i] <= high[j] and low[j] <= high[i]
-        found += met and np.bitwise_count(apart).sum() <= ln.RADIUS
+        carried = np.bitwise_count(apart[: len(ln.CARRIED)]).sum() <= ln.CARRIED_RADIUS
+        found += met and carried and np.bitwise_count(apart).sum() <= ln.RADIUS
     print(f"{len(names)} lines, {len(alike)} alike, {found} found")
     assert len(alike) > 100 and found >= 0.9 * len(alike)
 
