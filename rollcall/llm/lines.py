@@ -82,13 +82,15 @@ def simhash(h: np.ndarray, count: np.ndarray) -> np.ndarray:
     step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first = begin + step * _MOST
     owner = np.cumsum(pieces) - pieces
+    short = len(first) == len(count)
+    half = (count // 2)[:, None].astype(np.uint8 if short else np.int64)
     out = np.zeros(len(count), np.uint64)
     for k in range(8):
-        sums = np.add.reduceat((h >> np.uint64(k)) & _LANES, first).view(np.uint8).reshape(-1, 8)
-        votes = np.add.reduceat(sums.astype(np.int64), owner, axis=0)
-        flags = np.packbits(2 * votes > count[:, None], axis=1, bitorder="little")[:, 0]
-        for lane in range(8):
-            out |= ((flags >> lane) & 1).astype(np.uint64) << np.uint64(8 * lane + k)
+        votes = np.add.reduceat((h >> np.uint64(k)) & _LANES, first).view(np.uint8).reshape(-1, 8)
+        if not short:
+            votes = np.add.reduceat(votes.astype(np.int64), owner, axis=0)
+        # A flag is a byte, 0 or 1: eight of them are a number again, with a bit in each lane.
+        out |= (votes > half).view(np.uint64)[:, 0] << np.uint64(k)
     return out
 
 
@@ -180,8 +182,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
         for batch in small_batches(batches):
             lines = Lines(batch.column("text"))
             names, first = np.unique(lines.name, return_index=True)
-            new = ~np.isin(names, known, assume_unique=True)
-            known = np.union1d(known, names) if len(known) < KNOWN_LINES else names
+            place = np.searchsorted(known, names)
+            new = place == len(known)
+            new[~new] = known[place[~new]] != names[~new]
+            both = [known, names[new]] if len(known) < KNOWN_LINES else [names]
+            known = np.sort(np.concatenate(both), kind="stable")
             at = np.sort(first[new])
             where = np.full(len(lines.name), -1)
             where[at] = np.arange(len(at))
