@@ -68,7 +68,7 @@ lw AS (SELECT lang, word, count(*) AS n FROM words WHERE lang IS NOT NULL GROUP
 lt AS (SELECT lang, sum(n) AS total FROM lw GROUP BY lang HAVING sum(n) >= {limits.min_reference_words}),
 top AS (
   SELECT lang, word, n / total AS q
-  FROM (SELECT *, rank() OVER (PARTITION BY lang ORDER BY n DESC) AS r FROM lw) JOIN lt USING (lang)
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang ORDER BY n DESC) AS r FROM lw) JOIN lt USING (lang)
   WHERE r <= {limits.common_words}
 ),
 lc AS (

@@ -159,8 +159,9 @@ def language_references(docs: DataFrame, limits: Limits = Limits()) -> dict[str,
     """Per language the shares of character classes and of its most common words.
 
     Counted over all documents with a language and a text. ``{}`` if no language has
-    ``min_reference_words``. What reaches the driver is a few numbers per language: classes,
-    and words that no more than ``common_words`` others outnumber.
+    ``min_reference_words``; only those that have reach the driver, each with its classes and at
+    most ``common_words`` words. Words of equal count are common together or not at all, so that
+    no order among them matters: common are those more frequent than the word after the last place.
     """
     counts = (
         docs.select("lang", "text")
@@ -172,16 +173,17 @@ def language_references(docs: DataFrame, limits: Limits = Limits()) -> dict[str,
     counts = written(counts, "quality-counts")
     words = counts.filter("kind = 1")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    rank = F.rank().over(Window.partitionBy("lang").orderBy(F.col("n").desc()))
-    top = words.withColumn("r", rank).filter(F.col("r") <= limits.common_words)
-    total = {r.lang: r.total for r in totals.collect() if r.total >= limits.min_reference_words}
+    large = written(totals.filter(F.col("total") >= limits.min_reference_words), "quality-languages")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc()))
+    top = words.withColumn("place", place).filter(F.col("place") <= limits.common_words + 1)
+    after = F.max(F.when(F.col("place") > limits.common_words, F.col("n"))).over(Window.partitionBy("lang"))
+    common = top.withColumn("after", after).filter(F.col("n") > F.coalesce("after", F.lit(0)))
+    total = {r.lang: r.total for r in large.collect()}
     out: dict[str, dict] = {x: {"chars": np.zeros(CLASSES), "words": {}} for x in sorted(total)}
-    for r in counts.filter("kind = 0").collect():
-        if r.lang in out:
-            out[r.lang]["chars"][r.item] = r.n
-    for r in top.select("lang", "item", "n").collect():
-        if r.lang in out:
-            out[r.lang]["words"][r.item] = r.n / total[r.lang]
+    for r in counts.filter("kind = 0").join(large, "lang", "left_semi").collect():
+        out[r.lang]["chars"][r.item] = r.n
+    for r in common.join(large, "lang", "left_semi").select("lang", "item", "n").collect():
+        out[r.lang]["words"][r.item] = r.n / total[r.lang]
     for ref in out.values():
         ref["chars"] = ref["chars"] / ref["chars"].sum()
     return out
@@ -204,6 +206,8 @@ def _distances(h, at, classes, references) -> tuple[np.ndarray, np.ndarray]:
     text = np.repeat(np.arange(n), n_words)
     for ref in references.values():
         char_d = np.minimum(char_d, js_distance(chars, ref["chars"]))
+        if not ref["words"]:
+            continue
         keys = np.array(sorted(np.int64(k) for k in ref["words"]), np.int64)
         q = np.array([ref["words"][int(k)] for k in keys])
         q = np.append(q, max(0.0, 1 - q.sum()))

@@ -59,3 +59,14 @@ def test_junk_is_told_from_prose(corpus):
 @pytest.mark.parametrize("p, distance", [([1.0, 0.0], 0.0), ([0.0, 1.0], 1.0)])
 def test_js_distance(p, distance):
     assert q.js_distance(np.array([p]), np.array([1.0, 0.0]))[0] == pytest.approx(distance)
+
+
+def test_words_of_equal_count_do_not_pile_up(spark):
+    """A language of words that all differ has no common word; ties at the last place are left out together."""
+    flat = " ".join(f"w{i}" for i in range(5000))
+    tied = " ".join(f"t{i}" for i in range(60)) + " " + " ".join(f"u{i % 40}" for i in range(4000))
+    df = spark.createDataFrame([(flat, "xx"), (tied, "yy"), ("too few words", "zz")], "text string, lang string")
+    got = q.language_references(df)
+    assert set(got) == {"xx", "yy"}
+    assert got["xx"]["words"] == {} and len(got["yy"]["words"]) == 40
+    assert len(judged(df, got)) == 3
