@@ -13,8 +13,9 @@ from pyspark.sql.window import Window
 
 from .common import WORD, written
 
-#: Keys are counted in this many bins per source; only one bin of each is ever sorted.
-BINS = 4096
+#: Keys are counted in bins, each wider than the last by one part in so many; only one bin of a source is
+#: ever sorted. Whatever the weights, it holds less than 1 / (e * STEPS) of the source's keys, by expectation.
+STEPS = 2048
 
 
 def words_in(text: Column) -> Column:
@@ -39,6 +40,11 @@ def sampling_key(doc_id: Column, text: Column, weight: Column, seed: str) -> Col
     return -F.log(u) / weight
 
 
+def _bin(key: Column) -> Column:
+    """The bin of a key. Bins are even on a logarithmic scale: weights scale keys, and only shift them there."""
+    return F.floor(F.log(F.greatest(key, F.lit(1e-300))) * STEPS)
+
+
 def source_targets(
     totals: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3
 ) -> DataFrame:
@@ -90,14 +96,14 @@ def mix_sources(
     the document's words times the epochs in which it is used. Within a source, rows of one
     key (repeated rows) are taken or left together. A null source is a source of its own; a null
     size counts as 0; an empty table stays empty. Tables of one row per source, and of one row
-    per source and bin, pass through windows; documents do so for one bin in ``BINS`` only.
+    per source and bin, pass through windows; documents do so for one bin of a source only.
     """
     out = [c for c in docs.columns if c not in ("source_size", "target", "taken")]
     rows = docs.select(
         F.col(source).alias("source"),
         F.coalesce(F.col(size), F.lit(0)).cast("long").alias("n"),
         F.col(key).alias("k"),
-        F.floor((1 - F.exp(-F.col(key))) * BINS).alias("bin"),
+        _bin(F.col(key)).alias("bin"),
     )
     bins = written(rows.groupBy("source", "bin").agg(F.sum("n").alias("n")), "mix-bins")
     totals = bins.groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -153,7 +159,7 @@ def mix_sources(
         "mix-plan",
     )
     kept = docs.select(*out)
-    row_bin = F.floor((1 - F.exp(-F.col(key))) * BINS)
+    row_bin = _bin(F.col(key))
     extra = F.when(
         F.col("mix_bin").isNull(), F.col("mix_rest") >= F.col("source_size")
     ).otherwise((row_bin < F.col("mix_bin")) | (F.col(key) <= F.coalesce("mix_cut", F.lit(-1.0))))

@@ -52,3 +52,14 @@ def test_heavier_documents_come_first(spark):
     taken = m.mix_sources(df.withColumn("key", key)).filter("source = 'a'").collect()
     extra = [r for r in taken if r.taken > min(x.taken for x in taken)]
     assert len(extra) and sum(r.w == 1.0 for r in extra) > 0.7 * len(extra)
+
+
+@pytest.mark.parametrize("weight", [1.0, 1 / 3, 1 / 6, 1e-6, 50.0])
+def test_no_bin_grows_with_the_weight(spark, weight):
+    """A source of one low weight is spread over as many bins as any other; equal keys share one."""
+    key = m.sampling_key(F.col("id"), F.lit("t"), F.lit(weight), "s")
+    bins = spark.range(200_000).select(m._bin(key).alias("b")).groupBy("b").count()
+    assert bins.agg(F.max("count")).first()[0] < 200_000 / 1000
+    edges = spark.createDataFrame([(0.0,), (-0.0,), (1e-17,), (40.0,)], "k double").select(m._bin(F.col("k")).alias("b"))
+    got = [r.b for r in edges.collect()]
+    assert got[0] == got[1] < got[2] < got[3]
