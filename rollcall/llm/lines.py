@@ -108,9 +108,10 @@ class Lines:
         borders = np.append(starts, len(data))
         w_start, w_end, w_at = spans(solid(data) & ~is_break, borders)
         n_words = np.diff(w_at)
-        signs = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        sizes = np.concatenate([[0], np.cumsum(signs[w_end] - signs[w_start])])
-        length = sizes[w_at[1:]] - sizes[w_at[:-1]] + np.maximum(n_words - 1, 0)
+        # Characters: the bytes of the words, but for those that continue a character.
+        sizes = np.concatenate([[0], np.cumsum(w_end - w_start)])
+        inner = np.searchsorted(np.flatnonzero((data & 0xC0) == 0x80), borders)
+        length = sizes[w_at[1:]] - sizes[w_at[:-1]] - np.diff(inner) + np.maximum(n_words - 1, 0)
         good = (n_words >= MIN_WORDS) & (length >= MIN_CHARS)
         self.text, self.number, self.n = text[good], number[good], n_words[good]
         self.length = length[good]
