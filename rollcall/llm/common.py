@@ -149,7 +149,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     first, last = starts[0], ends[-1]
     reach = np.diff(np.append(starts, last))
     place = np.arange(last - first) - np.repeat(starts - first, reach)
-    values = _BYTES[data[first:last]]
+    values = _BYTES.take(data[first:last], mode="wrap")
     values *= powers(_BASE, int(reach.max()))[place]
     borders = np.stack([starts, ends], 1).reshape(-1)[:-1] - first
     sums = np.add.reduceat(values, borders)[::2]

@@ -25,7 +25,6 @@ from .common import (
     mixed,
     powers,
     small_batches,
-    solid,
     span_hashes,
     spans,
     text_bytes,
@@ -61,10 +60,13 @@ MIN_WORDS = 1
 LARGE_BUCKET = 8192
 #: Lines that a task knows to have fingerprinted.
 KNOWN_LINES = 2_000_000
+#: Bytes of text that are cut into lines at once: their arrays stay near the processor.
+FITS_CACHE = 500_000
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[ord("0") : ord("9") + 1] = ord("0")
 _PLAIN[[c for c in range(128) if c != 10 and not chr(c).isalnum()]] = ord(" ")
+_TABLE = _PLAIN.tobytes()
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Each part of a fingerprint has a hash of its own.
 _SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -99,14 +101,14 @@ class Lines:
 
     def __init__(self, column: pa.Array) -> None:
         data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(column, "")))
-        data = _PLAIN[data]
+        data = np.frombuffer(data.tobytes().translate(_TABLE), np.uint8)
         is_break = data == 10
         starts, ends, at = spans(~is_break, offsets)
         breaks = np.flatnonzero(is_break)
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
         number = np.searchsorted(breaks, starts) - np.searchsorted(breaks, offsets)[text]
         borders = np.append(starts, len(data))
-        w_start, w_end, w_at = spans(solid(data) & ~is_break, borders)
+        w_start, w_end, w_at = spans((data != 32) & ~is_break, borders)
         n_words = np.diff(w_at)
         # Characters: the bytes of the words, but for those that continue a character.
         sizes = np.concatenate([[0], np.cumsum(w_end - w_start)])
@@ -162,8 +164,7 @@ class Lines:
 def plain(lines: list[str]) -> list[str]:
     """Lines as they are normalised."""
     lower = pc.utf8_lower(pa.array(lines, pa.string())).to_pylist()
-    table = _PLAIN.tobytes()
-    return [b" ".join(x.encode().translate(table).split()).decode() for x in lower]
+    return [b" ".join(x.encode().translate(_TABLE).split()).decode() for x in lower]
 
 
 def with_identity(docs: DataFrame) -> DataFrame:
@@ -180,7 +181,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.empty(0, np.uint64)
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, limit=FITS_CACHE):
             lines = Lines(batch.column("text"))
             names, first = np.unique(lines.name, return_index=True)
             place = np.searchsorted(known, names)
@@ -595,13 +596,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     grouped = found.join(sent_if_small(joined), "node", "left").select(
         F.coalesce("root", "node").alias("line_group"), "doc_id", "th", "number"
     )
+    # Most lines are alone in their group: spots are compared for the others only.
+    shared = grouped.groupBy("line_group").agg(F.count("*").alias("n")).filter("n > 1").select("line_group")
+    several = sent_if_small(written(shared, "line-groups"))
+    members = written(grouped.join(several, "line_group"), "line-members")
     spot = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "number")
-    kept = (
-        grouped.groupBy("line_group")
-        .agg(F.min(spot).alias("first"), F.count("*").alias("n")).filter("n > 1")
-        .select("line_group", "first")
-    )
-    again = grouped.join(written(kept, "line-first"), "line_group").filter(spot != F.col("first"))
+    first = written(members.groupBy("line_group").agg(F.min(spot).alias("first")), "line-first")
+    again = members.join(sent_if_small(first), "line_group").filter(spot != F.col("first"))
     return again.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("number")).alias("drop"))
 
 
