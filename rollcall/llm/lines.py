@@ -58,6 +58,8 @@ MIN_CHARS = 20
 MIN_WORDS = 1
 #: Buckets of more lines than this become clusters unseen.
 LARGE_BUCKET = 8192
+#: Rows of buckets that are compared at once.
+ROWS_AT_ONCE = 60_000
 #: Lines that a task knows to have fingerprinted.
 KNOWN_LINES = 2_000_000
 #: Bytes of text that are cut into lines at once: their arrays stay near the processor.
@@ -303,6 +305,19 @@ def _rows_of(batch: pa.RecordBatch, parts: tuple[str, ...], *names: str) -> tupl
     return (*[batch.column(c).to_numpy().astype(np.int64) for c in names], prints)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``ROWS_AT_ONCE``."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= ROWS_AT_ONCE:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def near_by_print(lines: DataFrame) -> DataFrame:
     """(u, v) that connect all lines of ``lines(node, p0 .. p2)`` that are near in a bucket, and few others.
 
@@ -320,7 +335,7 @@ def near_by_print(lines: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, centre = None, None
-        for batch in batches:
+        for batch in _gathered(batches):
             rows = _rows_of(batch, CARRIED, "key", "node")
             out = []
             if centre is not None:

@@ -208,6 +208,7 @@ def as_arrays(rows):
 def test_buckets_over_batches(monkeypatch, large, cut):
     """The sorted stream connects what meets in a bucket, wherever batches are cut."""
     monkeypatch.setattr(ln, "LARGE_BUCKET", large)
+    monkeypatch.setattr(ln, "ROWS_AT_ONCE", 1)
     caught = {}
 
     class Frame:
