@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from .clusters import BLOCK, links_within, sent_if_small, spanning_links
 from .common import (
     mixed,
-    powers,
+    run_sums,
     small_batches,
+    span_hasher,
     span_hashes,
     spans,
     text_bytes,
@@ -72,36 +73,74 @@ _TABLE = _PLAIN.tobytes()
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Each part of a fingerprint has a hash of its own.
 _SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-_LANES = np.uint64(0x0101010101010101)
-_MOST = 255  # what a lane of eight bits can count to
+_FOURS = np.uint64(0x1111111111111111)
+_EIGHTS = np.uint64(0x0F0F0F0F0F0F0F0F)
+GROUP = 15  # what four bits can count to
+_MOST = 255  # and eight
+
+
+def _planes(rows: np.ndarray) -> list[np.ndarray]:
+    """How many of the rows have each bit, as binary digits, the lowest first; of 2^n - 1 rows."""
+    out, rows = [], list(rows)
+    while rows:
+        digit, carried = rows[0], []
+        for a, b in zip(rows[1::2], rows[2::2]):
+            apart, carry = digit ^ a, digit & a
+            digit = apart ^ b
+            apart &= b
+            carry |= apart
+            carried.append(carry)
+        out.append(digit)
+        rows = carried
+    return out
 
 
-def simhash(h: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of runs of hashes, which follow one another and have ``count`` > 0 items.
+def simhashes(h: np.ndarray, count: np.ndarray, seeds: list[np.uint64]) -> np.ndarray:
+    """64-bit SimHashes, a column for each seed, of runs of hashes that follow one another and have ``count`` > 0 items.
 
-    Eight counters share a number: hashes are added up lane by lane, ``_MOST`` at a time.
+    Bits are counted in all places at once: ``GROUP`` items by binary digits, groups in counters of
+    eight bits, eight of which share a number, ``_MOST`` items at a time.
     """
-    pieces = -(-count // _MOST)
-    begin = np.repeat(np.cumsum(count) - count, pieces)
-    step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    first = begin + step * _MOST
+    groups = -(-count // GROUP)
+    begin, ends = np.cumsum(groups) - groups, np.cumsum(count)
+    # Row e has item e of every group, or no bits where a run has ended.
+    at = np.arange(groups.sum()) * GROUP + np.repeat(ends - count - begin * GROUP, groups)
+    at = at + np.arange(GROUP)[:, None]
+    real = (at < np.repeat(ends, groups)) * np.uint64(0xFFFFFFFFFFFFFFFF)
+    items = h.take(at, mode="clip")
+    pieces = -(-groups // (_MOST // GROUP))
     owner = np.cumsum(pieces) - pieces
+    step = np.arange(pieces.sum()) - np.repeat(owner, pieces)
+    first = np.repeat(begin, pieces) + step * (_MOST // GROUP)
     short = len(first) == len(count)
     half = (count // 2)[:, None].astype(np.uint8 if short else np.int64)
-    out = np.zeros(len(count), np.uint64)
-    for k in range(8):
-        votes = np.add.reduceat((h >> np.uint64(k)) & _LANES, first).view(np.uint8).reshape(-1, 8)
-        if not short:
-            votes = np.add.reduceat(votes.astype(np.int64), owner, axis=0)
-        # A flag is a byte, 0 or 1: eight of them are a number again, with a bit in each lane.
-        out |= (votes > half).view(np.uint64)[:, 0] << np.uint64(k)
+    out = np.zeros((len(count), len(seeds)), np.uint64)
+    for s, seed in enumerate(seeds):
+        rows = items * seed
+        rows += seed
+        rows = mixed(rows)
+        rows &= real
+        planes = _planes(rows)
+        for k in range(4):
+            four = (planes[0] >> np.uint64(k)) & _FOURS
+            for i, plane in enumerate(planes[1:], 1):
+                four |= ((plane >> np.uint64(k)) & _FOURS) << np.uint64(i)
+            for place, eight in ((k, four & _EIGHTS), (k + 4, (four >> np.uint64(4)) & _EIGHTS)):
+                votes = np.add.reduceat(eight, first).view(np.uint8).reshape(-1, 8)
+                if not short:
+                    votes = np.add.reduceat(votes.astype(np.int64), owner, axis=0)
+                # A flag is a byte, 0 or 1: eight of them are a number again, with a bit in each lane.
+                out[:, s] |= (votes > half).view(np.uint64)[:, 0] << np.uint64(place)
     return out
 
 
 class Lines:
-    """The lines of a batch that are long enough: text, number, name, words and their halves."""
+    """The lines of a batch that are long enough: text, number, name, words and their halves.
+
+    ``kept`` is what ``run_sums`` keeps from one batch to the next.
+    """
 
-    def __init__(self, column: pa.Array) -> None:
+    def __init__(self, column: pa.Array, kept: dict | None = None) -> None:
         data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(column, "")))
         data = np.frombuffer(data.tobytes().translate(_TABLE), np.uint8)
         is_break = data == 10
@@ -119,36 +158,34 @@ class Lines:
         good = (n_words >= MIN_WORDS) & (length >= MIN_CHARS)
         self.text, self.number, self.n = text[good], number[good], n_words[good]
         self.length = length[good]
-        # A word of one byte has one half only.
         middle = w_start + (w_end - w_start + 1) // 2
-        halves = np.stack([w_start, middle, middle, w_end], 1).reshape(-1, 2)
-        real = halves[:, 0] < halves[:, 1]
-        later = np.tile([False, True], len(w_start))[real]
-        h = span_hashes(data, *np.ascontiguousarray(halves[real].T))
-        h[later] = mixed(h[later] + np.uint64(1))
-        half_at = np.concatenate([[0], np.cumsum(real)])[2 * w_at]
+        hashes = span_hasher(data, kept)
+        halves = np.stack([hashes(w_start, middle), mixed(hashes(middle, w_end) + np.uint64(1))], 1)
+        # A word of one byte has one half only.
+        real = np.ones(halves.shape, bool)
+        real[:, 1] = middle < w_end
+        self.halves = halves[real]
+        half_at = 2 * w_at - np.searchsorted(np.flatnonzero(~real[:, 1]), w_at)
         self.first, self.count = half_at[:-1][good], np.diff(half_at)[good]
-        self.halves = h
-        self.name = np.empty(0, np.uint64)
-        if len(self.first):
-            place = np.arange(len(h)) - np.repeat(half_at[:-1], np.diff(half_at))
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(h * powers(_STEP, int(place.max()) + 1)[place])])
-            self.name = mixed(sums[self.first + self.count] - sums[self.first] + self.count.astype(np.uint64))
+        sums = run_sums(self.halves, _STEP, kept)(self.first, self.first + self.count)
+        self.name = mixed(sums + self.count.astype(np.uint64))
 
     def prints(self, lines: np.ndarray) -> np.ndarray:
         """Fingerprints of these lines, one row each: over the set of the halves of their words."""
+        if not len(lines):
+            return np.empty((0, len(PRINT)), np.uint64)
         count = self.count[lines]
-        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        own = self.halves[place + np.repeat(self.first[lines], count)]
+        before = np.cumsum(count) - count
+        both = self.halves[np.arange(count.sum()) + np.repeat(self.first[lines] - before, count)]
         # The line above 44 bits of the hash: sorted, equal halves of a line are neighbours.
-        line = np.repeat(np.arange(len(lines), dtype=np.uint64), count)
-        both = np.sort((line << np.uint64(44)) | (own >> np.uint64(20)))
-        both = both[np.append(True, both[1:] != both[:-1])] if len(both) else both
-        count = np.bincount((both >> np.uint64(44)).astype(np.int64), minlength=len(lines))
+        line = np.arange(len(lines) + 1, dtype=np.uint64) << np.uint64(44)
+        both >>= np.uint64(20)
+        both |= np.repeat(line[:-1], count)
+        both.sort()
+        both = both[np.append(True, both[1:] != both[:-1])]
+        count = np.diff(np.searchsorted(both, line))
         both &= np.uint64((1 << 44) - 1)
-        if not len(lines):
-            return np.empty((0, len(PRINT)), np.uint64)
-        return np.stack([simhash(mixed(both * seed + seed), count) for seed in _SEEDS], 1)
+        return simhashes(both, count, _SEEDS)
 
     def blocks(self, lines: np.ndarray) -> np.ndarray:
         """How many blocks of these lines' fingerprints are keys."""
@@ -182,9 +219,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.empty(0, np.uint64)
+        known, kept = np.empty(0, np.uint64), {}
         for batch in small_batches(batches, limit=FITS_CACHE):
-            lines = Lines(batch.column("text"))
+            lines = Lines(batch.column("text"), kept)
             names, first = np.unique(lines.name, return_index=True)
             place = np.searchsorted(known, names)
             new = place == len(known)
@@ -240,20 +277,26 @@ def _line_texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
 
 
 def _keys() -> Column:
-    """The keys of a fingerprint: the bits of a block, which one, and a class of the length."""
-    parts = [
-        F.shiftrightunsigned(p, at).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
-        for p in PRINT
-        for at in range(0, 64, BLOCK_BITS)
-    ]
-    shift = BLOCK_BITS + CLASS_BITS
+    """The numbers of a line's keys: one for each block, twice if the line is in two classes."""
+    classes = F.when(F.col("low") == F.col("high"), 1).otherwise(2)
+    return F.sequence(F.lit(0), F.col("blocks") * classes - 1)
 
-    def of(size: str) -> Column:
-        own = F.shiftleft(F.col(size), BLOCK_BITS)
-        every = F.array(*[part.bitwiseOR(own).bitwiseOR(F.lit(i << shift)) for i, part in enumerate(parts)])
-        return F.slice(every, F.lit(1), F.col("blocks"))
 
-    return F.when(F.col("low") == F.col("high"), of("low")).otherwise(F.concat(of("low"), of("high")))
+def _key(number: Column) -> Column:
+    """The key of that number: the bits of a block, which one, and a class of the length.
+
+    Made of one number at a time, as code for all blocks at once is too long to be compiled.
+    """
+    block = F.pmod(number, F.col("blocks"))
+    size = F.when(number < F.col("blocks"), F.col("low")).otherwise(F.col("high"))
+    each = 64 // BLOCK_BITS
+    part = F.when(block < each, F.col(PRINT[0]))
+    for i, p in enumerate(PRINT[1:-1], 1):
+        part = part.when(block < each * (i + 1), F.col(p))
+    at = F.pmod(block, F.lit(each)) * BLOCK_BITS
+    bits = F.call_function("shiftrightunsigned", part.otherwise(F.col(PRINT[-1])), at)
+    bits = bits.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+    return bits.bitwiseOR(F.shiftleft(size, BLOCK_BITS)).bitwiseOR(F.shiftleft(block, BLOCK_BITS + CLASS_BITS))
 
 
 def _block_of(key: np.ndarray) -> np.ndarray:
@@ -358,7 +401,8 @@ def near_by_print(lines: DataFrame) -> DataFrame:
             yield from _links(links(*held))
 
     return (
-        lines.select(F.explode(_keys()).alias("key"), "node", *CARRIED)
+        lines.select(F.explode(_keys()).alias("i"), "node", *PRINT, *KEYED)
+        .select(_key(F.col("i")).alias("key"), "node", *CARRIED)
         .repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
     )
 
@@ -422,40 +466,66 @@ def edit_distance(a: str, b: str, most: int) -> int:
 
 #: Words that two lines may go apart by before they meet again, for ``word_edits``.
 LOOK_AHEAD = 4
+#: How many words of either line to pass over, the fewest first.
+_STEPS = sorted(
+    ((n, m) for n in range(LOOK_AHEAD + 1) for m in range(LOOK_AHEAD + 1) if 0 < n + m < 2 * LOOK_AHEAD),
+    key=lambda s: (s[0] + s[1], abs(s[0] - s[1]), s[0]),
+)
 
 
 def word_edits(a: str, b: str, most: int) -> int:
     """A number of edits that turns ``a`` into ``b``, word for word; not always the least one.
 
-    ``most + 1`` if more, or if the lines do not meet again within a few words.
+    ``most + 1`` if more, or if the lines do not meet again within a few words. Words that differ
+    count whole; only if that is too much their letters are compared.
     """
     x, y = a.split(" "), b.split(" ")
-    i = j = cost = 0
-    while (i < len(x) or j < len(y)) and cost <= most:
-        if i < len(x) and j < len(y) and x[i] == y[j]:
+    # Both ends meet; what lies beyond meets nothing.
+    x += [None, *range(LOOK_AHEAD)]
+    y += [None, *range(-LOOK_AHEAD, 0)]
+    i = j = cost = least = 0
+    changed = []
+    while x[i] is not None or y[j] is not None:
+        if x[i] == y[j]:
             i, j = i + 1, j + 1
             continue
-        for both in range(1, 2 * LOOK_AHEAD):
-            steps = [(n, both - n) for n in range(max(0, both - LOOK_AHEAD), min(both, LOOK_AHEAD) + 1)]
-            steps = [(n, m) for n, m in steps if i + n <= len(x) and j + m <= len(y)]
-            met = [(abs(n - m), n, m) for n, m in steps if x[i + n : i + n + 1] == y[j + m : j + m + 1]]
-            if met:
-                _, n, m = min(met)
-                old, new = " ".join(x[i : i + n]), " ".join(y[j : j + m])
-                # One side without a word also lacks the blank beside it.
-                cost += edit_distance(old, new, most) if n and m else len(old) + len(new) + 1
-                i, j = i + n, j + m
+        for n, m in _STEPS:
+            if x[i + n] == y[j + m]:
                 break
         else:
             return most + 1
+        old, new = " ".join(x[i : i + n]), " ".join(y[j : j + m])
+        if n and m:
+            changed.append((old, new))
+            cost += max(len(old), len(new))
+            least += abs(len(old) - len(new))
+        else:
+            # One side without a word also lacks the blank beside it.
+            cost += len(old) + len(new) + 1
+            least += len(old) + len(new) + 1
+        if least > most:
+            return most + 1
+        i, j = i + n, j + m
+    for old, new in changed:
+        if cost <= most or least > most:
+            break
+        real = edit_distance(old, new, most)
+        cost -= max(len(old), len(new)) - real
+        least += real - abs(len(old) - len(new))
     return min(cost, most + 1)
 
 
 def alike(a: str, b: str, percent: int = PERCENT) -> bool:
-    """Whether the edit similarity is ``percent`` or more.
+    """Whether the edit similarity is ``percent`` or more."""
+    answer = quick_answer(a, b, percent)
+    return answer if isinstance(answer, bool) else edit_distance(*answer) <= answer[2]
 
-    Two quick answers come first: letters that one line has more of than the other are edits at the
-    least, and changing word for word is one way to get from one to the other.
+
+def quick_answer(a: str, b: str, percent: int = PERCENT) -> bool | tuple[str, str, int]:
+    """Whether two lines are alike, or what is left to compare and the most edits that it may take.
+
+    Two answers are quick: changing word for word is one way to get from one to the other, and
+    letters that one line has more of than the other are edits at the least.
     """
     longer = max(len(a), len(b))
     most = longer * (100 - percent) // 100
@@ -464,12 +534,81 @@ def alike(a: str, b: str, percent: int = PERCENT) -> bool:
     a, b = _trimmed(a, b)
     if max(len(a), len(b)) <= most:
         return True
-    if len(a) > 2 * GRAIN and len(b) > 2 * GRAIN:
-        if _lacking(a, b) > most:
-            return False
-        if word_edits(a, b, most) <= most:
-            return True
-    return edit_distance(a, b, most) <= most
+    if len(a) <= 2 * GRAIN or len(b) <= 2 * GRAIN:
+        return edit_distance(a, b, most) <= most
+    if word_edits(a, b, most) <= most:
+        return True
+    return False if _lacking(a, b) > most else (a, b, most)
+
+
+#: Bits of the bands that are moved on together, and rows of bits made at once.
+BAND_BITS = 8192
+BAND_CELLS = 2_000_000
+
+
+def within(pairs: list[tuple[str, str, int]]) -> np.ndarray:
+    """Whether each two texts are at most so many edits apart: pairs of like lengths at once."""
+    out = np.zeros(len(pairs), bool)
+    near = [x for x, (a, b, most) in enumerate(pairs) if abs(len(a) - len(b)) <= most]
+    group, bits = [], 0
+    for x in sorted(near, key=lambda x: min(len(pairs[x][0]), len(pairs[x][1]))):
+        group.append(x)
+        bits += 2 * pairs[x][2] + 2
+        if bits >= BAND_BITS:
+            out[group] = _within_bands([pairs[x] for x in group])
+            group, bits = [], 0
+    if group:
+        out[group] = _within_bands([pairs[x] for x in group])
+    return out
+
+
+def _within_bands(pairs: list[tuple[str, str, int]]) -> np.ndarray:
+    """``within`` by Myers' bit vectors, of the band about the diagonal only, all pairs in one number.
+
+    A pair has a field of bits. In the column of the shorter text's letter j, bit t is the longer
+    one's letter j - most + t; a spare bit above takes what an addition carries over.
+    """
+    texts = [
+        [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.int32) for t in sorted((a, b), key=len)]
+        for a, b, _ in pairs
+    ]
+    short, long = (np.array([len(t[i]) for t in texts]) for i in (0, 1))
+    most = np.array([p[2] for p in pairs])
+    size = -(-(2 * most + 2) // 8) * 8
+    first = np.cumsum(size) - size
+    n_bytes = int(size.sum()) // 8
+    padded = [np.full(len(a) + 2 * k, -1, np.int32) for (a, _), k in zip(texts, most.tolist())]
+    for whole, (_, b), k in zip(padded, texts, most.tolist()):
+        whole[k : k + len(b)] = b
+    mask = plus = minus = 0
+    for k, at in zip(most.tolist(), first.tolist()):
+        mask |= (1 << 2 * k + 1) - 1 << at
+        plus |= (1 << k + 1) - 1 << at + k
+    # On the diagonal that ends both texts a bit says that the distance does not grow.
+    end = first + long - short + most
+    agreed = np.zeros(len(pairs), np.int64)
+    rows = max(1, BAND_CELLS // (8 * n_bytes))
+    for j in range(0, int(short.max()), rows):
+        own = min(rows, int(short.max()) - j)
+        equal = np.zeros((own, 8 * n_bytes), bool)
+        for (text, _), whole, k, at in zip(texts, padded, most.tolist(), first.tolist()):
+            letters = text[j : j + own]
+            if len(letters):
+                # Row by row the same letters, one place on.
+                bands = np.ndarray((len(letters), 2 * k + 1), np.int32, whole, 4 * j, (4, 4))
+                np.equal(bands, letters[:, None], out=equal[: len(letters), at : at + 2 * k + 1])
+        moves = []
+        for row in np.packbits(equal, axis=1, bitorder="little"):
+            eq = int.from_bytes(row.tobytes(), "little")
+            same = (((eq & plus) + plus) ^ plus | eq | minus) & mask
+            up, down = minus | mask ^ (same | plus), same & plus
+            below = same >> 1 & mask
+            plus, minus = down | mask ^ (below | up), below & up
+            moves.append(same.to_bytes(n_bytes, "little"))
+        seen = np.frombuffer(b"".join(moves), np.uint8).reshape(own, n_bytes)[:, end >> 3]
+        live = np.arange(j, j + own)[:, None] < short
+        agreed += ((seen >> (end & 7).astype(np.uint8) & 1).astype(bool) & live).sum(0)
+    return long - agreed <= most
 
 
 #: Middles of lines up to twice this long are compared at once.
@@ -518,6 +657,52 @@ def _partners(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Pairs of fingerprints that are compared at once.
+PAIRS_AT_ONCE = 200_000
+#: Letters of pairs that wait to be compared together.
+ASKED_CHARS = 2_000_000
+
+
+def _quick_links(lines: list[str], pairs: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], dict]:
+    """Index pairs that link what quick answers link, and what is to be compared of the pairs left."""
+    asked, size = {}, 0
+
+    def linked(i: int, j: int) -> bool:
+        nonlocal size
+        answer = quick_answer(lines[i], lines[j])
+        if isinstance(answer, bool):
+            return answer
+        if size > ASKED_CHARS:
+            return edit_distance(*answer) <= answer[2]
+        asked[i, j] = answer
+        size += len(answer[0]) + len(answer[1])
+        return False
+
+    links = spanning_links(range(len(lines)), pairs, linked)
+    if not asked:
+        return links, asked
+    # Later links may have connected a pair that was put off.
+    known, left = set(links), {}
+
+    def is_known(i: int, j: int) -> bool:
+        if (i, j) not in known:
+            left[i, j] = asked[i, j]
+        return (i, j) in known
+
+    spanning_links(range(len(lines)), [*links, *asked], is_known)
+    return links, left
+
+
+def _spanning(held: list[tuple[list[int], list[tuple[int, int]], dict]]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) of groups (nodes, links, pairs to be compared), the pairs of all of them at once."""
+    answers = iter(within([pair for _, _, asked in held for pair in asked.values()]).tolist())
+    out = []
+    for nodes, links, asked in held:
+        out += spanning_links(nodes, [*links, *(pair for pair in asked if next(answers))])
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["u", "v"])
+
+
 def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
     """Links of ``placed(cluster, block, node, visitor)`` by fingerprint and edit similarity; texts have both.
 
@@ -525,40 +710,49 @@ def _confirmed(placed: DataFrame, texts: DataFrame, by_key: bool) -> DataFrame:
     first bucket that they share only.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group, out = None, [], []
-
-        def links() -> list[tuple[int, int]]:
-            if len(group) < 2:
-                return []
-            p = np.array([g[1] for g in group], np.int64).view(np.uint64)
-            visitor = np.array([g[2] for g in group])
-            found = []
-            for i in range(len(group) - 1):
-                apart = _apart(p[i], p[i + 1 :])
-                near = (apart <= RADIUS) & ~(visitor[i] & visitor[i + 1 :])
-                j = np.flatnonzero(near) + i + 1
-                if by_key and len(j):
-                    j = j[_first_key(p[i] ^ p[j]) == _block_of(key[0])]
-                found += [(d, i, x) for d, x in zip(apart[j - i - 1].tolist(), j.tolist())]
-            # The nearest first: what they connect need not be compared by letters again.
-            pairs = ((i, j) for _, i, j in sorted(found))
-            return spanning_links([g[0] for g in group], pairs, lambda i, j: alike(group[i][3], group[j][3]))
-
+    def pairs_of(key: tuple[int, int], group: list) -> list[tuple[int, int]]:
+        p = np.array([g[1] for g in group], np.int64).view(np.uint64)
+        visitor = np.array([g[2] for g in group])
+        found = []
+        rows = max(1, PAIRS_AT_ONCE // len(group))
+        for start in range(0, len(group), rows):
+            own = slice(start, start + rows)
+            apart = _apart(p[own, None], p)
+            near = np.triu(apart <= RADIUS, start + 1) & ~(visitor[own, None] & visitor)
+            i, j = near.nonzero()
+            apart, i = apart[i, j], i + start
+            if by_key:
+                first = _first_key(p[i] ^ p[j]) == _block_of(key[0])
+                apart, i, j = apart[first], i[first], j[first]
+            found += zip(apart.tolist(), i.tolist(), j.tolist())
+        # The nearest first: what they connect need not be compared by letters again.
+        return [(i, j) for _, i, j in sorted(found)]
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list]]:
+        key, group = None, []
         for batch in small_batches(batches, "line"):
             columns = [batch.column(c).to_pylist() for c in ("cluster", "block", "node", "visitor", "line")]
             prints = zip(*(batch.column(p).to_pylist() for p in PRINT))
             for cluster, block, *rest in zip(columns[0], columns[1], columns[2], prints, columns[3], columns[4]):
                 if (cluster, block) != key:
-                    out += links()
+                    if len(group) > 1:
+                        yield key, group
                     key, group = (cluster, block), []
                 group.append(rest)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["u", "v"])
-                out = []
-        out += links()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["u", "v"])
+        if len(group) > 1:
+            yield key, group
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for key, group in groups(batches):
+            nodes, lines = [g[0] for g in group], [g[3] for g in group]
+            links, asked = _quick_links(lines, pairs_of(key, group))
+            held.append((nodes, links, asked))
+            size += len(links) + sum(len(a) + len(b) for a, b, _ in asked.values())
+            if size > ASKED_CHARS:
+                yield from _spanning(held)
+                held, size = [], 0
+        yield from _spanning(held)
 
     return (
         texts.join(sent_if_small(placed), "node")
@@ -584,7 +778,8 @@ def _all_links(clusters: DataFrame, lines: DataFrame, texts: DataFrame) -> DataF
     if wide.isEmpty():
         return links
     wide = lines.join(sent_if_small(wide), "node")
-    wide = written(wide.select("node", *PRINT, F.explode(_keys()).alias("root")), "line-buckets")
+    wide = wide.select(F.explode(_keys()).alias("i"), "node", *PRINT, *KEYED)
+    wide = written(wide.select("node", *PRINT, _key(F.col("i")).alias("root")), "line-buckets")
     full = wide.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1")
     wide = written(wide.join(full, "root"), "line-buckets")
     buckets = _partners(wide.filter(F.col("n") <= LARGE_BUCKET)).unionByName(

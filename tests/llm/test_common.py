@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -48,3 +49,18 @@ def test_batches_are_cut_by_bytes_and_whole():
 def test_code_points():
     points, offsets = c.code_points(["é🙂", None, "a"])
     assert points.tolist() == [0xE9, 0x1F642, 0x61] and offsets.tolist() == [0, 2, 2, 3]
+
+
+@pytest.mark.parametrize("most", [4, 1 << 20])
+def test_hashes_of_any_spans(monkeypatch, most):
+    """By running sums, spans hash as they do one by one, whatever is kept from batch to batch; overlaps may be."""
+    monkeypatch.setattr(c, "KEPT_POWERS", most)
+    rng = np.random.default_rng(4)
+    kept = {}
+    for n in (300, 20, 3000):
+        data = rng.integers(0, 256, n).astype(np.uint8)
+        starts = rng.integers(0, n - 10, 200)
+        ends = starts + rng.integers(1, 11, 200)
+        got = c.span_hasher(data, kept)(starts, ends)
+        want = [c.span_hashes(data, np.array([a]), np.array([b]))[0] for a, b in zip(starts, ends)]
+        assert got.tolist() == [int(x) for x in want]

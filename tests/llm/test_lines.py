@@ -40,6 +40,64 @@ def test_quick_answers_are_right(a, b, percent):
     assert ln.alike(a, b, percent) == (real <= longer * (100 - percent) // 100)
 
 
+edited = st.lists(st.tuples(st.text("ab😀", max_size=24), st.text("ab😀", max_size=24), st.integers(0, 9)), max_size=9)
+
+
+@settings(deadline=None, max_examples=200)
+@given(edited, st.sampled_from([1, 40, 8192]), st.sampled_from([1, 300, 2_000_000]))
+def test_bands_of_many_pairs(pairs, bits, cells):
+    """Pairs compared together get the answers of each alone, whatever is worked on at once."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ln, "BAND_BITS", bits)
+        patch.setattr(ln, "BAND_CELLS", cells)
+        # Near ones, too: a letter put in, one taken out.
+        pairs = pairs + [(a, a[:3] + "b" + a[3:-1], most) for a, _, most in pairs]
+        assert ln.within(pairs).tolist() == [plain_distance(a, b) <= most for a, b, most in pairs]
+
+
+def test_lines_that_are_not_alike_are_compared_together(monkeypatch):
+    """No line of some length is gone through letter by letter, and links are those of all pairs."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    base = [rng.choice(vocabulary) for _ in range(50)]
+    lines = []
+    for _ in range(40):
+        own = list(base)
+        for i in rng.sample(range(50), rng.choice([2, 5, 9])):
+            own[i] = rng.choice(vocabulary)
+        lines.append(" ".join(own))
+    pairs = [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    alike = [(i, j) for i, j in pairs if ln.alike(lines[i], lines[j])]
+    real, sizes = ln.edit_distance, []
+    monkeypatch.setattr(ln, "edit_distance", lambda a, b, most: (sizes.append(min(len(a), len(b))), real(a, b, most))[1])
+    held = [(list(range(40)), *ln._quick_links(lines, pairs))]
+    links = [x for b in ln._spanning(held) for x in zip(*(c.to_pylist() for c in b.columns))]
+    assert held[0][2] and max(sizes) <= 2 * ln.GRAIN + 50 < min(map(len, lines))
+    want, got = (clusters.spanning_links(range(40), x) for x in (alike, links))
+    assert len(want) == len(got) == len(links) and set(links) <= set(alike)
+
+
+def test_waiting_pairs_are_bounded(monkeypatch):
+    """Pairs that would wait in too great a number are answered at once, with the same links."""
+    rng = random.Random(9)
+    words_ = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    base = [rng.choice(words_) for _ in range(30)]
+    lines = [" ".join(w if rng.random() < 0.9 else rng.choice(words_) for w in base) for _ in range(25)]
+    pairs = [(i, j) for i in range(25) for j in range(i + 1, 25)]
+
+    def groups():
+        links = [(i, j) for b in ln._spanning([(list(range(25)), *ln._quick_links(lines, pairs))]) for i, j in zip(*(c.to_pylist() for c in b.columns))]
+        root = list(range(25))
+        for _ in range(25):
+            for i, j in links:
+                root[i] = root[j] = min(root[i], root[j])
+        return root
+
+    whole = groups()
+    monkeypatch.setattr(ln, "ASKED_CHARS", 0)
+    assert groups() == whole and len(set(whole)) > 1
+
+
 def normal(line):
     lower = "".join("0" if c in "0123456789" else c if ord(c) > 127 or c.isalnum() else " " for c in line.lower())
     return " ".join(lower.split(" ")).strip() and " ".join(x for x in lower.split(" ") if x)
@@ -330,6 +388,50 @@ def test_alike_lines_share_a_class():
         assert low <= high2 and low2 <= high
 
 
+def test_keys_are_blocks_with_classes(spark):
+    """Every keyed block of a fingerprint once for each class; made by code short enough to be compiled."""
+    rng = random.Random(2)
+    signed = [rng.getrandbits(64) - 2**63 for _ in range(12)]
+    rows = [(i, *signed[3 * i : 3 * i + 3], b, low, high) for i, (b, low, high) in enumerate([(8, 5, 5), (12, 6, 7), (8, 62, 63), (12, 0, 0)])]
+    names = "node long, p0 long, p1 long, p2 long, blocks int, low int, high int"
+    lines = spark.createDataFrame(rows, names)
+    caught = {}
+
+    class Frame:
+        """What is dealt out by key, caught before."""
+
+        def __init__(self, df):
+            self.df = df
+
+        def select(self, *a):
+            return Frame(self.df.select(*a))
+
+        def repartition(self, *a):
+            caught["df"] = self.df
+            return self
+
+        def sortWithinPartitions(self, *a):
+            return self
+
+        def mapInArrow(self, *a):
+            return self
+
+    ln.near_by_print(Frame(lines))
+    got = sorted((r.node, r.key) for r in caught["df"].collect())
+    want = []
+    for node, p0, p1, p2, blocks, low, high in rows:
+        whole = sum((p % 2**64) << 64 * i for i, p in enumerate((p0, p1, p2)))
+        for size in {low, high}:
+            want += [(node, i << 22 | size << 16 | whole >> 16 * i & 0xFFFF) for i in range(blocks)]
+    assert got == sorted(want)
+    debug = spark._jvm.org.apache.spark.sql.execution.debug
+    plan = caught["df"]._jdf.queryExecution().executedPlan()
+    codes = getattr(debug, "package$").__getattr__("MODULE$").codegenStringSeq(plan)
+    sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+    print(f"bytes of the longest method: {sizes}")
+    assert sizes and max(sizes) < 8000
+
+
 def test_one_fingerprint_per_name():
     """Blanks and marks do not change a fingerprint, and lines that differ much are far apart."""
     one, two, other = prints_of([
