@@ -155,3 +155,51 @@ def test_very_long_items(spark):
     assert set(got) == {*((i, 1) for i in range(51)), (51, 2)}
     assert all(got[i, 1].start == min(20, max(0, 40 - 10 * i)) for i in range(50)) and got[50, 1].start == 0
     assert got[50, 1].hamming == 0 and got[51, 2].hamming == 0
+
+
+def test_weight_decides_whatever_the_words(spark):
+    """Items that repeat a word, or mix long and short ones, between heavy text: by weight alone, as by brute force.
+
+    Such windows share few of the item's words by number, though most of its weight.
+    """
+    rng = random.Random(15)
+    word = lambda n: "".join(rng.choice("bcdfgklm") + rng.choice("aeiou") for _ in range(n))
+    text = lambda count, n: [word(n) for _ in range(count)]
+    items, docs = [], []
+    for _ in range(6):
+        told = text(40, 3)
+        refrain, mixed = told + ["la"] * 100, text(34, 12)
+        items += [refrain, mixed + text(40, 1), refrain[::-1], text(5, 1) + told]
+        docs += [text(30, 3) + told + text(120, 3), text(90, 10) + mixed + text(60, 10), text(130, 8) + told[::-1] + text(4, 8)]
+        docs += [text(20, 20) + told[:35] + text(20, 20), text(9, 9) + refrain[5:] + text(9, 9), text(60, 3)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    items = [(i, " ".join(w)) for i, w in enumerate(items)]
+    got = d.find_contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    want, rows = brute(docs, items), got.collect()
+    found = {(r.doc_id, r.item_id) for r in rows}
+    assert len(want) >= 30 and found == want, (len(found & want), len(want))
+    assert len(rows) == len(found) and all(0.8 <= r.similarity <= 1 for r in rows)
+
+
+def test_every_window_is_fingerprinted(spark):
+    """Fingerprints of all windows that hold enough are those of the shingles that window and item share."""
+    rng = random.Random(16)
+    item = [f"w{rng.randrange(10**rng.randrange(2, 9))}" for _ in range(40)]
+    texts = [item[:6] + item + item[20:] + item, [f"x{i}" for i in range(9)] + item[3:] + item[:9], item[10:] + item[:35]]
+    want = []
+    for n, w in enumerate(texts):
+        for s in range(max(1, len(w) - 40 + 1)):
+            both = sorted(shingles(w[s : s + 40], 5) & shingles(item, 5))
+            if 100 * sum(map(len, both)) >= 80 * sum(map(len, shingles(item, 5))):
+                want.append((n, [x for x in both for _ in range(max(1, round(len(x) ** 0.5)))]))
+    width = d.lane_width(1000)
+    rows = spark.createDataFrame(want, "key int, voiced array<string>").select("key", d.simhash(F.col("voiced"), width).alias("p")).collect()
+    items = d.benchmark_items(spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).withColumn("item", F.lit(0))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "key long, text string")
+    own = d.item_shingles(items, [5])
+    hits = d.shared_positions(docs, own, [5]).join(own, ["k", "hash"]).join(items.select("item", "weight"), "item")
+    sized = hits.join(docs.select("key", F.size(d.words_of(F.col("text"))).alias("size")), "key")
+    got = d.printed_windows(sized, width).collect()
+    assert {(r.key, r.print) for r in got} == {(r.key, r.p) for r in rows} and len(got) > 20
